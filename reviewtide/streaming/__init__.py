@@ -1,0 +1,4 @@
+"""Intentionally empty: the data arrives in batches and no query is a stream.
+
+Daily additions are batch work and live in ``reviewtide.plans.incremental``.
+"""

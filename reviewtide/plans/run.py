@@ -25,7 +25,7 @@ from reviewtide.schemas import (
     STAR_KEYS,
     STAR_REFERENCES,
 )
-from reviewtide.session import Workspace, input_bytes, sized_shuffles, use_utc, workspace
+from reviewtide.session import Workspace, input_bytes, sized_for, use_utc, workspace
 from reviewtide.sources.readers import read_csv, read_dirty_json, read_parquet
 from reviewtide.sources.writers import write_partitioned, write_projected
 
@@ -68,7 +68,7 @@ def run(
     use_utc(spark)
     store = Store(spark, out)
     raw_bytes = input_bytes(spark, places_path, reviews_path)
-    with sized_shuffles(spark, raw_bytes), workspace(spark) as ws:
+    with sized_for(spark, raw_bytes), workspace(spark) as ws:
         population = read_csv(spark, population_path, POPULATION_RAW)
         store.write_places(
             prepare_places(read_dirty_json(spark, places_path, PLACES_RAW, repair), population)

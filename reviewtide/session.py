@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 SHUFFLE_BYTES_PER_PARTITION = 128 << 20
+MAX_SHUFFLE_PARTITIONS = 50_000
+MAX_SCAN_TASKS = 100_000
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -91,21 +97,48 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-@contextmanager
-def sized_shuffles(spark: SparkSession, total_bytes: int) -> Iterator[None]:
-    """Start shuffles with enough partitions for ``total_bytes``.
+def _in_bytes(size: str) -> int:
+    """A byte setting such as ``134217728b`` or ``128MB`` as a number."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
+def partition_settings(total_bytes: int, before: dict[str, str]) -> dict[str, str]:
+    """Settings for ``total_bytes`` of input, never below those of ``before``.
 
-    Adaptive execution merges small partitions but never adds any, so the starting
-    number has to fit the data. The previous setting returns afterwards.
+    Adaptive execution merges small shuffle partitions but never adds any, so their
+    starting number has to fit the data. The driver tracks map tasks times shuffle
+    partitions: beyond the limits below both get larger instead of more numerous,
+    and sorts and aggregates spill what does not fit into memory. A partition of
+    average size is left whole when hot ones are split, as splitting it would only
+    scatter the small categories in it over more files.
     """
-    before = spark.conf.get(INITIAL_PARTITIONS, None)
-    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(least, -(-total_bytes // SHUFFLE_BYTES_PER_PARTITION))
-    spark.conf.set(INITIAL_PARTITIONS, str(wanted))
+    partitions = min(-(-total_bytes // SHUFFLE_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(partitions, int(before[SHUFFLE_PARTITIONS]))
+    scan = max(_in_bytes(before[SCAN_BYTES]), -(-total_bytes // MAX_SCAN_TASKS))
+    whole = max(_in_bytes(before[ADVISORY_BYTES]), -(-total_bytes // partitions))
+    return {
+        INITIAL_PARTITIONS: str(partitions),
+        SCAN_BYTES: f"{scan}b",
+        ADVISORY_BYTES: f"{whole}b",
+    }
+
+
+@contextmanager
+def sized_for(spark: SparkSession, total_bytes: int) -> Iterator[None]:
+    """Apply :func:`partition_settings`; the previous settings return afterwards."""
+    effective = {
+        key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES, ADVISORY_BYTES)
+    }
+    settings = partition_settings(total_bytes, effective)
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(INITIAL_PARTITIONS)
-        else:
-            spark.conf.set(INITIAL_PARTITIONS, before)
+        for key in settings:
+            if before[key] is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, before[key])

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +39,7 @@ from reviewtide.schemas import (
     conform,
     names,
 )
-from reviewtide.session import Workspace, use_utc
+from reviewtide.session import Workspace, concurrently, use_utc
 from reviewtide.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,9 +66,17 @@ def workspace_of(spark: SparkSession) -> Workspace:
     app = spark.sparkContext.applicationId
     if app not in _workspaces:
         _workspaces[app] = Workspace(spark)
+        atexit.register(_drop_workspace, app)
     return _workspaces[app]
 
 
+def _drop_workspace(app: str) -> None:
+    """At exit, if the application is still running by then."""
+    context = SparkContext._active_spark_context
+    if context is not None and context.applicationId == app:
+        _workspaces.pop(app).drop()
+
+
 def register(*keys: str) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
         def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,8 +129,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ws = workspace_of(spark)
-    star = build_star(ws.write(staging(spark, sf_dir), "staging"))
-    return {name: ws.write(df, name) for name, df in star.items()}
+    return ws.write_all(build_star(ws.write(staging(spark, sf_dir), "staging")))
 
 
 # ---- sources and sinks: write, read back, return what was read
@@ -338,8 +347,11 @@ def guard_populated(spark, sf_dir):
     ws = workspace_of(spark)
     built = lake(spark, sf_dir)
     partitioned, projected = ws.path("reviews_lake"), ws.path("temp_lake")
-    writers.write_partitioned(built, partitioned)
-    writers.write_projected(built, projected)
+    concurrently(
+        spark,
+        lambda: writers.write_partitioned(built, partitioned),
+        lambda: writers.write_projected(built, projected),
+    )
     return quality.guard_populated(
         {
             "reviews_lake": readers.read_lake(spark, partitioned),
@@ -389,8 +401,8 @@ def table_replace(spark, sf_dir):
 @register("layout_bucketed_join")
 def layout_bucketed_join(spark, sf_dir):
     ws = workspace_of(spark)
-    star = written_star(spark, sf_dir)
-    tables = layout.write_layout(star, ws.table_name(ws.fresh("layout_")), LAYOUT_BUCKETS)
+    star = build_star(ws.write(staging(spark, sf_dir), "staging"))
+    tables = layout.write_layout(star, ws.table_name(ws.fresh("layout")) + "_", LAYOUT_BUCKETS)
     return show_decimals(layout.join_colocated(tables))
 
 

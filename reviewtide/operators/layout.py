@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.operators.star import replace_table
+from reviewtide.session import concurrently
 
 SLICED_KEY = ["gPlusPlaceId", "slice"]
 
@@ -30,7 +30,7 @@ def place_slices(fact: DataFrame, buckets: int) -> DataFrame:
 
 
 def slice_fact(fact: DataFrame, slices: DataFrame) -> DataFrame:
-    """Deal rows of hot places out in turn. ``fact`` has to be a written table.
+    """Deal rows of hot places out in turn. ``fact`` has to scan a written table.
 
     The row number of a file scan is the same when a lost task runs again, and it
     differs between equal rows, so copies spread as well.
@@ -69,26 +69,34 @@ def replace_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -
 def write_layout(star: dict[str, DataFrame], prefix: str, buckets: int) -> dict[str, DataFrame]:
     """Write the star tables in their layout; ``prefix`` is put before each name.
 
-    ``reviews`` and ``places`` get the column ``slice``; ``places`` at slice 0 is the
-    plain dimension. Users and population have unique keys, so no bucket of theirs
-    is hot.
+    ``star`` has to come from a written staging table, see :func:`slice_fact`.
+    ``reviews`` and ``places`` get the column ``slice``. Users and population have
+    unique keys, so no bucket of theirs is hot.
     """
-    plain = replace_table(star["reviews"], f"{prefix}reviews_unsorted")
-    slices = place_slices(plain, buckets)
-    tables = {
-        "reviews": replace_bucketed(
-            slice_fact(plain, slices), f"{prefix}reviews", SLICED_KEY, buckets
-        ),
-        "places": replace_bucketed(
-            slice_places(star["places"], slices), f"{prefix}places", SLICED_KEY, buckets
-        ),
-        "users": replace_bucketed(star["users"], f"{prefix}users", ["gPlusUserId"], buckets),
-        "population": replace_bucketed(
-            star["population"], f"{prefix}population", ["postcode"], buckets
+    slices = place_slices(star["reviews"], buckets)
+    frames = {
+        "reviews": (slice_fact(star["reviews"], slices), SLICED_KEY),
+        "places": (slice_places(star["places"], slices), SLICED_KEY),
+        "users": (star["users"], ["gPlusUserId"]),
+        "population": (star["population"], ["postcode"]),
+    }
+    tables = concurrently(
+        star["reviews"].sparkSession,
+        *(
+            lambda name=name, df=df, keys=keys: replace_bucketed(df, prefix + name, keys, buckets)
+            for name, (df, keys) in frames.items()
         ),
+    )
+    return dict(zip(frames, tables))
+
+
+def without_slices(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables as they are outside the layout: one row per place, no ``slice``."""
+    return {
+        **tables,
+        "reviews": tables["reviews"].drop("slice"),
+        "places": tables["places"].filter(F.col("slice") == 0).drop("slice"),
     }
-    plain.sparkSession.sql(f"DROP TABLE {prefix}reviews_unsorted")
-    return tables
 
 
 def join_colocated(tables: dict[str, DataFrame]) -> DataFrame:

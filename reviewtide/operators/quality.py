@@ -6,7 +6,7 @@ import warnings
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewtide.operators.categories import MIN_REVIEWS, has_categories
@@ -28,19 +28,20 @@ def _check(
     check: str,
     table: str,
     column: str | None,
-    expected: Column,
-    actual: Column,
-    passed: Column,
+    expected: str,
+    actual: str,
+    passed: str,
     severity: str = ERROR,
 ) -> DataFrame:
-    return one_row.select(
-        F.lit(check).alias("check"),
-        F.lit(table).alias("table"),
-        F.lit(column).cast("string").alias("column"),
-        F.lit(severity).alias("severity"),
-        expected.cast("bigint").alias("expected"),
-        actual.cast("bigint").alias("actual"),
-        passed.alias("passed"),
+    """A report row; the last three before ``severity`` are SQL over ``one_row``."""
+    return one_row.selectExpr(
+        f"'{check}' AS check",
+        f"'{table}' AS table",
+        "CAST(NULL AS STRING) AS column" if column is None else f"'{column}' AS column",
+        f"'{severity}' AS severity",
+        f"CAST({expected} AS BIGINT) AS expected",
+        f"CAST({actual} AS BIGINT) AS actual",
+        f"{passed} AS passed",
     )
 
 
@@ -61,9 +62,9 @@ def guard_join_fanout(reviews: DataFrame, places: DataFrame) -> DataFrame:
         "join_fanout",
         "lake",
         "gPlusPlaceId",
-        F.col("before"),
-        F.col("after"),
-        F.col("after") <= F.col("before"),
+        "before",
+        "after",
+        "after <= before",
     )
     return fanout.unionByName(
         check_unique_key(places, "places", "gPlusPlaceId", WARNING)
@@ -79,16 +80,16 @@ def guard_filter_effective(counts: DataFrame, min_reviews: int = MIN_REVIEWS) ->
         "filter_effective",
         "lake",
         "category",
-        F.col("before"),
-        F.col("after"),
-        F.col("after") < F.col("before"),
+        "before",
+        "after",
+        "after < before",
         WARNING,
     )
 
 
 def check_non_empty(df: DataFrame, table: str, check: str = "non_empty") -> DataFrame:
     rows = df.agg(F.count("*").alias("rows"))
-    return _check(rows, check, table, None, F.lit(1), F.col("rows"), F.col("rows") > 0)
+    return _check(rows, check, table, None, "1", "rows", "rows > 0")
 
 
 def guard_populated(outputs: dict[str, DataFrame]) -> DataFrame:
@@ -101,17 +102,10 @@ def check_unique_key(
     """Non-null keys must differ. Counted per key first, so a hot key is one row."""
     per_key = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     sizes = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("all"), F.count("*").alias("distinct")
+        F.coalesce(F.sum("n"), F.lit(0)).alias("keys"), F.count("*").alias("different")
     )
     return _check(
-        sizes,
-        "unique_key",
-        table,
-        key,
-        F.col("all"),
-        F.col("distinct"),
-        F.col("all") == F.col("distinct"),
-        severity,
+        sizes, "unique_key", table, key, "keys", "different", "keys = different", severity
     )
 
 
@@ -121,9 +115,7 @@ def check_reference(fact: DataFrame, dimension: DataFrame, table: str, key: str)
     orphans = per_key.join(dimension.select(key), key, "left_anti").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("orphans")
     )
-    return _check(
-        orphans, "referential", table, key, F.lit(0), F.col("orphans"), F.col("orphans") == 0
-    )
+    return _check(orphans, "referential", table, key, "0", "orphans", "orphans = 0")
 
 
 def run_checks(

@@ -22,7 +22,7 @@ from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import review_features
 from reviewtide.plans.store import Store
-from reviewtide.session import Workspace, use_utc, workspace
+from reviewtide.session import Workspace, input_bytes, sized_for, use_utc, workspace
 from reviewtide.sources.writers import write_partitioned
 
 
@@ -75,7 +75,8 @@ def append_batch(
 
 
 def append(store: Store, raw_reviews: DataFrame, batch: str, min_reviews: int = MIN_REVIEWS) -> DataFrame:
-    """:func:`append_batch` with a workspace of its own."""
-    use_utc(store.spark)
-    with workspace(store.spark) as ws:
+    """:func:`append_batch` with a workspace of its own, sized for the whole store."""
+    spark = use_utc(store.spark)
+    stored = input_bytes(spark, store.reviews_path)
+    with sized_for(spark, stored), workspace(spark) as ws:
         return append_batch(ws, store, raw_reviews, batch, min_reviews)

@@ -54,9 +54,13 @@ def lake_of(
     ws: Workspace, reviews: DataFrame, places: DataFrame, min_reviews: int = MIN_REVIEWS
 ) -> DataFrame:
     """The lake of prepared places and reviews that have no average yet."""
-    averages = ws.write(user_averages(user_totals(reviews)), "user_averages")
-    counts = ws.write(category_counts(reviews, usa_places(places)), "category_counts")
-    return build_lake(reviews, places, averages, counts, min_reviews)
+    written = ws.write_all(
+        {
+            "averages": user_averages(user_totals(reviews)),
+            "counts": category_counts(reviews, usa_places(places)),
+        }
+    )
+    return build_lake(reviews, places, written["averages"], written["counts"], min_reviews)
 
 
 def rating_by_category(lake: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from reviewtide.operators.categories import MIN_REVIEWS
+from reviewtide.operators.layout import without_slices
 from reviewtide.operators.quality import (
     enforce,
     guard_filter_effective,
@@ -25,7 +26,14 @@ from reviewtide.schemas import (
     STAR_KEYS,
     STAR_REFERENCES,
 )
-from reviewtide.session import Workspace, input_bytes, sized_for, use_utc, workspace
+from reviewtide.session import (
+    Workspace,
+    concurrently,
+    input_bytes,
+    sized_for,
+    use_utc,
+    workspace,
+)
 from reviewtide.sources.readers import read_csv, read_dirty_json, read_parquet
 from reviewtide.sources.writers import write_partitioned, write_projected
 
@@ -40,12 +48,18 @@ class Published:
 
 
 def publish_star(
-    ws: Workspace, projected: DataFrame, category: str, database: str, scale: int = 0
+    ws: Workspace,
+    projected: DataFrame,
+    category: str,
+    database: str,
+    scale: int = 0,
+    buckets: int | None = None,
 ) -> tuple[dict[str, DataFrame], list[Row]]:
     """Staging, star tables and their checks. Staging leaves with the workspace."""
     staging = load_staging(projected, category, ws.table_name("staging"))
-    tables = load_star(staging, database, scale)
-    return tables, enforce(run_checks(tables, STAR_KEYS, STAR_REFERENCES))
+    tables = load_star(staging, database, scale, buckets)
+    plain = tables if buckets is None else without_slices(tables)
+    return tables, enforce(run_checks(plain, STAR_KEYS, STAR_REFERENCES))
 
 
 def run(
@@ -58,38 +72,46 @@ def run(
     database: str = "default",
     min_reviews: int = MIN_REVIEWS,
     scale: int = 0,
+    buckets: int | None = None,
     repair: str = "blind",
 ) -> Published:
     """Raw text is read, repaired and parsed once; everything after reads Parquet.
 
     Star tables go into ``database``, everything else below ``out``. A failed check
-    raises before anything is published that depends on it.
+    raises before anything is published that depends on it. Steps that do not need
+    each other run side by side.
     """
     use_utc(spark)
     store = Store(spark, out)
     raw_bytes = input_bytes(spark, places_path, reviews_path)
     with sized_for(spark, raw_bytes), workspace(spark) as ws:
         population = read_csv(spark, population_path, POPULATION_RAW)
-        store.write_places(
-            prepare_places(read_dirty_json(spark, places_path, PLACES_RAW, repair), population)
+        raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair)
+        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair)
+        concurrently(
+            spark,
+            lambda: store.write_places(prepare_places(raw_places, population)),
+            lambda: store.write_reviews(review_features(raw_reviews), FIRST_BATCH, first=True),
         )
-        features = review_features(read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair))
-        store.write_batch(features, FIRST_BATCH, first=True)
+        store.write_states(FIRST_BATCH, first=True)
 
-        reviews, places = store.reviews(), store.places()
-        report = enforce(
-            guard_join_fanout(reviews, usa_places(places)).unionByName(
-                guard_filter_effective(store.category_counts(), min_reviews)
-            )
+        guards = guard_join_fanout(store.reviews(), usa_places(store.places())).unionByName(
+            guard_filter_effective(store.category_counts(), min_reviews)
         )
-        lake = store.build_lake(ws, min_reviews)
-        write_partitioned(lake, store.lake_path)
-        # Without the review text in its columns, no scan or shuffle below carries it.
+        report, lake = concurrently(
+            spark, lambda: enforce(guards), lambda: store.build_lake(ws, min_reviews)
+        )
+        # Without the review text in its columns, no scan or shuffle of the second
+        # write carries it.
         temp_lake = ws.path("temp_lake")
-        write_projected(lake, temp_lake)
+        concurrently(
+            spark,
+            lambda: write_partitioned(lake, store.lake_path),
+            lambda: write_projected(lake, temp_lake),
+        )
         projected = read_parquet(spark, temp_lake)
         report += enforce(
             guard_populated({"reviews_lake": store.lake(), "temp_lake": projected})
         )
-        tables, checks = publish_star(ws, projected, category, database, scale)
+        tables, checks = publish_star(ws, projected, category, database, scale, buckets)
     return Published(store, tables, report + checks)

@@ -23,7 +23,7 @@ from reviewtide.schemas import (
     Fields,
     conform,
 )
-from reviewtide.session import Workspace
+from reviewtide.session import Workspace, concurrently
 from reviewtide.sources.readers import read_lake, read_parquet
 from reviewtide.sources.writers import write_parquet
 
@@ -75,9 +75,10 @@ class Store:
 
     def build_lake(self, ws: Workspace, min_reviews: int = MIN_REVIEWS) -> DataFrame:
         """The lake of all batches, not written yet."""
-        averages = ws.write(self.averages(), "averages")
-        counts = ws.write(self.category_counts(), "counts")
-        return build_lake(self.reviews(), self.places(), averages, counts, min_reviews)
+        written = ws.write_all({"averages": self.averages(), "counts": self.category_counts()})
+        return build_lake(
+            self.reviews(), self.places(), written["averages"], written["counts"], min_reviews
+        )
 
     def lake(self) -> DataFrame:
         return read_lake(self.spark, self.lake_path)
@@ -91,25 +92,34 @@ class Store:
     def write_places(self, places: DataFrame) -> None:
         write_parquet(conform(places, PLACES), self.places_path)
 
+    def write_reviews(self, features: DataFrame, batch: str, first: bool) -> None:
+        """``first`` starts the store anew; otherwise the other batches stay."""
+        self._write_batch(features, REVIEW_FEATURES, self.reviews_path, batch, first)
+
+    def write_states(self, batch: str, first: bool) -> None:
+        """What the written reviews of ``batch`` add to the states."""
+        reviews = self.reviews(batch)
+        counts = category_counts(reviews, usa_places(self.places()))
+        concurrently(
+            self.spark,
+            lambda: self._write_batch(
+                user_totals(reviews), USER_TOTALS, self.totals_path, batch, first
+            ),
+            lambda: self._write_batch(counts, CATEGORY_COUNTS, self.counts_path, batch, first),
+        )
+
     def write_batch(self, features: DataFrame, batch: str, first: bool) -> None:
-        """Write the reviews of ``batch`` and what they add to the states.
-
-        ``first`` starts the store anew; otherwise the other batches stay.
-        """
-        mode = "static" if first else "dynamic"
-
-        def write(df: DataFrame, fields: Fields, path: str) -> None:
-            (
-                conform(df, fields)
-                .withColumn("batch", F.lit(batch))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", mode)
-                .partitionBy("batch")
-                .parquet(path)
-            )
-
-        write(features, REVIEW_FEATURES, self.reviews_path)
-        written = self.reviews(batch)
-        write(user_totals(written), USER_TOTALS, self.totals_path)
-        counts = category_counts(written, usa_places(self.places()))
-        write(counts, CATEGORY_COUNTS, self.counts_path)
+        self.write_reviews(features, batch, first)
+        self.write_states(batch, first)
+
+    def _write_batch(
+        self, df: DataFrame, fields: Fields, path: str, batch: str, first: bool
+    ) -> None:
+        (
+            conform(df, fields)
+            .withColumn("batch", F.lit(batch))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static" if first else "dynamic")
+            .partitionBy("batch")
+            .parquet(path)
+        )

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewtide.operators.categories import filter_category_like
+from reviewtide.operators.layout import write_layout
 from reviewtide.operators.star import build_star, replace_table
 from reviewtide.schemas import STAGING, conform
+from reviewtide.session import concurrently
 from reviewtide.sources.writers import project_staging
 
 
@@ -23,10 +25,24 @@ def load_staging(projected: DataFrame, category: str, table: str) -> DataFrame:
     return replace_table(filter_category_like(conform(projected, STAGING), category), table)
 
 
-def load_star(staging: DataFrame, database: str, scale: int = 0) -> dict[str, DataFrame]:
-    """Write the star tables of a written staging table into ``database``."""
+def load_star(
+    staging: DataFrame, database: str, scale: int = 0, buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """Write the star tables of a written staging table into ``database``.
+
+    With ``buckets`` they are laid out for joins without a shuffle.
+    """
     star = build_star(staging, scale)
-    return {name: replace_table(df, f"{database}.{name}") for name, df in star.items()}
+    if buckets is not None:
+        return write_layout(star, f"{database}.", buckets)
+    tables = concurrently(
+        staging.sparkSession,
+        *(
+            lambda name=name, df=df: replace_table(df, f"{database}.{name}")
+            for name, df in star.items()
+        ),
+    )
+    return dict(zip(star, tables))
 
 
 def rating_by_daypart(star: dict[str, DataFrame]) -> DataFrame:

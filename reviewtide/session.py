@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,13 @@ class Workspace:
         df.write.saveAsTable(table, format="parquet")
         return self.spark.table(table)
 
+    def write_all(self, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Write several independent frames at the same time."""
+        tables = concurrently(
+            self.spark, *(lambda n=n, df=df: self.write(df, n) for n, df in frames.items())
+        )
+        return dict(zip(frames, tables))
+
     def drop(self) -> None:
         self.spark.sql(f"DROP DATABASE IF EXISTS {self.name} CASCADE")
 
@@ -91,6 +100,16 @@ def workspace(spark: SparkSession) -> Iterator[Workspace]:
         ws.drop()
 
 
+def concurrently(spark: SparkSession, *actions: Callable[[], object]) -> list:
+    """Run independent Spark actions side by side and return their results in order.
+
+    The executors that run out of tasks at the end of one job work on the others.
+    """
+    with ThreadPoolExecutor(len(actions)) as pool:
+        futures = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [future.result() for future in futures]
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total file size below ``paths``; lists the files without opening any."""
     files = spark.read.format("binaryFile").load(list(paths))
@@ -125,20 +144,26 @@ def partition_settings(total_bytes: int, before: dict[str, str]) -> dict[str, st
 
 
 @contextmanager
-def sized_for(spark: SparkSession, total_bytes: int) -> Iterator[None]:
-    """Apply :func:`partition_settings`; the previous settings return afterwards."""
-    effective = {
-        key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES, ADVISORY_BYTES)
-    }
-    settings = partition_settings(total_bytes, effective)
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Apply session settings inside the block; the previous ones return after it."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
-        for key in settings:
-            if before[key] is None:
+        for key, value in before.items():
+            if value is None:
                 spark.conf.unset(key)
             else:
-                spark.conf.set(key, before[key])
+                spark.conf.set(key, value)
+
+
+@contextmanager
+def sized_for(spark: SparkSession, total_bytes: int) -> Iterator[None]:
+    """Apply :func:`partition_settings` inside the block."""
+    effective = {
+        key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES, ADVISORY_BYTES)
+    }
+    with settings(spark, partition_settings(total_bytes, effective)):
+        yield

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from reviewtide.functions.times import iso_text
 from reviewtide.schemas import STAGING, conform
+from reviewtide.session import settings
 
 MAX_RECORDS_PER_FILE = 2_000_000
 
@@ -30,17 +31,19 @@ def write_partitioned(
 
     Rows are brought together by value so that a folder gets few files. Rebalancing
     also splits a partition that is too large, so a value holding a third of all
-    rows is still written by many tasks. ``touched_only`` replaces just the folders
-    that occur in ``df``.
+    rows is still written by many tasks. Small partitions are not merged: that goes
+    by bytes, and would leave thousands of small folders to one task.
+    ``touched_only`` replaces just the folders that occur in ``df``.
     """
-    (
-        df.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(column)
-        .parquet(path)
-    )
+    with settings(df.sparkSession, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        (
+            df.hint("rebalance", column)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic" if touched_only else "static")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy(column)
+            .parquet(path)
+        )
 
 
 def project_staging(lake: DataFrame) -> DataFrame:

@@ -162,6 +162,7 @@ def test_layout_joins_without_exchange_and_splits_a_hot_place(spark, ws, conf):
         "users": frame(spark, [("u", 1)], "gPlusUserId string, avgRating int"),
         "population": frame(spark, [("00501", 1)], "postcode string, population int"),
     }
+    star["reviews"] = ws.write(star["reviews"], "fact")
     tables = layout.write_layout(star, ws.table_name("l_"), 8)
     joined = layout.join_colocated(tables)
     assert joined.columns == [*star["reviews"].columns, "name"]
@@ -172,7 +173,9 @@ def test_layout_joins_without_exchange_and_splits_a_hot_place(spark, ws, conf):
     assert "SortMergeJoin" in plan and "Exchange" not in plan
     per_slice = tables["reviews"].filter("gPlusPlaceId = 'hot'").groupBy("slice").count().collect()
     assert len(per_slice) == 3 and max(r["count"] for r in per_slice) <= 1400
-    assert tables["places"].filter("slice = 0").count() == 8001
+    plain = layout.without_slices(tables)
+    assert plain["places"].count() == 8001 and plain["reviews"].count() == 12000
+    assert plain["places"].columns == star["places"].columns
 
 
 def test_few_places_count_as_hot(spark, ws):

@@ -139,6 +139,14 @@ def test_run_publishes_everything(spark, raw_paths, ws, sf):
     assert not spark.catalog.tableExists(f"{ws.name}.staging")
 
 
+def test_run_with_layout(spark, raw_paths, ws, sf):
+    published = run(spark, *raw_paths, ws.path("out"), "i", ws.name, scale=2, buckets=4)
+    assert all(r.passed for r in published.report)
+    fact = q.build_star(q.staging(spark, sf), scale=2)["reviews"]
+    assert same_rows(published.tables["reviews"].drop("slice"), fact)
+    assert published.tables["users"].dtypes[1] == ("avgRating", "decimal(18,2)")
+
+
 def test_run_stops_before_publishing_on_fanout(spark, raw_paths, ws):
     doubled = ws.path("places")
     lines = spark.read.text(raw_paths[0])

@@ -26,7 +26,7 @@ from reviewtide.plans.prepare import (
     prepare_reviews,
     review_features,
 )
-from reviewtide.plans.run import run
+from reviewtide.plans.run import Warehouse, run
 from reviewtide.plans.store import Store
 from reviewtide.schemas import (
     POPULATION_RAW,
@@ -450,8 +450,7 @@ def main_run(spark, sf_dir):
         raw["reviews"],
         raw["population"],
         ws.path("out"),
-        STAGING_CATEGORY,
-        ws.name,
+        Warehouse(STAGING_CATEGORY, ws.name),
     )
     return lk.rating_by_category(published.store.lake())
 

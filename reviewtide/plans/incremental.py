@@ -22,7 +22,7 @@ from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import review_features
 from reviewtide.plans.store import Store
-from reviewtide.session import Workspace, input_bytes, sized_for, use_utc, workspace
+from reviewtide.session import Workspace
 from reviewtide.sources.writers import write_partitioned
 
 
@@ -63,20 +63,16 @@ def touched_categories(ws: Workspace, store: Store, batch: str) -> DataFrame:
     return touched.select(F.explode(folder).alias("category")).distinct()
 
 
+def rewrite_touched(ws: Workspace, store: Store, lake: DataFrame, batch: str) -> None:
+    """Write the folders of ``lake`` that ``batch`` changes."""
+    touched = ws.write(touched_categories(ws, store, batch), "touched")
+    write_partitioned(keep_categories(lake, touched), store.lake_path, touched_only=True)
+
+
 def append_batch(
     ws: Workspace, store: Store, raw_reviews: DataFrame, batch: str, min_reviews: int = MIN_REVIEWS
 ) -> DataFrame:
-    """Add ``raw_reviews`` as ``batch`` and return the lake with it. Repeatable."""
+    """Add ``raw_reviews`` as ``batch`` and return the lake with it."""
     store.write_batch(review_features(raw_reviews), batch, first=False)
-    lake = store.build_lake(ws, min_reviews)
-    touched = ws.write(touched_categories(ws, store, batch), "touched")
-    write_partitioned(keep_categories(lake, touched), store.lake_path, touched_only=True)
+    rewrite_touched(ws, store, store.build_lake(ws, min_reviews), batch)
     return store.lake()
-
-
-def append(store: Store, raw_reviews: DataFrame, batch: str, min_reviews: int = MIN_REVIEWS) -> DataFrame:
-    """:func:`append_batch` with a workspace of its own, sized for the whole store."""
-    spark = use_utc(store.spark)
-    stored = input_bytes(spark, store.reviews_path)
-    with sized_for(spark, stored), workspace(spark) as ws:
-        return append_batch(ws, store, raw_reviews, batch, min_reviews)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from reviewtide.operators.categories import MIN_REVIEWS
 from reviewtide.operators.layout import without_slices
@@ -15,6 +16,7 @@ from reviewtide.operators.quality import (
     guard_populated,
     run_checks,
 )
+from reviewtide.plans.incremental import rewrite_touched
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import prepare_places, review_features
 from reviewtide.plans.store import Store
@@ -42,52 +44,78 @@ FIRST_BATCH = "initial"
 
 @dataclass(frozen=True)
 class Published:
+    """What a run leaves: its files, star tables, check rows and parse counts."""
+
     store: Store
     tables: dict[str, DataFrame]
     report: list[Row]
+    parsed: dict[str, dict[str, int]]
+
+
+@dataclass(frozen=True)
+class Warehouse:
+    """Which categories go into the star tables, and how and where those are kept."""
+
+    category: str
+    database: str = "default"
+    scale: int = 0
+    buckets: int | None = None
 
 
 def publish_star(
-    ws: Workspace,
-    projected: DataFrame,
-    category: str,
-    database: str,
-    scale: int = 0,
-    buckets: int | None = None,
+    ws: Workspace, projected: DataFrame, warehouse: Warehouse
 ) -> tuple[dict[str, DataFrame], list[Row]]:
     """Staging, star tables and their checks. Staging leaves with the workspace."""
-    staging = load_staging(projected, category, ws.table_name("staging"))
-    tables = load_star(staging, database, scale, buckets)
-    plain = tables if buckets is None else without_slices(tables)
+    staging = load_staging(projected, warehouse.category, ws.table_name("staging"))
+    tables = load_star(staging, warehouse.database, warehouse.scale, warehouse.buckets)
+    plain = tables if warehouse.buckets is None else without_slices(tables)
     return tables, enforce(run_checks(plain, STAR_KEYS, STAR_REFERENCES))
 
 
+def publish(
+    ws: Workspace,
+    store: Store,
+    lake: DataFrame,
+    write_lake: Callable[[], object],
+    warehouse: Warehouse,
+) -> tuple[dict[str, DataFrame], list[Row]]:
+    """The lake and its projection side by side, then the star from the projection.
+
+    Without the review text in its columns, no scan or shuffle of the second write
+    carries it.
+    """
+    temp_lake = ws.path("temp_lake")
+    concurrently(ws.spark, write_lake, lambda: write_projected(lake, temp_lake))
+    projected = read_parquet(ws.spark, temp_lake)
+    populated = enforce(guard_populated({"reviews_lake": store.lake(), "temp_lake": projected}))
+    tables, checks = publish_star(ws, projected, warehouse)
+    return tables, populated + checks
+
+
 def run(
     spark: SparkSession,
     places_path: str,
     reviews_path: str,
     population_path: str,
     out: str,
-    category: str,
-    database: str = "default",
+    warehouse: Warehouse,
     min_reviews: int = MIN_REVIEWS,
-    scale: int = 0,
-    buckets: int | None = None,
     repair: str = "blind",
 ) -> Published:
     """Raw text is read, repaired and parsed once; everything after reads Parquet.
 
-    Star tables go into ``database``, everything else below ``out``. A failed check
-    raises before anything is published that depends on it. Steps that do not need
-    each other run side by side.
+    Star tables go into the warehouse database, everything else below ``out``. A
+    failed check raises before anything is published that depends on it. Steps that
+    do not need each other run side by side.
     """
     use_utc(spark)
     store = Store(spark, out)
     raw_bytes = input_bytes(spark, places_path, reviews_path)
     with sized_for(spark, raw_bytes), workspace(spark) as ws:
+        seen = {"places": Observation("places"), "reviews": Observation("reviews")}
         population = read_csv(spark, population_path, POPULATION_RAW)
-        raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair)
-        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair)
+        raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair, seen["places"])
+        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen["reviews"])
         concurrently(
             spark,
             lambda: store.write_places(prepare_places(raw_places, population)),
@@ -101,17 +129,36 @@ def run(
         report, lake = concurrently(
             spark, lambda: enforce(guards), lambda: store.build_lake(ws, min_reviews)
         )
-        # Without the review text in its columns, no scan or shuffle of the second
-        # write carries it.
-        temp_lake = ws.path("temp_lake")
-        concurrently(
-            spark,
-            lambda: write_partitioned(lake, store.lake_path),
-            lambda: write_projected(lake, temp_lake),
+        tables, checks = publish(
+            ws, store, lake, lambda: write_partitioned(lake, store.lake_path), warehouse
         )
-        projected = read_parquet(spark, temp_lake)
-        report += enforce(
-            guard_populated({"reviews_lake": store.lake(), "temp_lake": projected})
+    return Published(store, tables, report + checks, {name: o.get for name, o in seen.items()})
+
+
+def run_increment(
+    spark: SparkSession,
+    reviews_path: str,
+    batch: str,
+    out: str,
+    warehouse: Warehouse,
+    min_reviews: int = MIN_REVIEWS,
+    repair: str = "blind",
+) -> Published:
+    """Add the raw reviews of one ``batch`` to the store below ``out``.
+
+    Lake folders without a change stay; the star tables are built anew. Repeating a
+    batch with the same reviews changes nothing.
+    """
+    use_utc(spark)
+    store = Store(spark, out)
+    all_bytes = input_bytes(spark, reviews_path, store.reviews_path)
+    with sized_for(spark, all_bytes), workspace(spark) as ws:
+        seen = Observation("reviews")
+        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen)
+        store.write_batch(review_features(raw_reviews), batch, first=False)
+        report = enforce(guard_join_fanout(store.reviews(batch), usa_places(store.places())))
+        lake = store.build_lake(ws, min_reviews)
+        tables, checks = publish(
+            ws, store, lake, lambda: rewrite_touched(ws, store, lake, batch), warehouse
         )
-        tables, checks = publish_star(ws, projected, category, database, scale, buckets)
-    return Published(store, tables, report + checks)
+    return Published(store, tables, report + checks, {"reviews": seen.get})

@@ -112,7 +112,8 @@ def concurrently(spark: SparkSession, *actions: Callable[[], object]) -> list:
 
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Total file size below ``paths``; lists the files without opening any."""
-    files = spark.read.format("binaryFile").load(list(paths))
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    files = reader.load(list(paths))
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.functions.repair import repair_python_literal
@@ -39,15 +39,29 @@ def drop_malformed(parsed: DataFrame) -> DataFrame:
 
 def count_malformed(parsed: DataFrame) -> DataFrame:
     """One row: ``records`` parsed and ``dropped`` as malformed."""
-    return parsed.agg(F.count("*").alias("records"), F.count(CORRUPT).alias("dropped"))
+    return parsed.agg(*_malformed_counts())
+
+
+def _malformed_counts() -> list[Column]:
+    return [F.count(F.lit(1)).alias("records"), F.count(CORRUPT).alias("dropped")]
 
 
 def read_dirty_json(
-    spark: SparkSession, path: str, fields: Fields, mode: str = "blind"
+    spark: SparkSession,
+    path: str,
+    fields: Fields,
+    mode: str = "blind",
+    observation: Observation | None = None,
 ) -> DataFrame:
-    """Text scan, repair and parse in one plan, without repaired copies on disk."""
+    """Text scan, repair and parse in one plan, without repaired copies on disk.
+
+    ``observation`` counts ``records`` and ``dropped`` while the first action runs.
+    """
     lines = repair_python_json(read_text(spark, path), mode=mode)
-    return drop_malformed(parse_json_lines(lines, fields))
+    parsed = parse_json_lines(lines, fields)
+    if observation is not None:
+        parsed = parsed.observe(observation, *_malformed_counts())
+    return drop_malformed(parsed)
 
 
 def read_json(spark: SparkSession, path: str, fields: Fields, malformed: str = "PERMISSIVE") -> DataFrame:

@@ -8,9 +8,9 @@ from reviewtide.checks import fixtures as fx
 from reviewtide.checks import queries as q
 from reviewtide.operators.averages import user_averages, user_totals, with_user_average
 from reviewtide.plans import lake as lk
-from reviewtide.plans.incremental import append, append_batch
+from reviewtide.plans.incremental import append_batch
 from reviewtide.plans.prepare import review_features
-from reviewtide.plans.run import run
+from reviewtide.plans.run import Warehouse, run, run_increment
 from reviewtide.plans.store import Store
 from reviewtide.schemas import PLACES, REVIEW_FEATURES, conform, ddl
 from reviewtide.sources import readers, writers
@@ -127,7 +127,7 @@ def test_hot_keys_are_split(spark, ws, conf):
 def test_run_publishes_everything(spark, raw_paths, ws, sf):
     out = ws.path("out")
     for _ in range(2):  # a run can be repeated
-        published = run(spark, *raw_paths, out, "i", ws.name)
+        published = run(spark, *raw_paths, out, Warehouse("i", ws.name))
     assert same_rows(published.store.lake(), q.lake(spark, sf))
     assert {name: df.count() for name, df in published.tables.items()} == {
         "users": 91, "places": 7, "population": 7, "reviews": 221,
@@ -136,11 +136,14 @@ def test_run_publishes_everything(spark, raw_paths, ws, sf):
     assert {r.check for r in published.report} == {
         "join_fanout", "unique_key", "filter_effective", "populated", "non_empty", "referential",
     }
+    assert published.parsed == {
+        "places": {"records": 150, "dropped": 0}, "reviews": {"records": 1000, "dropped": 0},
+    }
     assert not spark.catalog.tableExists(f"{ws.name}.staging")
 
 
 def test_run_with_layout(spark, raw_paths, ws, sf):
-    published = run(spark, *raw_paths, ws.path("out"), "i", ws.name, scale=2, buckets=4)
+    published = run(spark, *raw_paths, ws.path("out"), Warehouse("i", ws.name, scale=2, buckets=4))
     assert all(r.passed for r in published.report)
     fact = q.build_star(q.staging(spark, sf), scale=2)["reviews"]
     assert same_rows(published.tables["reviews"].drop("slice"), fact)
@@ -153,13 +156,13 @@ def test_run_stops_before_publishing_on_fanout(spark, raw_paths, ws):
     writers.write_text(lines.union(lines).union(lines), doubled)
     out = ws.path("out")
     with pytest.raises(ValueError, match="join_fanout"):
-        run(spark, doubled, *raw_paths[1:], out, "i", ws.name)
+        run(spark, doubled, *raw_paths[1:], out, Warehouse("i", ws.name))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(Store(spark, out).lake_path)
 
 
 def test_token_repair_gives_the_same_lake_on_clean_text(spark, raw_paths, ws, sf):
-    published = run(spark, *raw_paths, ws.path("out"), "i", ws.name, repair="token")
+    published = run(spark, *raw_paths, ws.path("out"), Warehouse("i", ws.name), repair="token")
     assert same_rows(published.store.lake(), q.lake(spark, sf))
 
 
@@ -203,21 +206,28 @@ def test_increment_equals_full_run(spark, ws):
     full.write_batch(review_features(first.union(second)), "1", first=True)
     writers.write_partitioned(full.build_lake(ws), full.lake_path)
     for _ in range(2):  # repeating a batch changes nothing
-        lake = append(one, second, "2")
+        lake = append_batch(ws, one, second, "2")
         assert same_rows(lake, full.lake())
     assert {r.category for r in lake.collect()} == {"a", "b", "c", None}
     assert files_of(one.lake().filter("category = 'b'")) == untouched
     assert {r.userAvgRating for r in lake.filter("category = 'a'").collect()} == {45 / 12}
 
 
-def test_append_with_given_workspace_keeps_its_tables(spark, ws, sf):
-    store = Store(spark, ws.path("s"))
-    store.write_places(q.places(spark, sf))
-    raw = fx.raw_reviews(spark, sf)
-    store.write_batch(review_features(raw.filter("event_id < 500")), "1", first=True)
-    writers.write_partitioned(store.build_lake(ws), store.lake_path)
-    append_batch(ws, store, raw.filter("event_id >= 500"), "2")
-    assert same_rows(store.lake(), q.lake(spark, sf))
+def test_run_and_increment_equal_one_run(spark, raw_paths, ws, sf):
+    lines = spark.read.text(raw_paths[1])
+    day = F.col("value").contains("7',")
+    parts = [ws.path("reviews"), ws.path("reviews")]
+    writers.write_text(lines.filter(~day), parts[0])
+    broken = spark.createDataFrame([("{u'cut",)], "value string")
+    writers.write_text(lines.filter(day).union(broken), parts[1])
+    out, warehouse = ws.path("out"), Warehouse("i", ws.name)
+    run(spark, raw_paths[0], parts[0], raw_paths[2], out, warehouse)
+    published = run_increment(spark, parts[1], "day 2", out, warehouse)
+    assert published.parsed["reviews"]["dropped"] == 1
+    assert same_rows(published.store.lake(), q.lake(spark, sf))
+    star = q.build_star(q.staging(spark, sf))
+    for name, table in published.tables.items():
+        assert same_rows(table, star[name])
 
 
 def test_category_views(spark, sf):

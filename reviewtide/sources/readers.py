@@ -25,12 +25,12 @@ def parse_json_lines(lines: DataFrame, fields: Fields, column: str = "value") ->
 
     A filter over a plain ``from_json`` would be pushed into it and prune the fields
     it checks, so that wrongly typed values pass, and every line would be parsed
-    twice. The generator keeps the parse whole and single.
+    twice. The generator keeps the parse whole and single. It also leaves out blank
+    lines, which parse to null: a filter on the line would repeat its repair.
     """
     schema = f"{ddl(fields)}, `{CORRUPT}` string"
-    return lines.filter(F.trim(column) != "").select(
-        F.inline(F.array(F.from_json(column, schema, {"columnNameOfCorruptRecord": CORRUPT})))
-    )
+    record = F.from_json(column, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    return lines.select(F.inline(F.array_compact(F.array(record))))
 
 
 def drop_malformed(parsed: DataFrame) -> DataFrame:

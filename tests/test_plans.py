@@ -41,6 +41,7 @@ def test_each_line_is_parsed_once(spark, raw_paths):
 
     plan = plan_of(readers.read_dirty_json(spark, raw_paths[1], REVIEWS_RAW))
     assert plan.count("from_json") == 1
+    assert plan.count("replace(value") == 1
 
 
 def test_population_is_broadcast_even_without_automatic_broadcasts(spark, sf, conf):

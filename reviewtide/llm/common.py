@@ -62,3 +62,14 @@ def ascii_lower(text: Column) -> Column:
 
 def total(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("bigint"), lambda s, x: s + x)
+
+
+def free(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, changed where ``docs`` has columns of that name."""
+    taken = {c.lower() for c in docs.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        found.append(name)
+    return found

@@ -21,7 +21,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import text_or_empty, without_spaces
+from reviewtide.llm.common import free, text_or_empty, without_spaces
+from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.session import Workspace
 
 MIN_CHUNK = 64
@@ -69,22 +70,21 @@ def recipes(docs: DataFrame, ws: Workspace, hash_: Hash = F.xxhash64) -> DataFra
     ambiguous = ws.write(ambiguous_hashes(docs, hash_), "ambiguous")
     if ambiguous.isEmpty():
         return plain
-    chunked = _chunked(docs).select(
-        "*", F.transform("chunks", lambda c: hash_(c)).alias("recipe"), row.alias("row")
+    # Row numbers hold within one table only, so this one has the chunks as well.
+    whole = ws.write(
+        _chunked(docs).select("*", F.transform("chunks", lambda c: hash_(c)).alias("recipe"), row.alias("row")),
+        "chunked",
     )
-    numbered = ws.write(chunked.select("row", F.posexplode("chunks").alias("at", "chunk")), "chunks")
     doubted = (
-        numbered.withColumn("id", hash_(F.col("chunk")))
+        whole.select("row", F.posexplode("chunks").alias("at", "chunk"))
+        .withColumn("id", hash_(F.col("chunk")))
         .join(ambiguous, "id", "left_semi")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "chunk")))["chunk"].alias("chunks"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "chunk")))["chunk"].alias("doubted"))
     )
+    none = F.array().cast("array<string>")
     return ws.write(
-        plain.join(doubted, "row", "left").select(
-            *(c for c in plain.columns if c not in ("doubted", "row")),
-            F.coalesce("chunks", "doubted").alias("doubted"),
-            "row",
-        ),
+        whole.drop("chunks").join(doubted, "row", "left").withColumn("doubted", F.coalesce("doubted", none)),
         "recipes",
     )
 
@@ -118,24 +118,32 @@ def exact_duplicates(docs: DataFrame, ws: Workspace, hash_: Hash = F.xxhash64) -
 
 
 def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
-    """One row of each group of equal texts, in the columns of ``docs``."""
-    kept = ws.write(
-        exact_duplicates(docs, ws).filter("kept").select(
-            F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")
-        ),
-        "kept",
-    )
-    hashed = docs.withColumn("_sha256", F.sha2(without_spaces(text_or_empty()), 256))
-    longest = hashed.join(
-        kept,
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha256") == F.col("_sha")),
-        "left_semi",
+    """One row of each group of equal texts, in the columns of ``docs``.
+
+    Only (doc_id, hash) of rows that go are joined; their size is measured before they
+    are broadcast. Rows that share both with a row that stays are settled apart.
+    """
+    marks = ws.write(exact_duplicates(docs, ws), "marks")
+    own_id, own_sha, sha, rest = free(docs, "_id", "_sha", "_sha256", "_row")
+    by_row = ws.write(
+        marks.groupBy(F.col("doc_id").alias(own_id), F.col("text_sha256").alias(own_sha))
+        .agg(F.max("kept").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_repeated"))
+        .filter("_repeated OR NOT _stays"),
+        "marked",
     )
-    # Rows that repeat a doc_id have the same text but for white space: the longest stays.
+    keys = by_row.select(own_id, own_sha)
+    hashed = docs.withColumn(sha, F.sha2(without_spaces(text_or_empty()), 256))
+    same = F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(sha) == F.col(own_sha))
+    others = hashed.join(checked_broadcast(keys), same, "left_anti").drop(sha)
+    repeated = by_row.filter("_repeated AND _stays").select(own_id, own_sha)
+    if repeated.isEmpty():
+        return others
     names = [c for c in docs.columns if c != "doc_id"]
-    rest = F.max_by(F.struct(*(F.col(f"`{c}`") for c in names)), F.length("text"))
-    return (
-        longest.groupBy("doc_id", "_sha256")
-        .agg(rest.alias("_row"))
-        .select(*("doc_id" if c == "doc_id" else F.col(f"_row.`{c}`") for c in docs.columns))
+    longest = F.max_by(F.struct(*(F.col(f"`{c}`") for c in names)), F.length("text"))
+    settled = (
+        hashed.join(repeated, same, "left_semi")
+        .groupBy("doc_id", sha)
+        .agg(longest.alias(rest))
+        .select(*("doc_id" if c == "doc_id" else F.col(f"`{rest}`.`{c}`") for c in docs.columns))
     )
+    return others.unionByName(settled)

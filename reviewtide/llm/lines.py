@@ -21,12 +21,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import SPACES, ascii_lower, let, text_or_empty
+from reviewtide.llm.common import SPACES, ascii_lower, free, let, text_or_empty
 from reviewtide.session import Workspace
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-_NO_ID = F.lit(-(2**63)).cast("bigint")
+_NO_ID = -(2**63)
 
 
 def line_hash(line: Column) -> Column:
@@ -40,7 +40,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """A row (id, line) for each document and line hash in it."""
     hashes = F.transform(F.split(text_or_empty(), "\n"), line_hash)
     distinct = F.array_distinct(F.filter(hashes, lambda h: h.isNotNull()))
-    return docs.select(F.coalesce("doc_id", _NO_ID).alias("id"), F.explode(distinct).alias("line"))
+    return docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), F.explode(distinct).alias("line"))
 
 
 class LineRuns:
@@ -126,23 +126,26 @@ def dedup_lines(docs: DataFrame, ws: Workspace, batches: int = 4) -> DataFrame:
     for batch in batches_of(docs, batches):
         runs.add(lines_of(batch))
     repeated = ws.write(runs.repeated(), "repeated_lines")
+    own_id, own_lines, kept_ = free(docs, "_id", "_dropped", "_kept")
     dropped = (
         lines_of(docs)
         .join(repeated, "line")
         .filter(F.col("id") != F.col("holder"))
-        .groupBy("id")
-        .agg(F.collect_set("line").alias("_dropped"))
+        .groupBy(F.col("id").alias(own_id))
+        .agg(F.collect_set("line").alias(own_lines))
     )
-    known = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    known = [f"`{c}`" for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     joined = docs.join(
-        ws.write(dropped, "dropped_lines"), F.coalesce("doc_id", _NO_ID) == F.col("id"), "left"
+        ws.write(dropped, "dropped_lines"),
+        F.coalesce("doc_id", F.lit(_NO_ID)) == F.col(own_id),
+        "left",
     )
     lines = F.split(text_or_empty(), "\n")
 
     def stays(line: Column) -> Column:
-        return ~F.coalesce(F.array_contains(F.col("_dropped"), line_hash(line)), F.lit(False))
+        return ~F.coalesce(F.array_contains(F.col(own_lines), line_hash(line)), F.lit(False))
 
-    kept = F.when(F.col("_dropped").isNull(), lines).otherwise(F.filter(lines, stays))
+    kept = F.when(F.col(own_lines).isNull(), lines).otherwise(F.filter(lines, stays))
     result = let(
         kept,
         lambda k: F.struct(
@@ -151,6 +154,6 @@ def dedup_lines(docs: DataFrame, ws: Workspace, batches: int = 4) -> DataFrame:
             (F.size(lines) - F.size(k)).cast("bigint").alias("n_dropped"),
         ),
     )
-    return joined.select(*(f"`{c}`" for c in known), result.alias("_kept")).select(
-        *(f"`{c}`" for c in known), "_kept.text", "_kept.n_lines", "_kept.n_dropped"
+    return joined.select(*known, result.alias(kept_)).select(
+        *known, *(f"`{kept_}`.{c}" for c in ("text", "n_lines", "n_dropped"))
     )

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewtide.llm.common import text_or_empty
+from reviewtide.llm.common import free, text_or_empty
 from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.session import Workspace
 
@@ -151,7 +151,7 @@ def block_of(seed: int) -> Column:
 
 
 def block_key(seed: int, pass_: Column) -> Column:
-    return _hash(F.lit(seed), pass_, F.col("source"), F.col("block"))
+    return _hash(F.lit(seed), pass_, F.col("source"), block_of(seed))
 
 
 def document_key(seed: int, pass_: Column) -> Column:
@@ -172,7 +172,7 @@ def last_used(sized: DataFrame, plan: DataFrame, seed: int) -> DataFrame:
     sums = narrow.groupBy("source", "block").agg(F.sum("n_tokens").alias("tokens"))
     p = plan.select(F.col("source").alias("of"), "passes", "remainder")
     keyed = sums.join(p, _same_source("source", "of")).withColumn(
-        "block_key", block_key(seed, F.col("passes"))
+        "block_key", _hash(F.lit(seed), F.col("passes"), F.col("source"), F.col("block"))
     )
     order = Window.partitionBy("source").orderBy("block_key")
     running = keyed.withColumn("upto", F.sum("tokens").over(order))
@@ -203,33 +203,41 @@ def mixture(docs: DataFrame, ws: Workspace, mix: Mix) -> DataFrame:
     shuffles, and adaptive execution splits the hot sources.
     """
     added = ("n_tokens", "exponent", "weight", "copies")
-    names = [c for c in docs.columns if c not in added]
+    names = [f"`{c}`" for c in docs.columns if c not in added]
     sized = ws.write(
         docs.select("doc_id", "source", n_tokens(text_or_empty()).alias("n_tokens")), "sized"
     )
     plan = ws.write(quotas(ws.write(source_tokens(sized), "sources"), mix), "quotas")
     cuts = last_used(sized, plan, mix.seed).withColumnRenamed("source", "of")
+    own_source, plan_ = free(docs, "_source", "_plan")
+    whole = F.struct("exponent", "weight", "passes", "remainder", "cut_block", "cut_document")
     decided = ws.write(
         plan.join(cuts, _same_source("source", "of"), "left").select(
-            F.col("source").alias("_source"), "exponent", "weight", F.col("passes").alias("_passes"),
-            "remainder", "cut_block", "cut_document",
+            F.col("source").alias(own_source), whole.alias(plan_)
         ),
         "decided",
-    )
-    keyed = (
-        docs.select(*(f"`{c}`" for c in names))
-        .join(checked_broadcast(decided), _same_source("source", "_source"), "left")
-        .withColumn("n_tokens", n_tokens(text_or_empty()))
-        .withColumn("block", block_of(mix.seed))
-        .withColumn("_block_key", block_key(mix.seed, F.col("_passes")))
-        .withColumn("_document_key", document_key(mix.seed, F.col("_passes")))
     )
-    in_last_pass = (F.col("remainder") > 0) & (
-        (F.col("_block_key") < F.col("cut_block"))
-        | ((F.col("_block_key") == F.col("cut_block")) & (F.col("_document_key") <= F.col("cut_document")))
+
+    def of(name: str) -> Column:
+        return F.col(f"{plan_}.{name}")
+
+    block = block_key(mix.seed, of("passes"))
+    document = document_key(mix.seed, of("passes"))
+    in_last_pass = (of("remainder") > 0) & (
+        (block < of("cut_block")) | ((block == of("cut_block")) & (document <= of("cut_document")))
+    )
+    copies = of("passes") + F.when(F.coalesce(in_last_pass, F.lit(False)), 1).otherwise(0)
+    return (
+        docs.select(*names)
+        .join(checked_broadcast(decided), _same_source("source", own_source), "left")
+        .select(
+            *names,
+            n_tokens(text_or_empty()).alias("n_tokens"),
+            of("exponent").alias("exponent"),
+            of("weight").alias("weight"),
+            copies.cast("bigint").alias("copies"),
+        )
     )
-    copies = F.col("_passes") + F.when(F.coalesce(in_last_pass, F.lit(False)), 1).otherwise(0)
-    return keyed.withColumn("copies", copies.cast("bigint")).select(*(f"`{c}`" for c in names), *added)
 
 
 def realised(docs: DataFrame, ws: Workspace, mix: Mix) -> DataFrame:
@@ -239,9 +247,6 @@ def realised(docs: DataFrame, ws: Workspace, mix: Mix) -> DataFrame:
     """
     used = mixture(docs, ws, mix).filter("copies > 0")
     each = used.withColumn("pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
-    return (
-        each.withColumn("block", block_of(mix.seed))
-        .withColumn("block_key", block_key(mix.seed, F.col("pass")))
-        .withColumn("document_key", document_key(mix.seed, F.col("pass")))
-        .drop("block")
+    return each.withColumn("block_key", block_key(mix.seed, F.col("pass"))).withColumn(
+        "document_key", document_key(mix.seed, F.col("pass"))
     )

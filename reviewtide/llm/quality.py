@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import let, text_or_empty, total, without_spaces, words_of
+from reviewtide.llm.common import free, let, text_or_empty, total, without_spaces, words_of
 
 # The symbols that the base statistics count.
 SYMBOLS = "#*$%&|<>"
@@ -137,6 +137,7 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     text = text_or_empty()
     others = [F.col(f"`{c}`") for c in docs.columns if c not in COLUMNS]
     lines = F.split(text, "\n")
+    own_words, own_lines, all_lines = free(docs, "_words", "_lines", "_n_lines")
     judged = docs.select(
         *others,
         F.length(without_spaces(text)).cast("bigint").alias("word_chars"),
@@ -147,20 +148,20 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             lambda w: F.struct(
                 F.size(w).cast("bigint").alias("n"), repeated_words(w).alias("repeated")
             ),
-        ).alias("_words"),
-        F.filter(lines, lambda line: ~line_fails(line, rules)).alias("_lines"),
-        F.size(lines).alias("_n_lines"),
+        ).alias(own_words),
+        F.filter(lines, lambda line: ~line_fails(line, rules)).alias(own_lines),
+        F.size(lines).alias(all_lines),
     )
     names = [c for c in docs.columns if c not in COLUMNS]
     counted = judged.select(
         *(F.col(f"`{c}`") for c in names),
-        F.col("_words.n").alias("n_words"),
+        F.col(f"{own_words}.n").alias("n_words"),
         "word_chars",
         "n_symbols",
         "n_dup_lines",
-        F.col("_words.repeated").alias("n_repeat_words"),
-        F.array_join("_lines", "\n").alias("clean_text"),
-        (F.col("_n_lines") - F.size("_lines")).cast("bigint").alias("n_failed_lines"),
+        F.col(f"{own_words}.repeated").alias("n_repeat_words"),
+        F.array_join(own_lines, "\n").alias("clean_text"),
+        (F.col(all_lines) - F.size(own_lines)).cast("bigint").alias("n_failed_lines"),
     )
     base_failed = (F.col("n_words") < rules.min_words) | (
         100 * F.col("n_repeat_words") > rules.max_repeated * F.col("n_words")

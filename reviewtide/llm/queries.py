@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewtide.llm import bpe, exact, lines, mixing, quality, sharding, tokenfile
+from reviewtide.llm import (
+    bpe,
+    exact,
+    html_extract,
+    lines,
+    mixing,
+    ngram_join,
+    quality,
+    sharding,
+    suffix_dedup,
+    tokenfile,
+)
 from reviewtide.llm.common import documents, workspace_of
 from reviewtide.session import use_utc
 
@@ -57,6 +68,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@register
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    like = ngram_join.Similarity(words=3, percent=90)
+    return ngram_join.similar_groups(documents(spark, sf_dir), workspace_of(spark), like)
+
+
 @register
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(documents(spark, sf_dir), workspace_of(spark)).select(
@@ -65,6 +82,12 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return html_extract.extract(pages, html_extract.trained(pages))
+
+
 @register
 def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = workspace_of(spark).path("token_ids")
@@ -79,6 +102,14 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(documents(spark, sf_dir), workspace_of(spark))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @register
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir), workspace_of(spark))

@@ -271,7 +271,8 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and hashes of ``ids`` and ``decoded`` in place of both and of the text."""
-    names = [c for c in decoded.columns if c not in ("ids", "decoded", "text")]
+    gone = ("ids", "decoded", "text", "n_tokens", "ids_sha256", "decoded_sha256")
+    names = [c for c in decoded.columns if c not in gone]
     return decoded.select(
         *(F.col(f"`{c}`") for c in names),
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -174,7 +174,7 @@ def train(labelled: list[tuple[Page, np.ndarray]], epochs: int = EPOCHS) -> Mode
     theta = np.zeros(len(FEATURES) + 4)
     mean, spread = np.zeros_like(theta), np.zeros_like(theta)
     observed = np.zeros_like(theta)
-    n = sum(len(y) for _, y in labelled)
+    n = sum(len(y) for _, y in labelled) or 1
     for page, y in labelled:
         observed[:-4] += y @ page.features
         np.add.at(observed[-4:], 2 * y[page.parents[1:]] + y[1:], 1)

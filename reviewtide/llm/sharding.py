@@ -50,6 +50,7 @@ class Cutter:
         self.leaves, self.shards = leaves, shards
         self.ends = list(accumulate(leaf.size for leaf in leaves))
         self.total = self.ends[-1] if leaves else 0
+        self.largest = sorted(((x.size, k) for k, x in enumerate(leaves)), reverse=True)[:shards]
         self.split: set[str] = set()
 
     def _fill(self, start: int, capacity: int) -> int:
@@ -79,6 +80,15 @@ class Cutter:
                 low = middle + 1
         return low
 
+    def _share(self, start: int, left: int) -> int:
+        """What each of ``left`` shards gets of the leaves from ``start``, where groups larger
+        than that have shards of their own."""
+        rest = self.total - (self.ends[start - 1] if start else 0)
+        for size, at in self.largest:
+            if at >= start and left > 1 and size * left > rest:
+                rest, left = rest - size, left - 1
+        return -(-rest // left)
+
     def cuts(self) -> list[int]:
         """The first leaf of each shard but the first."""
         capacity, start, cuts = self.capacity(), 0, []
@@ -86,7 +96,7 @@ class Cutter:
             before = self.ends[start - 1] if start else 0
             left = self.shards - shard
             most = self._fill(start, capacity)
-            share = -(-(self.total - before) // left)
+            share = self._share(start, left)
             end = min(most, max(self._fill(start, share), start))
             # The share ends inside leaf ``end``: take it too if it fits, so that less remains.
             if end < most and (self.ends[end - 1] if end else 0) - before < share:

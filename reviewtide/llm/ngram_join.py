@@ -7,10 +7,12 @@ shingles that two linked sets must share. Of a candidate pair, the overlap of ea
 one group with the union of the other bounds its similarity, and only if the bound allows
 a link the groups are opened and their sets compared.
 
-Which shingles must be shared: in any order of all shingles, two sets of Jaccard
-similarity t have one in common among the first n - ceil(t n) + 1 of each. The order
-here is by rarity, as counted by a sketch of fixed size, so that passages in many
-documents bring no candidates. The sketch bears on cost alone, not on the result.
+Which shingles must be shared: a set of n shingles may lack n - ceil(t n) of them in a
+set of Jaccard similarity t. So in any order of all shingles, the first n - ceil(t n) + k
+of both have k in common. The order here is by rarity, as counted by a sketch of fixed
+size, so that passages in many documents come last. A set that shares fewer than k of its
+first shingles with all others together has no link and is left out at once. The sketch
+bears on cost alone, not on the result.
 
 Only components are asked for, so groups are first compared with the first group of
 their shingles, which connects the groups of a hot family at a cost linear in their
@@ -40,7 +42,9 @@ from reviewtide.llm.components import components
 from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.session import Workspace
 
-SLOT_BITS = 21  # the sketch: two million counters, 8 MB
+SLOT_BITS = 20  # the sketch: a million counters, 4 MB
+MORE_PART = 20  # of a set's shingles, one in so many is looked at beyond those that may be missing
+PRUNINGS = 2
 GROUP_SETS = 48  # sets in a group, about
 COLUMNS_AT_ONCE = 4096
 ROWS_PER_TASK = 4000  # sets that one task compares, about
@@ -57,8 +61,18 @@ class Similarity:
     words: int = 5
     percent: int = 80
 
+    def may_miss(self, n: int) -> int:
+        """How many of its ``n`` shingles a set may have that a linked one has not."""
+        return n - -(-self.percent * n // 100)
+
     def must_share(self, n: int) -> int:
-        return n - -(-self.percent * n // 100) + 1
+        """How many of its first shingles it has to share with the first ones of a linked set,
+        be that as small as it may."""
+        return 1 + -(-self.percent * n // 100) // MORE_PART
+
+    def first(self, n: int) -> int:
+        """How many of its shingles count as the first, in any order of all shingles."""
+        return self.may_miss(n) + 1 + n // MORE_PART
 
 
 class WordHashes(dict):
@@ -141,30 +155,35 @@ def summed_sketch(scanned: DataFrame) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, like: Similarity, sketch: np.ndarray) -> DataFrame:
-    """Per document that has shingles: d1, d2, first, prefix (the shingles it must share one of)."""
+    """Per document that has shingles: rep, its first shingles, and how many it must share."""
     rarity = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def rarest(s: np.ndarray) -> np.ndarray:
         counts = rarity.value[s >> np.uint64(64 - SLOT_BITS)]
-        return s[np.lexsort((s, counts))[: like.must_share(len(s))]]
+        return s[np.lexsort((s, counts))[: like.first(len(s))]]
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, sets in _shingled(batches, like.words):
-            sets = [s for s in sets if len(s)]
-            if not sets:
+        for ids, sets in _shingled(batches, like.words):
+            found = [(d, s) for d, s in zip(ids, sets) if len(s)]
+            if not found:
                 continue
-            d1, d2 = _digests(sets)
-            picked = [rarest(s) for s in sets]
+            picked = [rarest(s) for _, s in found]
             offsets = np.cumsum([0, *map(len, picked)], dtype=np.int32)
             flat = np.concatenate(picked).view(np.int64)
+            must = [like.must_share(len(s)) for _, s in found]
             yield pa.RecordBatch.from_arrays(
-                [d1, d2, _signed(s[0] for s in sets), pa.ListArray.from_arrays(offsets, flat)],
-                ["d1", "d2", "first", "prefix"],
-            )
+                [pa.array([d for d, _ in found], pa.int64()), pa.array(must, pa.int64()),
+                 pa.ListArray.from_arrays(offsets, flat)],
+                ["rep", "must", "first"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(task, "rep bigint, must bigint, first array<bigint>")
 
-    return docs.filter("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(
-        task, "d1 bigint, d2 bigint, first bigint, prefix array<bigint>"
-    )
+
+def shared_rows(rows: DataFrame) -> DataFrame:
+    """The rows (rep, token, ...) whose token another set has as well."""
+    owners = rows.groupBy("token").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    return rows.join(owners.filter("low < high").select("token"), "token", "left_semi")
 
 
 def whole_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -298,37 +317,42 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     scanned = ws.write(scan(docs, like.words), "scanned")
     sketch = summed_sketch(scanned)
     documents = scanned.filter("sketch IS NULL").drop("sketch")
+    with_set = documents.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     sets = ws.write(
-        documents.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-        .groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("rep"), F.min("first").alias("first")),
+        with_set.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.min("first").alias("first")),
         "sets",
     )
-    large = ws.write(
-        sets.groupBy("first").count().filter(F.col("count") > GROUP_SETS).select(
-            "first", F.ceil(F.col("count") / GROUP_SETS).alias("parts")
-        ),
-        "large_groups",
+    # One document of each set goes on: those of equal sets are left out, and those without.
+    copies = with_set.join(sets.select("d1", "d2", "rep"), ["d1", "d2"]).filter("doc_id <> rep")
+    copies = ws.write(copies.select("doc_id").distinct(), "copies")
+    single = docs.filter("doc_id IS NOT NULL").join(checked_broadcast(copies), "doc_id", "left_anti")
+    chosen = ws.write(prefixes(single, like, sketch), "prefixes")
+
+    # Sets that share too few of their first shingles with any others have no link at all.
+    rows = chosen.select("rep", "must", F.explode("first").alias("token"))
+    hits = ws.write(shared_rows(rows), "hits")
+    for _ in range(PRUNINGS):
+        enough = hits.groupBy("rep", "must").count().filter(F.col("count") >= F.col("must")).select("rep")
+        hits = ws.write(shared_rows(hits.join(enough, "rep", "left_semi")), "hits")
+    left = hits.select("rep").distinct()
+
+    placed = sets.join(left, "rep", "left_semi")
+    large = (
+        placed.groupBy("first").count().filter(F.col("count") > GROUP_SETS)
+        .select("first", F.ceil(F.col("count") / GROUP_SETS).alias("parts"))
     )
     grp = _group(F.col("first"), F.col("parts"), F.col("d2")).alias("grp")
-    chosen = ws.write(
-        prefixes(docs, like, sketch).join(large, "first", "left").select(grp, "prefix"), "prefixes"
-    )
-    rows = chosen.select(F.explode("prefix").alias("token"), "grp")
-    shared = rows.groupBy("token").agg(F.min("grp").alias("hub"), F.max("grp").alias("last"))
-    shared = ws.write(shared.filter("hub < last").drop("last"), "shared")
-    matrix = ws.write(rows.join(shared, "token").distinct(), "matrix")
-
-    placed = sets.join(large, "first", "left").select("rep", grp)
-    several = placed.groupBy("grp").count().filter("count > 1").select("grp")
-    opened = matrix.select("grp").unionByName(several).distinct()
-    wanted = ws.write(placed.join(opened, "grp", "left_semi"), "wanted")
+    placed = ws.write(placed.join(large, "first", "left").select("rep", grp), "placed")
+    found_in = ws.write(hits.select("rep", "token").join(placed, "rep").select("token", "grp").distinct(), "found_in")
+    hubs = found_in.groupBy("token").agg(F.min("grp").alias("hub"), F.max("grp").alias("last"))
+    matrix = ws.write(found_in.join(hubs.filter("hub < last").drop("last"), "token"), "matrix")
+
     texts = docs.join(
-        checked_broadcast(wanted.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi"
+        checked_broadcast(placed.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi"
     )
     tokens = whole_sets(texts, like.words).withColumnRenamed("doc_id", "rep")
-    members = ws.write(tokens.join(wanted, "rep"), "members")
-
+    members = ws.write(tokens.join(placed, "rep"), "members")
+    several = placed.groupBy("grp").count().filter("count > 1")
     inside = several.select(F.col("grp").alias("p"), F.col("grp").alias("q"))
     to_hub = matrix.filter("grp <> hub").select(F.col("hub").alias("p"), F.col("grp").alias("q"))
     links = compare(inside.unionByName(to_hub).distinct(), members, like.percent, ws)

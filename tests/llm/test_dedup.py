@@ -125,11 +125,20 @@ def test_components_of_a_chain(spark, ws):
 
 
 def test_shared_prefix_bound():
-    """Linked sets share one of the shingles that each must share, in any order."""
-    like = ngram_join.Similarity(3, 90)
-    for n in range(1, 200):
-        assert n - like.must_share(n) + 1 >= 0.9 * n
-        assert n - like.must_share(n) < 0.9 * n
+    """Linked sets share as many of their first shingles as they must, in any order."""
+    rng = np.random.default_rng(2)
+    for words, percent in ((3, 90), (5, 80)):
+        like = ngram_join.Similarity(words, percent)
+        for n in range(1, 150):
+            order = rng.permutation(2 * n + 2).tolist()
+            for more in range(like.may_miss(n) + 1):
+                a = set(range(n))
+                b = set(range(more, n)) | set(range(n, n + max(0, int(rng.integers(-1, 3)))))
+                if 100 * len(a & b) < percent * len(a | b):
+                    continue
+                firsts = [sorted(s, key=order.__getitem__)[: like.first(len(s))] for s in (a, b)]
+                must = max(like.must_share(len(a)), like.must_share(len(b)))
+                assert len(set(firsts[0]) & set(firsts[1])) >= must
 
 
 def test_loser_tree():

@@ -48,7 +48,7 @@ GRAM = 16
 REACH = WINDOW - 1  # bytes before the first anchor of a repeated string, at most
 SURE = LENGTH - REACH  # bytes after it, at least
 END = b"\xff"  # no byte of UTF-8: a text's end
-RUN_CONTEXTS = 200_000  # a task sorts so many at once
+RUN_CONTEXTS = 100_000  # a task sorts so many at once
 PLACE_CONTEXTS = 50_000  # a task merges so many, about
 MANY = 20_000
 _FACTOR = np.array([0x9E3779B97F4A7C15], np.uint64)
@@ -122,16 +122,15 @@ def scan(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(task, "doc_id bigint, at array<int>, keys array<bigint>")
 
 
-def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
-    """(doc_id, position, key, context) of the anchors listed with the documents."""
+def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+    """(doc_id, position, context) of the anchors listed with the documents."""
     for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary()).to_pylist()
-        columns = (batch.column(c).to_pylist() for c in ("doc_id", "at", "keys"))
-        for text, doc_id, at, keys in zip(texts, *columns):
+        for text, doc_id, at in zip(texts, batch.column("doc_id").to_pylist(), batch.column("at").to_pylist()):
             text = text or b""
-            for p, key in zip(at, keys):
+            for p in at:
                 if p + SURE <= len(text):
-                    yield doc_id, p, key, context(text, p)
+                    yield doc_id, p, context(text, p)
 
 
 RUNS = "place int, run bigint, shared binary, lengths binary, counts binary, rests binary"
@@ -172,8 +171,8 @@ def sorted_runs(texts: DataFrame, places: int) -> DataFrame:
             for k in range(0, len(found), 64):
                 yield pa.RecordBatch.from_pylist(found[k : k + 64], schema)
 
-        for _, _, key, string in _contexts(batches):
-            waiting.append((key % places, string))
+        for _, _, string in _contexts(batches):
+            waiting.append((xxhash.xxh64_intdigest(string[:SURE]) % places, string))
             if len(waiting) >= RUN_CONTEXTS:
                 yield from out()
                 waiting, run = [], run + 1
@@ -312,7 +311,7 @@ def context_hashes(texts: DataFrame) -> DataFrame:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            rows = [(d, p, *_digest(c)) for d, p, _, c in _contexts([batch])]
+            rows = [(d, p, *_digest(c)) for d, p, c in _contexts([batch])]
             columns = list(zip(*rows)) or [[]] * 4
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "at", "c1", "c2"])
@@ -320,9 +319,11 @@ def context_hashes(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(task, "doc_id bigint, at int, c1 bigint, c2 bigint")
 
 
-def _merged(spans: list[dict], n: int) -> list[tuple[int, int]]:
+def _merged(spans: Iterable[tuple[int, int]], n: int | None = None) -> list[tuple[int, int]]:
+    """The spans joined where they meet, and cut at ``n``."""
     found: list[list[int]] = []
-    for a, b in sorted((s["a"], min(s["b"], n)) for s in spans):
+    for a, b in sorted(spans):
+        b = b if n is None else min(b, n)
         if found and a <= found[-1][1]:
             found[-1][1] = max(found[-1][1], b)
         elif a < b:
@@ -330,6 +331,19 @@ def _merged(spans: list[dict], n: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in found]
 
 
+def joined_spans(spans: DataFrame) -> DataFrame:
+    """Lists of (a, b) made as short as they can be."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            lists = [_merged((s["a"], s["b"]) for s in row) for row in batch.column("spans").to_pylist()]
+            kind = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+            short = pa.array([[{"a": a, "b": b} for a, b in x] for x in lists], kind)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), short], ["doc_id", "spans"])
+
+    return spans.mapInArrow(task, "doc_id bigint, spans array<struct<a int, b int>>")
+
+
 def without_spans(docs: DataFrame) -> DataFrame:
     """``docs`` (with ``spans``) as doc_id, n_bytes, n_removed, n_spans, kept (bytes)."""
 
@@ -340,7 +354,7 @@ def without_spans(docs: DataFrame) -> DataFrame:
             sizes, removed, n_spans, kept = [], [], [], []
             for text, spans in zip(texts, batch.column("spans").to_pylist()):
                 text = text or b""
-                spans = _merged(spans or [], len(text))
+                spans = _merged(((x["a"], x["b"]) for x in spans or []), len(text))
                 ends = [0, *(b for _, b in spans)]
                 starts = [*(a for a, _ in spans), len(text)]
                 rest = b"".join(text[a:b] for a, b in zip(ends, starts))
@@ -364,20 +378,13 @@ def remove_repeats(docs: DataFrame, ws: Workspace, many: int = MANY) -> DataFram
         "doc_id", F.explode("z").alias("z")
     ).select("doc_id", "z.at", F.col("z.keys").alias("key"))
     repeated = ws.write(each.groupBy("key").count().filter("count > 1").select("key"), "repeated_keys")
-    left = each.join(repeated, "key", "left_semi")
-    listed = ws.write(
-        left.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("key").alias("keys")),
-        "listed",
-    )
+    left = each.join(checked_broadcast(repeated), "key", "left_semi")
+    listed = ws.write(left.groupBy("doc_id").agg(F.collect_list("at").alias("at")), "listed")
     n, = listed.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()
     partitions = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
     places = max(partitions, -(-n // PLACE_CONTEXTS))
-    texts = ws.write(
-        docs.join(checked_broadcast(listed), docs["doc_id"].eqNullSafe(listed["doc_id"])).select(
-            docs["doc_id"], "text", "at", "keys"
-        ),
-        "texts",
-    )
+    own = checked_broadcast(listed)
+    texts = docs.join(own, docs["doc_id"].eqNullSafe(own["doc_id"])).select(docs["doc_id"], "text", "at")
     reaches = ws.write(merged_reaches(sorted_runs(texts, places), many), "reaches")
     columns = ("c1", "c2", "to_left", "to_right")
     known = reaches.filter("crowd IS NULL").select(*columns)
@@ -385,9 +392,8 @@ def remove_repeats(docs: DataFrame, ws: Workspace, many: int = MANY) -> DataFram
     if not crowd.isEmpty():
         known = known.unionByName(crowd_reaches(crowd).select(*columns))
     span = F.struct((F.col("at") - F.col("to_left")).alias("a"), (F.col("at") + F.col("to_right")).alias("b"))
-    spans = ws.write(
-        context_hashes(texts).join(known, ["c1", "c2"]).groupBy("doc_id").agg(F.collect_list(span).alias("spans")),
-        "spans",
-    )
-    joined = docs.join(checked_broadcast(spans), docs["doc_id"].eqNullSafe(spans["doc_id"]), "left")
+    around = context_hashes(texts).join(known, ["c1", "c2"])
+    spans = joined_spans(around.groupBy("doc_id").agg(F.collect_list(span).alias("spans")))
+    spans = checked_broadcast(ws.write(spans, "spans"))
+    joined = docs.join(spans, docs["doc_id"].eqNullSafe(spans["doc_id"]), "left")
     return without_spans(joined.select(docs["doc_id"], "text", "spans"))

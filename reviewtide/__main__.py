@@ -25,7 +25,9 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("category", help="text that categories of the star contain")
         command.add_argument("--database", default="default", help="where the star tables go")
         command.add_argument("--scale", type=int, default=0, help="of the decimal measures")
-        command.add_argument("--buckets", type=int, help="lay the star out for local joins")
+        command.add_argument(
+            "--buckets", help="lay the star out for local joins: a number, or auto for one by size"
+        )
         command.add_argument("--min-reviews", type=int, default=MIN_REVIEWS)
         command.add_argument("--repair", choices=("blind", "token"), default="blind")
     return top
@@ -34,7 +36,8 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     given = parser().parse_args(arguments)
     spark = SparkSession.builder.appName("reviewtide").getOrCreate()
-    warehouse = Warehouse(given.category, given.database, given.scale, given.buckets)
+    buckets = int(given.buckets) if (given.buckets or "").isdigit() else given.buckets
+    warehouse = Warehouse(given.category, given.database, given.scale, buckets)
     rest = (given.out, warehouse, given.min_reviews, given.repair)
     if given.command == "run":
         published = run(spark, given.places, given.reviews, given.population, *rest)

@@ -8,12 +8,17 @@ on place and slice then gives each fact row its place exactly once.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewtide.operators.sizing import measured_bytes
 from reviewtide.session import concurrently
 
 SLICED_KEY = ["gPlusPlaceId", "slice"]
+BUCKET_BYTES = 256 << 20
+MIN_BUCKETS = 2
 
 
 def place_slices(fact: DataFrame, buckets: int) -> DataFrame:
@@ -53,41 +58,69 @@ def slice_places(places: DataFrame, slices: DataFrame) -> DataFrame:
     )
 
 
-def replace_bucketed(df: DataFrame, table: str, keys: list[str], buckets: int) -> DataFrame:
-    """Write a bucketed, sorted table with one file per bucket."""
+def replace_bucketed(
+    df: DataFrame, table: str, keys: list[str], buckets: int, path: str | None = None
+) -> DataFrame:
+    """Write a bucketed, sorted table with one file per bucket (below ``path``, if given)."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    (
+    writer = (
         df.repartition(buckets, *keys)
-        .write.bucketBy(buckets, *keys)
+        .write.mode("overwrite")
+        .bucketBy(buckets, *keys)
         .sortBy(*keys)
-        .saveAsTable(table, format="parquet")
     )
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table, format="parquet")
     return spark.table(table)
 
 
-def write_layout(star: dict[str, DataFrame], prefix: str, buckets: int) -> dict[str, DataFrame]:
-    """Write the star tables in their layout; ``prefix`` is put before each name.
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """As many buckets as keep one at about ``bucket_bytes``, by the measured size."""
+    return max(MIN_BUCKETS, -(-measured_bytes(df) // bucket_bytes))
+
+
+@dataclass(frozen=True)
+class Laid:
+    """How a table is laid out."""
+
+    rows: DataFrame
+    keys: list[str]
+    buckets: int
+
+
+def plan_layout(star: dict[str, DataFrame], buckets: int | None = None) -> dict[str, Laid]:
+    """Each star table with its keys and its number of buckets.
 
     ``star`` has to come from a written staging table, see :func:`slice_fact`.
-    ``reviews`` and ``places`` get the column ``slice``. Users and population have
-    unique keys, so no bucket of theirs is hot.
+    ``reviews`` and ``places`` get the column ``slice``, and share the fact's number of
+    buckets, by default one that follows from the fact's size; users and population have
+    unique keys, so no bucket of theirs is hot, and numbers by their own sizes.
     """
-    slices = place_slices(star["reviews"], buckets)
-    frames = {
-        "reviews": (slice_fact(star["reviews"], slices), SLICED_KEY),
-        "places": (slice_places(star["places"], slices), SLICED_KEY),
-        "users": (star["users"], ["gPlusUserId"]),
-        "population": (star["population"], ["postcode"]),
+    shared = buckets or buckets_for(star["reviews"])
+    slices = place_slices(star["reviews"], shared)
+    return {
+        "reviews": Laid(slice_fact(star["reviews"], slices), SLICED_KEY, shared),
+        "places": Laid(slice_places(star["places"], slices), SLICED_KEY, shared),
+        "users": Laid(star["users"], ["gPlusUserId"], buckets_for(star["users"])),
+        "population": Laid(star["population"], ["postcode"], buckets_for(star["population"])),
     }
+
+
+def write_layout(
+    star: dict[str, DataFrame], prefix: str, buckets: int | None = None
+) -> dict[str, DataFrame]:
+    """Write the star tables in their layout; ``prefix`` is put before each name."""
+    plan = plan_layout(star, buckets)
     tables = concurrently(
         star["reviews"].sparkSession,
         *(
-            lambda name=name, df=df, keys=keys: replace_bucketed(df, prefix + name, keys, buckets)
-            for name, (df, keys) in frames.items()
+            lambda n=n, t=t: replace_bucketed(t.rows, prefix + n, t.keys, t.buckets)
+            for n, t in plan.items()
         ),
     )
-    return dict(zip(frames, tables))
+    return dict(zip(plan, tables))
 
 
 def without_slices(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from reviewtide.schemas import conform, star_fields
 
@@ -24,9 +24,24 @@ def build_star(staging: DataFrame, scale: int = 0) -> dict[str, DataFrame]:
     }
 
 
-def replace_table(df: DataFrame, table: str) -> DataFrame:
-    """Drop ``table`` if it exists, write it anew, return it."""
+def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """Drop ``table`` if it exists, write it anew (its files to ``path``), return it."""
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    df.write.saveAsTable(table, format="parquet")
+    writer = df.write.mode("overwrite")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table, format="parquet")
+    return spark.table(table)
+
+
+def register_table(
+    spark: SparkSession, table: str, like: DataFrame, path: str, keys: list[str], buckets: int | None
+) -> DataFrame:
+    """Let ``table`` name the files at ``path``, which are complete. They are not copied."""
+    columns = ", ".join(f"`{name}` {type_}" for name, type_ in like.dtypes)
+    by = ", ".join(f"`{key}`" for key in keys)
+    layout = "" if buckets is None else f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
     return spark.table(table)

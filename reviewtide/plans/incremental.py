@@ -8,7 +8,7 @@ anew, the other lake folders stay as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from reviewtide.operators.averages import merge_totals, user_averages
@@ -18,26 +18,28 @@ from reviewtide.operators.categories import (
     has_categories,
     keep_categories,
 )
+from reviewtide.operators.quality import enforce, guard_join_fanout
 from reviewtide.operators.sizing import checked_broadcast
-from reviewtide.plans.lake import usa_places
+from reviewtide.plans.lake import build_part, usa_places
 from reviewtide.plans.prepare import review_features
-from reviewtide.plans.store import Store
+from reviewtide.plans.store import IN_LAKE, Store, checked_batch_name
+from reviewtide.schemas import REVIEW_FEATURES, conform
 from reviewtide.session import Workspace
 from reviewtide.sources.writers import write_partitioned
 
 
-def changed_users(store: Store, batch: str) -> DataFrame:
-    """Users whose average differs with and without ``batch``."""
+def changed_users(store: Store, batches: list[str]) -> DataFrame:
+    """Users whose average differs with and without ``batches``."""
     spark, path = store.spark, store.totals_path
     totals = spark.read.schema(
         "gPlusUserId string, ratingSum double, ratingCount bigint, batch string"
     ).parquet(path)
-    new_users = totals.filter(F.col("batch") == batch).select(F.col("gPlusUserId").alias("_user"))
+    new = F.col("batch").isin(batches)
+    new_users = totals.filter(new).select(F.col("gPlusUserId").alias("_user"))
     same = F.col("gPlusUserId").eqNullSafe(F.col("_user"))
     concerned = totals.join(new_users, same, "left_semi")
-    before = concerned.filter(F.col("batch") != batch)
     averages = user_averages(merge_totals(concerned)).withColumnRenamed("userAvgRating", "now")
-    earlier = user_averages(merge_totals(before)).toDF("_user", "was")
+    earlier = user_averages(merge_totals(concerned.filter(~new))).toDF("_user", "was")
     return (
         averages.join(earlier, same, "inner")
         .filter(~F.col("now").eqNullSafe(F.col("was")))
@@ -45,34 +47,64 @@ def changed_users(store: Store, batch: str) -> DataFrame:
     )
 
 
-def touched_categories(ws: Workspace, store: Store, batch: str) -> DataFrame:
+def touched_categories(ws: Workspace, store: Store, batches: list[str]) -> DataFrame:
     """Categories with a new row, or with an older row whose average changed."""
-    users = ws.write(changed_users(store, batch), "changed_users")
+    users = ws.write(changed_users(store, batches), "changed_users")
     users = checked_broadcast(users.withColumnRenamed("gPlusUserId", "_user"))
     same = F.col("gPlusUserId").eqNullSafe(F.col("_user"))
     older = has_categories(store.reviews()).join(users, same, "left_semi")
     pairs = explode_categories(older.select("gPlusPlaceId", "categories")).distinct()
     ids = usa_places(store.places()).select("gPlusPlaceId")
     stale = pairs.join(ids, "gPlusPlaceId", "left_semi").select("category")
-    touched = stale.union(store.counts(batch).select("category"))
+    counts = store.spark.read.schema("category string, batch string").parquet(store.counts_path)
+    fresh = counts.filter(F.col("batch").isin(batches)).select("category")
     # Null and '' share a lake folder, so one of them brings the other along.
     category = F.col("category")
     folder = F.when(
         F.coalesce(category, F.lit("")) == "", F.array(F.lit(None).cast("string"), F.lit(""))
     ).otherwise(F.array(category))
-    return touched.select(F.explode(folder).alias("category")).distinct()
+    return stale.union(fresh).select(F.explode(folder).alias("category")).distinct()
 
 
-def rewrite_touched(ws: Workspace, store: Store, lake: DataFrame, batch: str) -> None:
-    """Write the folders of ``lake`` that ``batch`` changes."""
-    touched = ws.write(touched_categories(ws, store, batch), "touched")
-    write_partitioned(keep_categories(lake, touched), store.lake_path, touched_only=True)
+def rewrite_touched(ws: Workspace, store: Store, min_reviews: int = MIN_REVIEWS) -> None:
+    """Write the lake folders that batches not yet in the lake change.
+
+    Only reviews of these categories are joined.
+    """
+    batches = store.pending()
+    touched = ws.write(touched_categories(ws, store, batches), "touched")
+    kept = store.category_counts().filter(F.col("num_reviews") > min_reviews)
+    counts = ws.write(keep_categories(kept, touched), "touched_counts")
+    averages = ws.write(store.averages(), "averages")
+    part = build_part(store.reviews(), store.places(), averages, counts.select("category"))
+    write_partitioned(part, store.lake_path, counts, touched_only=True)
+    store.mark(IN_LAKE, batches)
 
 
 def append_batch(
     ws: Workspace, store: Store, raw_reviews: DataFrame, batch: str, min_reviews: int = MIN_REVIEWS
 ) -> DataFrame:
-    """Add ``raw_reviews`` as ``batch`` and return the lake with it."""
-    store.write_batch(review_features(raw_reviews), batch, first=False)
-    rewrite_touched(ws, store, store.build_lake(ws, min_reviews), batch)
+    """Add ``raw_reviews`` as ``batch`` and return the lake with it.
+
+    Nothing is written to the store if a join would multiply the batch's reviews.
+    """
+    add_batch(ws, store, review_features(raw_reviews), batch, min_reviews)
     return store.lake()
+
+
+def add_batch(
+    ws: Workspace,
+    store: Store,
+    features: DataFrame,
+    batch: str,
+    min_reviews: int = MIN_REVIEWS,
+    raw_bytes: int = 0,
+) -> list[Row]:
+    """Check a batch, write it, bring the lake up to date; returns the check rows."""
+    checked_batch_name(batch)
+    features = ws.write(conform(features, REVIEW_FEATURES), "batch")
+    report = enforce(guard_join_fanout(features, usa_places(store.places())))
+    store.write_missing_states()
+    store.write_batch(features, batch, first=False, raw_bytes=raw_bytes)
+    rewrite_touched(ws, store, min_reviews)
+    return report

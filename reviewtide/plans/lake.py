@@ -28,20 +28,29 @@ def join_reviews_places(reviews: DataFrame, places: DataFrame) -> DataFrame:
     return has_categories(reviews).join(usa_places(places), "gPlusPlaceId", "inner")
 
 
-def exploded_lake(reviews: DataFrame, places: DataFrame, averages: DataFrame) -> DataFrame:
+def _with_average(reviews: DataFrame, averages: DataFrame | None) -> DataFrame:
+    if averages is None:
+        return reviews.withColumn("userAvgRating", F.lit(None).cast("double"))
+    return with_user_average(reviews, averages)
+
+
+def exploded_lake(
+    reviews: DataFrame, places: DataFrame, averages: DataFrame | None
+) -> DataFrame:
     """The lake before the rare filter.
 
     Averages come from all reviews, so they can be joined after the places have
     removed the reviews that are not needed. Rows multiply last, after both shuffles.
+    Without ``averages`` they are null: for questions that do not ask for them.
     """
-    joined = with_user_average(join_reviews_places(reviews, places), averages)
+    joined = _with_average(join_reviews_places(reviews, places), averages)
     return explode_categories(joined).select(names(LAKE))
 
 
 def build_lake(
     reviews: DataFrame,
     places: DataFrame,
-    averages: DataFrame,
+    averages: DataFrame | None,
     counts: DataFrame,
     min_reviews: int = MIN_REVIEWS,
 ) -> DataFrame:
@@ -50,17 +59,32 @@ def build_lake(
     return keep_categories(exploded, kept_categories(counts, min_reviews))
 
 
+def build_part(
+    reviews: DataFrame, places: DataFrame, averages: DataFrame, categories: DataFrame
+) -> DataFrame:
+    """The lake rows of ``categories`` (a written table of kept ones).
+
+    Reviews are narrowed to these categories before anything is joined, so the text of
+    all others is neither shuffled nor sorted.
+    """
+    rows = keep_categories(explode_categories(has_categories(reviews)), categories)
+    joined = rows.join(usa_places(places), "gPlusPlaceId", "inner")
+    return with_user_average(joined, averages).select(names(LAKE))
+
+
 def lake_of(
-    ws: Workspace, reviews: DataFrame, places: DataFrame, min_reviews: int = MIN_REVIEWS
+    ws: Workspace,
+    reviews: DataFrame,
+    places: DataFrame,
+    min_reviews: int = MIN_REVIEWS,
+    averages: bool = True,
 ) -> DataFrame:
     """The lake of prepared places and reviews that have no average yet."""
-    written = ws.write_all(
-        {
-            "averages": user_averages(user_totals(reviews)),
-            "counts": category_counts(reviews, usa_places(places)),
-        }
-    )
-    return build_lake(reviews, places, written["averages"], written["counts"], min_reviews)
+    tables = {"counts": category_counts(reviews, usa_places(places))}
+    if averages:
+        tables["averages"] = user_averages(user_totals(reviews))
+    written = ws.write_all(tables)
+    return build_lake(reviews, places, written.get("averages"), written["counts"], min_reviews)
 
 
 def rating_by_category(lake: DataFrame) -> DataFrame:

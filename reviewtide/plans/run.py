@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from reviewtide.operators.categories import MIN_REVIEWS
@@ -16,19 +16,22 @@ from reviewtide.operators.quality import (
     guard_populated,
     run_checks,
 )
-from reviewtide.plans.incremental import rewrite_touched
+from reviewtide.operators.star import replace_table
+from reviewtide.plans.incremental import add_batch
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import prepare_places, review_features
-from reviewtide.plans.store import Store
-from reviewtide.plans.warehouse import load_staging, load_star
+from reviewtide.plans.store import FIRST_BATCH, Store, checked_batch_name
+from reviewtide.plans.warehouse import register_star, staging_of_lake, write_star
 from reviewtide.schemas import (
     PLACES_RAW,
     POPULATION_RAW,
     REVIEWS_RAW,
     STAR_KEYS,
     STAR_REFERENCES,
+    star_fields,
 )
 from reviewtide.session import (
+    Sizing,
     Workspace,
     concurrently,
     input_bytes,
@@ -36,10 +39,10 @@ from reviewtide.session import (
     use_utc,
     workspace,
 )
-from reviewtide.sources.readers import read_csv, read_dirty_json, read_parquet
-from reviewtide.sources.writers import write_partitioned, write_projected
+from reviewtide.sources.readers import read_csv, read_dirty_json
+from reviewtide.sources.writers import write_text
 
-FIRST_BATCH = "initial"
+SLOTS = ("a", "b")
 
 
 @dataclass(frozen=True)
@@ -54,42 +57,57 @@ class Published:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Which categories go into the star tables, and how and where those are kept."""
+    """Which categories go into the star tables, and how and where those are kept.
+
+    ``buckets``: a number, "auto" for one that follows from the size, or None for plain
+    tables.
+    """
 
     category: str
     database: str = "default"
     scale: int = 0
-    buckets: int | None = None
+    buckets: int | str | None = None
 
 
-def publish_star(
-    ws: Workspace, projected: DataFrame, warehouse: Warehouse
-) -> tuple[dict[str, DataFrame], list[Row]]:
-    """Staging, star tables and their checks. Staging leaves with the workspace."""
-    staging = load_staging(projected, warehouse.category, ws.table_name("staging"))
-    tables = load_star(staging, warehouse.database, warehouse.scale, warehouse.buckets)
-    plain = tables if warehouse.buckets is None else without_slices(tables)
-    return tables, enforce(run_checks(plain, STAR_KEYS, STAR_REFERENCES))
+def current_slot(spark: SparkSession, out: str) -> str | None:
+    """Which of the two star folders is the published one."""
+    try:
+        return spark.read.text(f"{out}/star/current").first()["value"]
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
 
 
-def publish(
-    ws: Workspace,
-    store: Store,
-    lake: DataFrame,
-    write_lake: Callable[[], object],
-    warehouse: Warehouse,
+def star_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The published star tables below ``out``, for a session whose catalog lacks them."""
+    folder = f"{out}/star/{current_slot(spark, out)}"
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in star_fields()}
+
+
+def publish_star(
+    ws: Workspace, store: Store, warehouse: Warehouse
 ) -> tuple[dict[str, DataFrame], list[Row]]:
-    """The lake and its projection side by side, then the star from the projection.
+    """Staging, star tables, their checks; only tables that pass are published.
 
-    Without the review text in its columns, no scan or shuffle of the second write
-    carries it.
+    The tables are written to the one of two folders that is not published. If writing or
+    checking fails, the published ones stay as they are.
     """
-    temp_lake = ws.path("temp_lake")
-    concurrently(ws.spark, write_lake, lambda: write_projected(lake, temp_lake))
-    projected = read_parquet(ws.spark, temp_lake)
-    populated = enforce(guard_populated({"reviews_lake": store.lake(), "temp_lake": projected}))
-    tables, checks = publish_star(ws, projected, warehouse)
-    return tables, populated + checks
+    rows = staging_of_lake(ws.spark, store.lake_path, warehouse.category)
+    staging = replace_table(rows, ws.table_name("staging"))
+    slot = SLOTS[current_slot(ws.spark, store.root) == SLOTS[0]]
+    star = write_star(
+        ws, staging, f"{store.root}/star/{slot}", warehouse.scale, warehouse.buckets
+    )
+    tables = {name: table.rows for name, table in star.items()}
+    plain = tables if warehouse.buckets is None else without_slices(tables)
+    report = run_checks(plain, STAR_KEYS, STAR_REFERENCES).unionByName(
+        guard_populated({"reviews_lake": store.lake(), "staging": staging})
+    )
+    checks = enforce(report)
+    published = register_star(ws.spark, star, warehouse.database)
+    write_text(ws.spark.createDataFrame([(slot,)], "value string").coalesce(1), f"{store.root}/star/current")
+    return published, checks
 
 
 def run(
@@ -101,37 +119,35 @@ def run(
     warehouse: Warehouse,
     min_reviews: int = MIN_REVIEWS,
     repair: str = "blind",
+    sizing: Sizing = Sizing(),
 ) -> Published:
     """Raw text is read, repaired and parsed once; everything after reads Parquet.
 
-    Star tables go into the warehouse database, everything else below ``out``. A
-    failed check raises before anything is published that depends on it. Steps that
-    do not need each other run side by side.
+    All files go below ``out``; the catalog's tables name the star files there. The lake
+    is computed once, and staging is read from it. A failed check raises before anything
+    is published that depends on it.
     """
     use_utc(spark)
     store = Store(spark, out)
     raw_bytes = input_bytes(spark, places_path, reviews_path)
-    with sized_for(spark, raw_bytes), workspace(spark) as ws:
+    with sized_for(spark, raw_bytes, sizing), workspace(spark) as ws:
         seen = {"places": Observation("places"), "reviews": Observation("reviews")}
         population = read_csv(spark, population_path, POPULATION_RAW)
         raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair, seen["places"])
         raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen["reviews"])
+        store.set_marks({})
         concurrently(
             spark,
             lambda: store.write_places(prepare_places(raw_places, population)),
             lambda: store.write_reviews(review_features(raw_reviews), FIRST_BATCH, first=True),
         )
-        store.write_states(FIRST_BATCH, first=True)
-
+        store.write_states(FIRST_BATCH, first=True, raw_bytes=raw_bytes)
         guards = guard_join_fanout(store.reviews(), usa_places(store.places())).unionByName(
             guard_filter_effective(store.category_counts(), min_reviews)
         )
-        report, lake = concurrently(
-            spark, lambda: enforce(guards), lambda: store.build_lake(ws, min_reviews)
-        )
-        tables, checks = publish(
-            ws, store, lake, lambda: write_partitioned(lake, store.lake_path), warehouse
-        )
+        report = enforce(guards)
+        store.write_lake(ws, min_reviews)
+        tables, checks = publish_star(ws, store, warehouse)
     return Published(store, tables, report + checks, {name: o.get for name, o in seen.items()})
 
 
@@ -143,22 +159,23 @@ def run_increment(
     warehouse: Warehouse,
     min_reviews: int = MIN_REVIEWS,
     repair: str = "blind",
+    sizing: Sizing = Sizing(),
 ) -> Published:
     """Add the raw reviews of one ``batch`` to the store below ``out``.
 
-    Lake folders without a change stay; the star tables are built anew. Repeating a
-    batch with the same reviews changes nothing.
+    Lake folders without a change stay; the star tables are built anew from the folders
+    of their categories. Repeating a batch with the same reviews changes nothing. Batches
+    that an earlier run did not finish are brought into the lake as well. Shuffles are
+    sized by the raw bytes of all batches.
     """
+    checked_batch_name(batch)
     use_utc(spark)
     store = Store(spark, out)
-    all_bytes = input_bytes(spark, reviews_path, store.reviews_path)
-    with sized_for(spark, all_bytes), workspace(spark) as ws:
+    new_bytes = input_bytes(spark, reviews_path)
+    with sized_for(spark, store.raw_bytes() + new_bytes, sizing), workspace(spark) as ws:
         seen = Observation("reviews")
         raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen)
-        store.write_batch(review_features(raw_reviews), batch, first=False)
-        report = enforce(guard_join_fanout(store.reviews(batch), usa_places(store.places())))
-        lake = store.build_lake(ws, min_reviews)
-        tables, checks = publish(
-            ws, store, lake, lambda: rewrite_touched(ws, store, lake, batch), warehouse
-        )
+        features = review_features(raw_reviews)
+        report = add_batch(ws, store, features, batch, min_reviews, new_bytes)
+        tables, checks = publish_star(ws, store, warehouse)
     return Published(store, tables, report + checks, {"reviews": seen.get})

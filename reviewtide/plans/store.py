@@ -3,12 +3,17 @@
 Prepared reviews and the two small states carry a ``batch`` column and are
 partitioned by it. A state row is what its batch adds, so a batch is written without
 reading what is there, and writing it again replaces it.
+
+Marks tell how far each batch has come: ``states`` once its states are written, ``lake``
+once the lake has its rows. A batch whose run died is caught up by the next one.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,9 +30,20 @@ from reviewtide.schemas import (
 )
 from reviewtide.session import Workspace, concurrently
 from reviewtide.sources.readers import read_lake, read_parquet
-from reviewtide.sources.writers import write_parquet
+from reviewtide.sources.writers import write_parquet, write_partitioned
 
 BATCH = ("batch", "string")
+FIRST_BATCH = "initial"
+STATES, IN_LAKE = "states", "lake"
+MARKS = "mark string, batch string, bytes bigint"
+_NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a null
+
+
+def checked_batch_name(batch: str) -> str:
+    """The name of a further batch. Names that could not be told from others are refused."""
+    if not batch or batch != batch.strip() or batch in (FIRST_BATCH, _NO_FOLDER):
+        raise ValueError(f"not a name for a further batch: {batch!r}")
+    return batch
 
 
 @dataclass(frozen=True)
@@ -55,6 +71,45 @@ class Store:
     def lake_path(self) -> str:
         return f"{self.root}/reviews_lake"
 
+    @property
+    def marks_path(self) -> str:
+        return f"{self.root}/state/marks"
+
+    def marks(self) -> dict[tuple[str, str], int]:
+        """Bytes of raw input by (mark, batch). There are two marks a batch at most."""
+        try:
+            rows = self.spark.read.schema(MARKS).parquet(self.marks_path).collect()
+        except AnalysisException as missing:
+            if "PATH_NOT_FOUND" not in str(missing):
+                raise
+            return {}
+        return {(row["mark"], row["batch"]): row["bytes"] for row in rows}
+
+    def set_marks(self, marks: dict[tuple[str, str], int]) -> None:
+        rows = [(mark, batch, n) for (mark, batch), n in sorted(marks.items())]
+        write_parquet(self.spark.createDataFrame(rows, MARKS).coalesce(1), self.marks_path)
+
+    def mark(self, mark: str, batches: Iterable[str], n: int | None = None) -> None:
+        known = self.marks()
+        states = {b: v for (m, b), v in known.items() if m == STATES}
+        self.set_marks(known | {(mark, b): states.get(b, 0) if n is None else n for b in batches})
+
+    def unmark(self, batch: str) -> None:
+        self.set_marks({k: n for k, n in self.marks().items() if k[1] != batch})
+
+    def batches(self) -> list[str]:
+        """Names of all batches of reviews; read off their folders."""
+        rows = read_parquet(self.spark, self.reviews_path, (*REVIEW_FEATURES, BATCH))
+        return sorted(row["batch"] for row in rows.select("batch").distinct().collect())
+
+    def pending(self) -> list[str]:
+        """Batches that the lake does not have yet."""
+        marks = self.marks()
+        return [batch for batch in self.batches() if (IN_LAKE, batch) not in marks]
+
+    def raw_bytes(self) -> int:
+        return sum(n for (mark, _), n in self.marks().items() if mark == STATES)
+
     def places(self) -> DataFrame:
         return read_parquet(self.spark, self.places_path, PLACES)
 
@@ -80,6 +135,15 @@ class Store:
             self.reviews(), self.places(), written["averages"], written["counts"], min_reviews
         )
 
+    def write_lake(self, ws: Workspace, min_reviews: int = MIN_REVIEWS) -> None:
+        """Compute the lake of all batches once and write it."""
+        counts = ws.write(self.category_counts(), "counts")
+        averages = ws.write(self.averages(), "averages")
+        lake = build_lake(self.reviews(), self.places(), averages, counts, min_reviews)
+        kept = counts.filter(F.col("num_reviews") > min_reviews)
+        write_partitioned(lake, self.lake_path, kept)
+        self.mark(IN_LAKE, self.batches())
+
     def lake(self) -> DataFrame:
         return read_lake(self.spark, self.lake_path)
 
@@ -96,7 +160,7 @@ class Store:
         """``first`` starts the store anew; otherwise the other batches stay."""
         self._write_batch(features, REVIEW_FEATURES, self.reviews_path, batch, first)
 
-    def write_states(self, batch: str, first: bool) -> None:
+    def write_states(self, batch: str, first: bool, raw_bytes: int = 0) -> None:
         """What the written reviews of ``batch`` add to the states."""
         reviews = self.reviews(batch)
         counts = category_counts(reviews, usa_places(self.places()))
@@ -107,10 +171,24 @@ class Store:
             ),
             lambda: self._write_batch(counts, CATEGORY_COUNTS, self.counts_path, batch, first),
         )
+        self.mark(STATES, [batch], raw_bytes)
 
-    def write_batch(self, features: DataFrame, batch: str, first: bool) -> None:
+    def write_missing_states(self) -> None:
+        """States of batches whose run died between their reviews and their states."""
+        marks = self.marks()
+        for batch in self.batches():
+            if (STATES, batch) not in marks:
+                self.write_states(batch, first=False)
+
+    def write_batch(
+        self, features: DataFrame, batch: str, first: bool, raw_bytes: int = 0
+    ) -> None:
+        if first:
+            self.set_marks({})
+        else:
+            self.unmark(batch)
         self.write_reviews(features, batch, first)
-        self.write_states(batch, first)
+        self.write_states(batch, first, raw_bytes)
 
     def _write_batch(
         self, df: DataFrame, fields: Fields, path: str, batch: str, first: bool

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.operators.categories import filter_category_like
-from reviewtide.operators.layout import write_layout
-from reviewtide.operators.star import build_star, replace_table
+from reviewtide.operators.layout import plan_layout, replace_bucketed
+from reviewtide.operators.star import build_star, register_table, replace_table
 from reviewtide.schemas import STAGING, conform
-from reviewtide.session import concurrently
+from reviewtide.session import Workspace, concurrently
+from reviewtide.sources.readers import read_lake_values
 from reviewtide.sources.writers import project_staging
 
 
@@ -25,24 +28,58 @@ def load_staging(projected: DataFrame, category: str, table: str) -> DataFrame:
     return replace_table(filter_category_like(conform(projected, STAGING), category), table)
 
 
-def load_star(
-    staging: DataFrame, database: str, scale: int = 0, buckets: int | None = None
-) -> dict[str, DataFrame]:
-    """Write the star tables of a written staging table into ``database``.
+def staging_of_lake(spark: SparkSession, lake_path: str, category: str) -> DataFrame:
+    """Staging rows from the published lake: only the folders that can hold them are read,
+    and no text. Null and '' are told apart by the value that each row keeps."""
+    folders = filter_category_like(read_lake_values(spark, lake_path), category)
+    rows = folders.withColumn("category", F.col("categoryValue")).drop("categoryValue")
+    return filter_category_like(project_staging(rows), category)
+
+
+@dataclass(frozen=True)
+class StarTable:
+    """A written star table that no catalog names yet."""
+
+    rows: DataFrame
+    path: str
+    keys: list[str]
+    buckets: int | None
+
+
+def write_star(
+    ws: Workspace, staging: DataFrame, folder: str, scale: int = 0, buckets: int | str | None = None
+) -> dict[str, StarTable]:
+    """Write the star tables of a written staging table below ``folder``.
 
-    With ``buckets`` they are laid out for joins without a shuffle.
+    With ``buckets`` (a number, or "auto" for one by size) they are laid out for joins
+    without a shuffle. Until they are registered, only the workspace names them.
     """
     star = build_star(staging, scale)
-    if buckets is not None:
-        return write_layout(star, f"{database}.", buckets)
-    tables = concurrently(
-        staging.sparkSession,
-        *(
-            lambda name=name, df=df: replace_table(df, f"{database}.{name}")
-            for name, df in star.items()
-        ),
-    )
-    return dict(zip(star, tables))
+    if buckets is None:
+        plan = {name: (df, [], None) for name, df in star.items()}
+    else:
+        laid = plan_layout(star, None if buckets == "auto" else int(buckets))
+        plan = {name: (t.rows, t.keys, t.buckets) for name, t in laid.items()}
+
+    def write(name: str, df: DataFrame, keys: list[str], n: int | None) -> StarTable:
+        table, path = ws.table_name(ws.fresh(name)), f"{folder}/{name}"
+        if n is None:
+            return StarTable(replace_table(df, table, path), path, keys, n)
+        return StarTable(replace_bucketed(df, table, keys, n, path), path, keys, n)
+
+    tables = concurrently(ws.spark, *(lambda a=(n, *p): write(*a) for n, p in plan.items()))
+    return dict(zip(plan, tables))
+
+
+def register_star(
+    spark: SparkSession, tables: dict[str, StarTable], database: str
+) -> dict[str, DataFrame]:
+    """Make the written tables those of ``database``, which is created where missing."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    return {
+        name: register_table(spark, f"{database}.{name}", t.rows, t.path, t.keys, t.buckets)
+        for name, t in tables.items()
+    }
 
 
 def rating_by_daypart(star: dict[str, DataFrame]) -> DataFrame:

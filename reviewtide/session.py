@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +16,22 @@ from pyspark.sql import functions as F
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-ADVISORY_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
-SHUFFLE_BYTES_PER_PARTITION = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 50_000
-MAX_SCAN_TASKS = 100_000
+
+
+@dataclass(frozen=True)
+class Sizing:
+    """How large tasks are, and how many at most.
+
+    The driver tracks map tasks times shuffle partitions, hence the limits. Beyond them
+    both get larger instead of more numerous, and sorts and aggregates spill what does
+    not fit into memory. Raise them for a driver with more memory.
+    """
+
+    shuffle_bytes: int = 128 << 20
+    max_shuffle_partitions: int = 50_000
+    max_scan_tasks: int = 100_000
+
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -123,24 +135,22 @@ def _in_bytes(size: str) -> int:
     return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
 
 
-def partition_settings(total_bytes: int, before: dict[str, str]) -> dict[str, str]:
+def partition_settings(
+    total_bytes: int, before: dict[str, str], sizing: Sizing = Sizing()
+) -> dict[str, str]:
     """Settings for ``total_bytes`` of input, never below those of ``before``.
 
     Adaptive execution merges small shuffle partitions but never adds any, so their
-    starting number has to fit the data. The driver tracks map tasks times shuffle
-    partitions: beyond the limits below both get larger instead of more numerous,
-    and sorts and aggregates spill what does not fit into memory. A partition of
-    average size is left whole when hot ones are split, as splitting it would only
-    scatter the small categories in it over more files.
+    starting number has to fit the data, whether it may merge them or not. The size that
+    hot partitions are cut into stays as it is set.
     """
-    partitions = min(-(-total_bytes // SHUFFLE_BYTES_PER_PARTITION), MAX_SHUFFLE_PARTITIONS)
-    partitions = max(partitions, int(before[SHUFFLE_PARTITIONS]))
-    scan = max(_in_bytes(before[SCAN_BYTES]), -(-total_bytes // MAX_SCAN_TASKS))
-    whole = max(_in_bytes(before[ADVISORY_BYTES]), -(-total_bytes // partitions))
+    wanted = min(-(-total_bytes // sizing.shuffle_bytes), sizing.max_shuffle_partitions)
+    partitions = str(max(wanted, int(before[SHUFFLE_PARTITIONS])))
+    scan = max(_in_bytes(before[SCAN_BYTES]), -(-total_bytes // sizing.max_scan_tasks))
     return {
-        INITIAL_PARTITIONS: str(partitions),
+        SHUFFLE_PARTITIONS: partitions,
+        INITIAL_PARTITIONS: partitions,
         SCAN_BYTES: f"{scan}b",
-        ADVISORY_BYTES: f"{whole}b",
     }
 
 
@@ -161,10 +171,10 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 
 
 @contextmanager
-def sized_for(spark: SparkSession, total_bytes: int) -> Iterator[None]:
+def sized_for(
+    spark: SparkSession, total_bytes: int, sizing: Sizing = Sizing()
+) -> Iterator[None]:
     """Apply :func:`partition_settings` inside the block."""
-    effective = {
-        key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES, ADVISORY_BYTES)
-    }
-    with settings(spark, partition_settings(total_bytes, effective)):
+    effective = {key: spark.conf.get(key) for key in (SHUFFLE_PARTITIONS, SCAN_BYTES)}
+    with settings(spark, partition_settings(total_bytes, effective, sizing)):
         yield

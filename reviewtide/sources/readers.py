@@ -85,3 +85,11 @@ def read_parquet(spark: SparkSession, path: str, fields: Fields | None = None) -
 def read_lake(spark: SparkSession, path: str, fields: Fields = LAKE) -> DataFrame:
     """The partitioned lake. The schema keeps a category such as ``007`` a string."""
     return spark.read.schema(ddl(fields)).parquet(path).select(names(fields))
+
+
+def read_lake_values(spark: SparkSession, path: str, fields: Fields = LAKE) -> DataFrame:
+    """The lake with each row's own category, null or '', as ``categoryValue``.
+
+    A filter on ``category`` still picks folders.
+    """
+    return spark.read.schema(f"{ddl(fields)}, categoryValue string").parquet(path)

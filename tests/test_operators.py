@@ -18,7 +18,7 @@ from reviewtide.operators.population import join_population, population_by_zip
 from reviewtide.operators.sizing import checked_broadcast, measured_bytes
 from reviewtide.operators.star import build_star, replace_table
 from reviewtide.plans import lake as lk
-from reviewtide.schemas import CENSUS, STAGING, ZIP, ddl
+from reviewtide.schemas import CENSUS, STAGING, STAR_KEYS, STAR_REFERENCES, ZIP, ddl
 
 
 def frame(spark, rows, schema):
@@ -178,6 +178,16 @@ def test_layout_joins_without_exchange_and_splits_a_hot_place(spark, ws, conf):
     assert plain["places"].columns == star["places"].columns
 
 
+def test_buckets_follow_the_size(spark, ws):
+    small = ws.write(frame(spark, [("a",)], "k string"), "small")
+    assert layout.buckets_for(small) == layout.MIN_BUCKETS
+    large = ws.write(spark.range(100_000), "large")
+    assert layout.buckets_for(large, bucket_bytes=160_000) == 10
+    star = {name: ws.write(df, name) for name, df in star_of(spark).items()}
+    tables = layout.write_layout(star, ws.table_name("auto_"))
+    assert "Exchange" not in plan_of(layout.join_colocated({k: t.hint("merge") for k, t in tables.items()}))
+
+
 def test_few_places_count_as_hot(spark, ws):
     fact = frame(spark, [(f"p{i % 3}",) for i in range(90)], "gPlusPlaceId string")
     assert layout.place_slices(fact, 8).count() == 3
@@ -239,6 +249,40 @@ def test_referential(spark):
     assert quality.check_reference(fact, dim.union(frame(spark, [("b",)], "k string")), "d", "k").first().passed
 
 
+def test_report_scans_each_table_once(spark, ws):
+    star = {name: ws.write(df, name) for name, df in star_of(spark).items()}
+    report = quality.run_checks(star, STAR_KEYS, STAR_REFERENCES)
+    plan = plan_of(report).split("== Initial Plan ==")[-1]
+    assert plan.count("FileScan parquet") == 4
+    got = {(r.check, r.table, r.column): (r.expected, r.actual, r.passed) for r in report.collect()}
+    assert got == {
+        ("non_empty", "users", None): (1, 2, True),
+        ("non_empty", "places", None): (1, 2, True),
+        ("non_empty", "population", None): (1, 2, True),
+        ("non_empty", "reviews", None): (1, 3, True),
+        ("unique_key", "places", "gPlusPlaceId"): (2, 2, True),
+        ("unique_key", "population", "postcode"): (2, 2, True),
+        ("unique_key", "users", "gPlusUserId"): (1, 1, True),
+        ("referential", "places", "gPlusPlaceId"): (0, 0, True),
+        ("referential", "users", "gPlusUserId"): (0, 0, True),
+    }
+
+
+def test_report_finds_what_is_wrong(spark, ws):
+    star = {name: ws.write(df, name) for name, df in star_of(spark).items()}
+    star["places"] = ws.write(star["places"].filter("gPlusPlaceId = 'p2'").unionByName(
+        star["places"].filter("gPlusPlaceId = 'p2'")), "places")
+    star["population"] = ws.write(star["population"].filter("false"), "population")
+    report = {(r.check, r.table): r for r in quality.run_checks(star, STAR_KEYS, STAR_REFERENCES).collect()}
+    assert {k for k, r in report.items() if not r.passed} == {
+        ("non_empty", "population"), ("unique_key", "places"), ("referential", "places"),
+    }
+    assert report["referential", "places"].actual == 2
+    assert (report["unique_key", "places"].expected, report["unique_key", "places"].actual) == (2, 1)
+    alone = quality.run_checks({"reviews": star["reviews"]})
+    assert [tuple(r)[:3] for r in alone.collect()] == [("non_empty", "reviews", None)]
+
+
 def test_average_covers_reviews_outside_the_lake(spark, ws):
     schema = "gPlusPlaceId string, gPlusUserId string, rating double, reviewText string, categories array<string>, reviewTime timestamp, weekday string, day_night string"
     reviews = frame(

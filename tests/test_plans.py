@@ -1,11 +1,17 @@
 """Whole plans: shapes of the physical plans, skew, runs and increments."""
 
+import os
+import re
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan_of
 from reviewtide.checks import fixtures as fx
 from reviewtide.checks import queries as q
+from reviewtide.operators import quality
 from reviewtide.operators.averages import user_averages, user_totals, with_user_average
 from reviewtide.plans import lake as lk
 from reviewtide.plans.incremental import append_batch
@@ -62,7 +68,7 @@ def test_partition_filters_reach_the_scan(spark, sf, tmp_path):
     from reviewtide.operators.categories import filter_category_like
 
     path = str(tmp_path / "lake")
-    writers.write_partitioned(q.lake(spark, sf), path)
+    writers.write_partitioned(q.lake(spark, sf), path, q.lake_counts(spark, sf))
     lake = readers.read_lake(spark, path)
     for df in (lake.filter("category = 'view'"), filter_category_like(lake, "i")):
         plan = plan_of(df.select("gPlusPlaceId"))
@@ -199,13 +205,13 @@ def test_increment_equals_full_run(spark, ws):
     one, full = Store(spark, ws.path("one")), Store(spark, ws.path("full"))
     for store in (one, full):
         store.write_places(places)
-    one.write_batch(review_features(first), "1", first=True)
-    writers.write_partitioned(one.build_lake(ws), one.lake_path)
+    one.write_batch(review_features(first), "initial", first=True)
+    one.write_lake(ws)
     assert {r.category for r in one.lake().collect()} == {"a", "b", None}
     untouched = files_of(one.lake().filter("category = 'b'"))
 
-    full.write_batch(review_features(first.union(second)), "1", first=True)
-    writers.write_partitioned(full.build_lake(ws), full.lake_path)
+    full.write_batch(review_features(first.union(second)), "initial", first=True)
+    full.write_lake(ws)
     for _ in range(2):  # repeating a batch changes nothing
         lake = append_batch(ws, one, second, "2")
         assert same_rows(lake, full.lake())
@@ -231,6 +237,151 @@ def test_run_and_increment_equal_one_run(spark, raw_paths, ws, sf):
         assert same_rows(table, star[name])
 
 
+def test_plans_without_averages_join_no_users(spark, sf, conf):
+    conf(autoBroadcastJoinThreshold="-1")
+    for name in ("entry", "count_distinct_categories"):
+        assert "hashpartitioning(gPlusUserId" not in plan_of(q.QUERIES[name](spark, sf))
+    staging = q.staging(spark, sf, averages=False)
+    assert "hashpartitioning(gPlusUserId" not in plan_of(staging)
+
+
+def test_increment_narrows_reviews_before_it_joins_them(spark, sf, ws, conf):
+    """Below every shuffle that carries text, the filter on touched categories."""
+    conf(autoBroadcastJoinThreshold="-1")
+    store = Store(spark, ws.path("store"))
+    store.write_places(q.places(spark, sf))
+    store.write_batch(review_features(fx.raw_reviews(spark, sf)), "initial", first=True)
+    averages = ws.write(store.averages(), "averages")
+    touched = ws.write(spark.createDataFrame([("click",)], "category string"), "touched")
+    part = lk.build_part(store.reviews(), store.places(), averages, touched)
+    plan = plan_of(part)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line or "BroadcastHashJoin" in line]
+    assert "LeftSemi" in joins[-1] or "LeftSemi" in joins[-2]
+    assert plan.index("SortMergeJoin") < plan.index("LeftSemi")
+    expected = q.lake(spark, sf).filter("category = 'click'")
+    assert same_rows(part, expected)
+
+
+def test_shuffles_of_a_run_have_the_sized_number(spark, raw_paths, ws, monkeypatch):
+    """Every exchange of the lake write, both joins included."""
+    from reviewtide.session import Sizing, sized_for
+
+    store = Store(spark, ws.path("store"))
+    store.write_places(q.places(spark, "/root/testdata/sf0.001"))
+    store.write_batch(review_features(fx.raw_reviews(spark, "/root/testdata/sf0.001")), "initial", first=True)
+    with sized_for(spark, 37 * 1000, Sizing(shuffle_bytes=1000)):
+        counts = ws.write(store.category_counts(), "counts")
+        plan = plan_of(store.build_lake(ws).repartition(37, "category"))
+        assert counts.count()
+    numbers = set(re.findall(r"hashpartitioning\([^)]*?, (\d+)\)", plan))
+    assert numbers <= {"37"}
+
+
+REVIEW = (
+    "gPlusPlaceId string, gPlusUserId string, rating double, reviewText string, "
+    "categories array<string>, unixReviewTime bigint"
+)
+
+
+@pytest.fixture
+def started(spark, ws, sf):
+    """A store with a first batch, the rest of the reviews in two parts, and the whole lake."""
+    raw = fx.raw_reviews(spark, sf)
+    first, second, third = (raw.filter(F.col("event_id") % 3 == k) for k in range(3))
+    store = Store(spark, ws.path("store"))
+    store.write_places(q.places(spark, sf))
+    store.write_batch(review_features(first), "initial", first=True)
+    store.write_lake(ws)
+    return store, second, third, q.lake(spark, sf)
+
+
+@pytest.mark.parametrize("name", ["", "initial", " x", None, "__HIVE_DEFAULT_PARTITION__"])
+def test_names_that_could_be_confused_are_refused(spark, ws, started, name):
+    store, second, _, _ = started
+    before = store.reviews().count()
+    with pytest.raises(ValueError, match="not a name"):
+        append_batch(ws, store, second, name)
+    assert store.reviews().count() == before
+
+
+def test_a_refused_batch_leaves_nothing(spark, ws, started):
+    store, second, third, lake = started
+    before = store.reviews().count()
+    places = store.places()
+    twice = Store(spark, ws.path("twice"))
+    twice.write_places(ws.write(places.union(places).union(places), "p"))
+    twice.write_batch(review_features(second), "initial", first=True)
+    with pytest.raises(ValueError, match="join_fanout"):
+        append_batch(ws, twice, third, "bad")
+    assert twice.batches() == ["initial"]
+    assert store.reviews().count() == before
+
+
+@pytest.mark.parametrize("lost_at", ["reviews", "states", "lake"])
+def test_a_lost_attempt_is_caught_up_by_the_next_batch(spark, ws, started, lost_at, monkeypatch):
+    from reviewtide.plans import incremental
+
+    store, second, third, lake = started
+
+    def die(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        if lost_at == "reviews":
+            broken.setattr(Store, "write_states", die)
+        elif lost_at == "states":
+            broken.setattr(incremental, "rewrite_touched", die)
+        else:
+            broken.setattr(incremental, "write_partitioned", die)
+        with pytest.raises(RuntimeError):
+            append_batch(ws, store, second, "second")
+    assert store.pending() == ["second"]
+    assert same_rows(append_batch(ws, store, third, "third"), lake)
+    assert store.pending() == []
+
+
+def test_failed_checks_leave_the_published_tables(spark, raw_paths, ws, monkeypatch):
+    from reviewtide.plans import run as runs
+
+    out, warehouse = ws.path("out"), Warehouse("i", ws.name)
+    published = run(spark, *raw_paths, out, warehouse)
+    before = {name: df.collect() for name, df in published.tables.items()}
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "run_checks", lambda *_: quality.check_non_empty(spark.range(0), "users"))
+        with pytest.raises(quality.CheckFailed):
+            run(spark, *raw_paths, out, warehouse)
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "register_star", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run(spark, *raw_paths, out, warehouse)
+    for name, rows in before.items():
+        assert sorted(spark.table(f"{ws.name}.{name}").collect(), key=str) == sorted(rows, key=str)
+        assert sorted(runs.star_tables(spark, out)[name].collect(), key=str) == sorted(rows, key=str)
+
+
+def test_command_line_can_be_repeated(raw_paths, tmp_path):
+    """Two processes with their own catalogs write to one folder; a third reads the tables."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = os.environ | {
+        "PYTHONPATH": root,
+        "PYSPARK_SUBMIT_ARGS": "--master local[4] --conf spark.ui.enabled=false "
+        f"--conf spark.sql.shuffle.partitions=4 --conf spark.sql.warehouse.dir={tmp_path}/w "
+        f"--conf spark.checkpoint.dir={tmp_path}/c pyspark-shell",
+    }
+    out = str(tmp_path / "out")
+    command = [sys.executable, "-m", "reviewtide", "run", *raw_paths, out, "i", "--database", "dw"]
+    for _ in range(2):
+        done = subprocess.run(command, cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+        assert done.returncode == 0, done.stderr[-2000:]
+    read = (
+        "from pyspark.sql import SparkSession; from reviewtide.plans.run import star_tables; "
+        "s = SparkSession.builder.getOrCreate(); "
+        f"print('COUNTS', *(df.count() for df in star_tables(s, {out!r}).values()))"
+    )
+    done = subprocess.run([sys.executable, "-c", read], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=600)
+    assert "COUNTS 91 7 7 221" in done.stdout, done.stderr[-2000:]
+
+
 def test_category_views(spark, sf):
     lk.category_views(q.lake(spark, sf), {"v_click": "click", "v_none": "nothing"})
     assert {r.category for r in spark.table("v_click").select("category").distinct().collect()} == {"click"}

@@ -1,13 +1,16 @@
 """Files and tables: what is written comes back."""
 
+import threading
+
 import pytest
+from pyspark.sql import functions as F
 
 from reviewtide.schemas import LAKE, POPULATION_RAW, STAGING, conform, ddl, names
 from reviewtide.session import (
-    ADVISORY_BYTES,
     INITIAL_PARTITIONS,
     SCAN_BYTES,
     SHUFFLE_PARTITIONS,
+    Sizing,
     Workspace,
     input_bytes,
     partition_settings,
@@ -24,42 +27,61 @@ def lake_frame(spark, categories):
     return spark.createDataFrame(rows, ddl(LAKE))
 
 
+def write_lake(df, path, **options):
+    counts = df.groupBy("category").agg(F.count("*").alias("num_reviews"))
+    writers.write_partitioned(df, path, counts, **options)
+
+
 def test_partition_values(spark, tmp_path):
     values = ["A/B: C", "Café", "007", None, ""]
     path = str(tmp_path / "lake")
-    writers.write_partitioned(lake_frame(spark, values), path)
+    write_lake(lake_frame(spark, values), path)
     back = readers.read_lake(spark, path)
     assert back.columns == names(LAKE)
     got = sorted((r.category for r in back.collect()), key=str)
     assert got == sorted(["A/B: C", "Café", "007", None, None], key=str)
     assert back.filter("category = '007'").count() == 1
+    own = readers.read_lake_values(spark, path)
+    assert {r.categoryValue for r in own.collect()} == set(values)
 
 
 def test_static_and_dynamic_overwrite(spark, tmp_path):
     path = str(tmp_path / "lake")
-    writers.write_partitioned(lake_frame(spark, ["a", "b"]), path)
-    writers.write_partitioned(lake_frame(spark, ["b", "b", "c"]), path, touched_only=True)
+    write_lake(lake_frame(spark, ["a", "b"]), path)
+    write_lake(lake_frame(spark, ["b", "b", "c"]), path, touched_only=True)
     assert sorted(r.category for r in readers.read_lake(spark, path).collect()) == ["a", "b", "b", "c"]
-    writers.write_partitioned(lake_frame(spark, ["d"]), path)
+    write_lake(lake_frame(spark, ["d"]), path)
     assert [r.category for r in readers.read_lake(spark, path).collect()] == ["d"]
 
 
-def test_hot_category_is_written_by_many_tasks(spark, tmp_path, conf):
-    conf(
-        adaptive__advisoryPartitionSizeInBytes="512KB",
-        adaptive__coalescePartitions__minPartitionSize="1KB",
-        adaptive__coalescePartitions__initialPartitionNum="64",
-    )
+def test_hot_category_is_written_by_many_tasks(spark, tmp_path):
     hot = spark.range(200_000, numPartitions=8).selectExpr(
-        "if(id % 3 < 2, 'hot', 'c' || id % 50) category", "uuid() v"
+        "if(id % 3 < 2, 'hot', 'c' || id % 50) category", "id v"
     )
     path = tmp_path / "hot"
-    writers.write_partitioned(hot, str(path))
+    write_lake(hot, str(path), rows_per_slice=10_000)
     assert len(list((path / "category=hot").glob("*.parquet"))) > 4
     assert len(list((path / "category=c7").glob("*.parquet"))) == 1
     assert spark.read.parquet(str(path)).count() == 200_000
 
 
+def test_sliced_write_changes_no_setting(spark, tmp_path):
+    """A thread beside the write sees the same settings all the time."""
+    df = spark.range(300_000).selectExpr("if(id % 3 = 0, 'hot', 'c' || id % 9) category", "id v")
+    key, seen, done = "spark.sql.adaptive.coalescePartitions.enabled", set(), threading.Event()
+
+    def watch():
+        while not done.is_set():
+            seen.add((spark.conf.get(key), spark.conf.get(SHUFFLE_PARTITIONS)))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    write_lake(df, str(tmp_path / "w"), rows_per_slice=50_000)
+    done.set()
+    watcher.join()
+    assert seen == {(spark.conf.get(key), spark.conf.get(SHUFFLE_PARTITIONS))}
+
+
 def test_projection_has_the_staging_columns(spark, tmp_path):
     path = str(tmp_path / "temp")
     writers.write_projected(lake_frame(spark, ["a", None, ""]), path)
@@ -127,17 +149,20 @@ def test_sizes(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x" * 1000)
     (tmp_path / "b.txt").write_text("y" * 500)
     assert input_bytes(spark, str(tmp_path / "a.txt"), str(tmp_path / "b.txt")) == 1500
-    before = {SHUFFLE_PARTITIONS: "8", SCAN_BYTES: "128MB", ADVISORY_BYTES: "64MB"}
-    small = partition_settings(1500, before)
-    assert small == {INITIAL_PARTITIONS: "8", SCAN_BYTES: f"{128 << 20}b", ADVISORY_BYTES: f"{64 << 20}b"}
+    before = {SHUFFLE_PARTITIONS: "8", SCAN_BYTES: "128MB"}
+    assert partition_settings(1500, before) == {
+        SHUFFLE_PARTITIONS: "8", INITIAL_PARTITIONS: "8", SCAN_BYTES: f"{128 << 20}b",
+    }
     total = 100 << 40
     assert partition_settings(total, before) == {
+        SHUFFLE_PARTITIONS: "50000",
         INITIAL_PARTITIONS: "50000",
         SCAN_BYTES: f"{-(-total // 100_000)}b",
-        ADVISORY_BYTES: f"{-(-total // 50_000)}b",
     }
+    wide = partition_settings(total, before, Sizing(max_shuffle_partitions=10**6, max_scan_tasks=10**6))
+    assert wide[SHUFFLE_PARTITIONS] == str(total >> 27) and wide[SCAN_BYTES] == f"{128 << 20}b"
     before = spark.conf.get(SCAN_BYTES)
     with sized_for(spark, 10 << 30):
-        assert spark.conf.get(INITIAL_PARTITIONS) == "80"
+        assert spark.conf.get(INITIAL_PARTITIONS) == spark.conf.get(SHUFFLE_PARTITIONS) == "80"
     assert spark.conf.get(SCAN_BYTES) == before
     assert spark.conf.get(INITIAL_PARTITIONS, None) is None

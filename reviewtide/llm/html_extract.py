@@ -288,9 +288,16 @@ def _labelled(pages: list[str], laid: int, seed: int) -> list[tuple[Page, np.nda
 
 
 def trained(pages: DataFrame, sample: int = SAMPLE_PAGES, laid: int = LAID_OUT) -> Model:
-    """A model from ``sample`` of the pages, drawn by hash."""
-    rows = pages.filter("html IS NOT NULL").select("html").orderBy(F.xxhash64("html"), "html").limit(sample)
-    return train(_labelled([row["html"] for row in rows.collect()], laid, SEED))
+    """A model from ``sample`` of the different pages, drawn by hash.
+
+    A range of hashes that about twice as many pages fall into is looked at, so that
+    tasks send a few rows to the driver, however many there are.
+    """
+    with_html = pages.filter("html IS NOT NULL").select("html", F.xxhash64("html").alias("key"))
+    share = min(1.0, 2 * sample / max(1, with_html.count()))
+    drawn = with_html.filter(F.col("key") <= int(2**63 * (2 * share - 1)) - 1).distinct()
+    rows = drawn.orderBy("key", "html").limit(sample).collect()
+    return train(_labelled([row["html"] for row in rows], laid, SEED))
 
 
 def extract(pages: DataFrame, model: Model) -> DataFrame:

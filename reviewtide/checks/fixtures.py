@@ -16,19 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews from ``events``; some without user, known place or categories."""
+    """Reviews from ``events``; some without user, known place or categories, some with a
+    null or an empty category. There are as many users as a tenth of the reviews."""
     key = F.col("event_id")
     batch = F.concat(F.lit("batch"), F.floor(key / 16).cast("string"))
     categories = (
         F.when(key % 13 == 0, F.lit(None))
         .when(key % 17 == 0, F.array().cast("array<string>"))
+        .when(key % 19 == 0, F.array(F.col("event_type"), F.lit("")))
+        .when(key % 23 == 0, F.array(F.col("event_type"), F.lit(None).cast("string")))
         .otherwise(F.array("event_type", batch))
     )
     place = F.when(key % 11 == 0, "-1").otherwise(F.col("user_id").cast("string"))
     return table(spark, sf_dir, "events").select(
         "event_id",
         place.alias("gPlusPlaceId"),
-        F.when(key % 89 != 0, (key % 97).cast("string")).alias("gPlusUserId"),
+        F.when(key % 89 != 0, F.expr("event_id div 10").cast("string")).alias("gPlusUserId"),
         (F.floor("value").cast("bigint") % 6).cast("double").alias("rating"),
         F.col("props").alias("reviewText"),
         categories.alias("categories"),
@@ -38,17 +41,25 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Places from ``customer``; more than half of them in the US."""
+    """Places from ``customer``; more than half of them in the US, some without address,
+    and some of those abroad twice."""
     key = F.col("c_custkey")
     town = F.when(F.col("c_nationkey") < 8, "Town, CA ").otherwise("Town, NY ")
     zipped = F.concat(town, F.lpad((key % 100).cast("string"), 5, "0"))
     abroad = F.concat(F.lit("Town "), F.col("c_nationkey").cast("string"))
     last = F.when(F.col("c_nationkey") < 15, zipped).otherwise(abroad)
-    return table(spark, sf_dir, "customer").select(
+    address = (
+        F.when(key % 29 == 0, F.lit(None))
+        .when(key % 31 == 0, F.array().cast("array<string>"))
+        .otherwise(F.array("c_name", F.concat(F.lit("No. "), key.cast("string")), last))
+    )
+    twice = (F.col("c_nationkey") >= 15) & (key % 5 == 0)
+    copies = F.explode(F.when(twice, F.array(F.lit(""), F.lit(" again"))).otherwise(F.array(F.lit(""))))
+    return table(spark, sf_dir, "customer").withColumn("copy", copies).select(
         key.cast("string").alias("gPlusPlaceId"),
-        F.col("c_name").alias("name"),
+        F.concat("c_name", "copy").alias("name"),
         F.when(key % 7 != 0, F.repeat(F.lit("$"), (key % 5 + 1).cast("int"))).alias("price"),
-        F.array("c_name", F.concat(F.lit("No. "), key.cast("string")), last).alias("address"),
+        address.alias("address"),
         F.concat(F.lit("+1 "), key.cast("string")).alias("phone"),
         F.lit(False).alias("closed"),
     )

@@ -6,11 +6,13 @@ _RV = """
 rv AS (
   SELECT event_id,
     CASE WHEN event_id % 11 = 0 THEN '-1' ELSE CAST(user_id AS VARCHAR) END AS "gPlusPlaceId",
-    CASE WHEN event_id % 89 <> 0 THEN CAST(event_id % 97 AS VARCHAR) END AS "gPlusUserId",
+    CASE WHEN event_id % 89 <> 0 THEN CAST(event_id // 10 AS VARCHAR) END AS "gPlusUserId",
     CAST(CAST(floor(value) AS BIGINT) % 6 AS DOUBLE) AS rating,
     props AS "reviewText",
     CASE WHEN event_id % 13 = 0 THEN NULL
          WHEN event_id % 17 = 0 THEN CAST([] AS VARCHAR[])
+         WHEN event_id % 19 = 0 THEN [event_type, '']
+         WHEN event_id % 23 = 0 THEN [event_type, NULL]
          ELSE [event_type, 'batch' || CAST(event_id // 16 AS VARCHAR)] END AS categories,
     CAST(floor(epoch(ts)) AS BIGINT) AS "unixReviewTime"
   FROM events
@@ -19,14 +21,17 @@ rv AS (
 _PL = """
 pl AS (
   SELECT CAST(c_custkey AS VARCHAR) AS "gPlusPlaceId",
-    c_name AS name,
+    c_name || again AS name,
     CASE WHEN c_custkey % 7 <> 0 THEN repeat('$', c_custkey % 5 + 1) END AS price,
-    [c_name, 'No. ' || CAST(c_custkey AS VARCHAR),
-     CASE WHEN c_nationkey < 15
-       THEN CASE WHEN c_nationkey < 8 THEN 'Town, CA ' ELSE 'Town, NY ' END
-            || lpad(CAST(c_custkey % 100 AS VARCHAR), 5, '0')
-       ELSE 'Town ' || CAST(c_nationkey AS VARCHAR) END] AS address
-  FROM customer
+    CASE WHEN c_custkey % 29 = 0 THEN NULL
+         WHEN c_custkey % 31 = 0 THEN CAST([] AS VARCHAR[])
+         ELSE [c_name, 'No. ' || CAST(c_custkey AS VARCHAR),
+           CASE WHEN c_nationkey < 15
+             THEN CASE WHEN c_nationkey < 8 THEN 'Town, CA ' ELSE 'Town, NY ' END
+                  || lpad(CAST(c_custkey % 100 AS VARCHAR), 5, '0')
+             ELSE 'Town ' || CAST(c_nationkey AS VARCHAR) END] END AS address
+  FROM customer, (VALUES (''), (' again')) t(again)
+  WHERE again = '' OR (c_nationkey >= 15 AND c_custkey % 5 = 0)
 )"""
 
 _POP = """
@@ -203,6 +208,8 @@ def oracles() -> dict[str, str]:
            FROM lake GROUP BY category, day_night""",
     )
     lake = _sql(_ALL_LAKE, "SELECT * FROM lake")
+    # Null and '' share a folder.
+    folders = _sql(_ALL_LAKE, "SELECT * REPLACE (nullif(category, '') AS category) FROM lake")
     projected = _sql(_ALL_STAGING, "SELECT * FROM projected")
     lines = _sql((_CHAT,), "SELECT value FROM chat")
     prepped = f"""SELECT "gPlusPlaceId", "gPlusUserId", rating, "reviewText", {_SHOW_LIST},
@@ -231,8 +238,8 @@ def oracles() -> dict[str, str]:
         ),
         "src_parquet": projected,
         "sink_parquet_projected": projected,
-        "src_parquet_partitioned": lake,
-        "sink_parquet_partitioned": lake,
+        "src_parquet_partitioned": folders,
+        "sink_parquet_partitioned": folders,
         "drop_columns": _sql(
             _ALL_REVIEWS,
             f"""SELECT event_id, "gPlusPlaceId", "gPlusUserId", rating, "reviewText", {_SHOW_LIST},
@@ -289,7 +296,16 @@ def oracles() -> dict[str, str]:
         ),
         "lake": lake,
         "entry": entry,
-        "main_run": entry,
+        "main_run": _sql(
+            _ALL_STAR,
+            """SELECT 'lake' AS "table", count(*) AS num_rows, sum(rating) AS total FROM lake
+               UNION ALL SELECT 'users', count(*), sum("avgRating") FROM users
+               UNION ALL SELECT 'places', count(*), sum(price) FROM star_places
+               UNION ALL SELECT 'population', count(*), sum(population) FROM population
+               UNION ALL SELECT 'reviews', count(*), sum(rating) FROM fact
+               UNION ALL SELECT 'parsed places', count(*), 0 FROM pl
+               UNION ALL SELECT 'parsed reviews', count(*), 0 FROM rv""",
+        ),
         "guard_join_fanout": _sql(
             _ALL_LAKE,
             _check(
@@ -348,7 +364,7 @@ def oracles() -> dict[str, str]:
         "dq_unique_key": _sql(_ALL_STAR, _UNIQUE),
         "dq_referential": _sql(_ALL_STAR, _REFERENTIAL),
         "dq_report": _sql(_ALL_STAR, f"{_NON_EMPTY} UNION ALL {_UNIQUE} UNION ALL {_REFERENTIAL}"),
-        "ext_incremental_append": lake,
+        "ext_incremental_append": folders,
         "ext_category_views": _sql(_ALL_LAKE, _views()),
         "ext_rating_by_daypart": _sql(
             _ALL_STAR,

@@ -443,7 +443,8 @@ def dq_report(spark, sf_dir):
 
 @register("main_run")
 def main_run(spark, sf_dir):
-    """Dirty files in, everything published, the flagship report from the files."""
+    """Dirty files in, everything published: rows and sums of the lake and of each star
+    table, and how many records were parsed."""
     ws = workspace_of(spark)
     raw = {name: ws.path(f"raw_{name}") for name in ("places", "reviews", "population")}
     writers.write_text(fx.place_lines(spark, sf_dir), raw["places"])
@@ -457,7 +458,21 @@ def main_run(spark, sf_dir):
         ws.path("out"),
         Warehouse(STAGING_CATEGORY, ws.name),
     )
-    return lk.rating_by_category(published.store.lake())
+    measured = {"lake": (published.store.lake(), "rating")} | {
+        name: (published.tables[name], column)
+        for name, column in (
+            ("users", "avgRating"), ("places", "price"), ("population", "population"), ("reviews", "rating"),
+        )
+    }
+    sums = [
+        df.agg(F.count("*").alias("num_rows"), F.sum(F.col(column).cast("double")).alias("total"))
+        .select(F.lit(name).alias("table"), "num_rows", "total")
+        for name, (df, column) in measured.items()
+    ]
+    parsed = [(f"parsed {name}", n["records"], 0.0) for name, n in published.parsed.items()]
+    return quality.union_all(
+        [*sums, spark.createDataFrame(parsed, "table string, num_rows bigint, total double")]
+    )
 
 
 @register("ext_incremental_append")

@@ -213,71 +213,134 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return found
 
 
-def qualifying(queries: list[np.ndarray], group: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which queries may have a link into a group, by their overlap with its union."""
+def overlaps_union(queries: list[np.ndarray], group: list[np.ndarray]) -> np.ndarray:
+    """How many shingles of each query the union of a group has."""
     union = np.unique(np.concatenate(group))
-    inside = np.array([np.isin(q, union, assume_unique=True).sum() for q in queries])
-    return 100 * inside >= percent * np.array([len(q) for q in queries])
+    return np.array([np.isin(q, union, assume_unique=True).sum() for q in queries])
 
 
-def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links (i, j) between two groups that connect all that any links connect."""
-    rows = np.flatnonzero(qualifying(left, right, percent))
-    if not len(rows):
-        return []
-    columns = np.flatnonzero(qualifying(right, [left[i] for i in rows], percent))
+def linked(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """All links (i, j) between two groups; only sets that the other's union allows are opened."""
+
+    def allowed(queries: list[np.ndarray], group: list[np.ndarray]) -> np.ndarray:
+        sizes = np.array([len(q) for q in queries])
+        return np.flatnonzero(100 * overlaps_union(queries, group) >= percent * sizes)
+
+    rows = allowed(left, right)
+    columns = allowed(right, [left[i] for i in rows]) if len(rows) else rows
     if not len(columns):
-        return []
+        return
     shared = overlaps([left[i] for i in rows], [right[j] for j in columns])
     sizes = [np.array([len(s[k]) for k in at]) for s, at in ((left, rows), (right, columns))]
     union = sizes[0][:, None] + sizes[1][None, :] - shared
-    return [(int(rows[i]), int(columns[j])) for i, j in zip(*np.nonzero(100 * shared >= percent * union))]
+    for i, j in zip(*np.nonzero(100 * shared >= percent * union)):
+        yield int(rows[i]), int(columns[j])
+
 
+class Connected:
+    """Which nodes are connected so far."""
 
-def _spanning(links: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Enough of the links to connect what they connect."""
-    root: dict[int, int] = {}
+    def __init__(self):
+        self.root: dict[int, int] = {}
 
-    def find(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
+    def find(self, x: int) -> int:
+        while self.root.setdefault(x, x) != x:
+            self.root[x] = self.root[self.root[x]]
+            x = self.root[x]
         return x
 
-    kept = []
-    for a, b in links:
-        x, y = find(a), find(b)
-        if x != y:
-            root[y] = x
-            kept.append((a, b))
-    return kept
+    def join(self, a: int, b: int) -> bool:
+        """Connects two nodes; whether they were apart. The smallest is the root."""
+        a, b = sorted((self.find(a), self.find(b)))
+        self.root[b] = a
+        return a != b
 
 
-def compare(pairs: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
-    """Links (a, b) that connect what links between the paired groups (p, q) connect."""
-    pairs = ws.write(pairs, "pairs")
+def _sets(column: pd.Series) -> list[np.ndarray]:
+    """Sets of shingles, from bytes or from lists of 64-bit numbers."""
+    return [
+        np.frombuffer(x, np.uint64) if isinstance(x, bytes) else np.asarray(x, np.int64).view(np.uint64)
+        for x in column
+    ]
+
+
+def _dealt(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """The members of both groups of each pair (p, q), dealt to tasks by pair."""
+    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(n, pairs.count() * GROUP_SETS // ROWS_PER_TASK)
     sides = [
-        pairs.join(members, F.col(own) == F.col("grp")).select("p", "q", F.lit(k).alias("side"), "rep", "tokens")
+        pairs.join(members, F.col(own) == F.col("grp")).withColumn("side", F.lit(k)).drop("grp")
         for k, own in enumerate(("p", "q"))
     ]
-    n = pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    tasks = max(int(n), pairs.count() * GROUP_SETS // ROWS_PER_TASK)
-    dealt = sides[0].unionByName(sides[1]).withColumn(
-        "deal", F.pmod(F.xxhash64("p", "q"), F.lit(tasks))
-    )
+    deal = F.pmod(F.xxhash64("p", "q"), F.lit(tasks))
+    return sides[0].unionByName(sides[1]).withColumn("deal", deal).groupBy("deal")
+
+
+def _each_pair(rows: pd.DataFrame) -> Iterator[tuple[int, int, pd.DataFrame, pd.DataFrame]]:
+    for (p, q), own in rows.groupby(["p", "q"], sort=False):
+        left, right = own[own["side"] == 0], own[own["side"] == 1]
+        if len(left) and len(right):
+            yield p, q, left, right
+
+
+def qualifying(pairs: DataFrame, firsts: DataFrame, ws: Workspace) -> DataFrame:
+    """The pairs of groups whose overlap lets sets of both be linked, by first shingles."""
 
     def task(rows: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for (p, q), own in rows.groupby(["p", "q"], sort=False):
-            parts = [own[own["side"] == k] for k in (0, 1)]
-            ids = [x["rep"].tolist() for x in parts]
-            sets = [[np.frombuffer(t, np.uint64) for t in x["tokens"]] for x in parts]
-            if sets[0] and sets[1]:
-                links = linked(*sets, percent)
-                found += _spanning((ids[0][i], ids[1][j]) for i, j in links if ids[0][i] != ids[1][j])
+        for p, q, left, right in _each_pair(rows):
+            a, b = _sets(left["tokens"]), _sets(right["tokens"])
+            if (overlaps_union(a, b) >= left["must"]).any() and (overlaps_union(b, a) >= right["must"]).any():
+                found.append((p, q))
+        return pd.DataFrame(found, columns=["p", "q"], dtype="int64")
+
+    pairs = ws.write(pairs, "pairs")
+    return ws.write(_dealt(pairs, firsts).applyInPandas(task, "p bigint, q bigint"), "qualifying")
+
+
+def compare(pairs: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+    """Links (a, b) that connect what links between paired groups connect.
+
+    ``members``: grp, rep, tokens, label. Sets of one label are connected already, so two
+    labels get one link at most.
+    """
+
+    def task(rows: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for _, _, left, right in _each_pair(rows):
+            if left["label"].nunique() == 1 and set(right["label"]) == {left["label"].iloc[0]}:
+                continue
+            known = Connected()
+            reps = left["rep"].tolist(), right["rep"].tolist()
+            labels = left["label"].tolist(), right["label"].tolist()
+            for i, j in linked(_sets(left["tokens"]), _sets(right["tokens"]), percent):
+                if known.join(labels[0][i], labels[1][j]):
+                    found.append((reps[0][i], reps[1][j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return ws.write(dealt.groupBy("deal").applyInPandas(task, "a bigint, b bigint"), "links")
+    return ws.write(_dealt(pairs, members).applyInPandas(task, "a bigint, b bigint"), "links")
+
+
+def inside_groups(members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+    """``members`` (grp, rep, tokens) with label, the smallest rep connected inside the group."""
+
+    def task(rows: pd.DataFrame) -> pd.DataFrame:
+        parts = []
+        for _, own in rows.groupby("grp", sort=False):
+            known, reps, sets = Connected(), own["rep"].tolist(), _sets(own["tokens"])
+            if len(own) > 1:
+                for i, j in linked(sets, sets, percent):
+                    known.join(reps[i], reps[j])
+            parts.append(own.assign(label=[known.find(rep) for rep in reps]))
+        columns = ["grp", "rep", "tokens", "label"]
+        return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
+
+    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(n, -(-members.count() // ROWS_PER_TASK))
+    dealt = members.withColumn("deal", F.pmod(F.xxhash64("grp"), F.lit(tasks))).groupBy("deal")
+    return ws.write(
+        dealt.applyInPandas(task, "grp bigint, rep bigint, tokens binary, label bigint"), "members"
+    )
 
 
 def _group(first: Column, parts: Column, d2: Column) -> Column:
@@ -285,11 +348,11 @@ def _group(first: Column, parts: Column, d2: Column) -> Column:
     return F.xxhash64(first, F.pmod(d2, F.coalesce(parts, F.lit(1))))
 
 
-def open_pairs(matrix: DataFrame, members: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
+def open_pairs(matrix: DataFrame, placed: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
     """Pairs of groups that share a shingle and are not known to be connected."""
-    known = members.select("grp", "rep").join(
-        labels.withColumnRenamed("node", "rep"), "rep", "left"
-    ).withColumn("label", F.coalesce("label", "rep"))
+    known = placed.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
+        "label", F.coalesce("label", "rep")
+    )
     # A group of one component goes by its label, any other by itself.
     of_group = known.groupBy("grp").agg(
         F.when(F.min("label") == F.max("label"), F.struct(F.lit(0).alias("own"), F.min("label").alias("name")))
@@ -347,18 +410,31 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     hubs = found_in.groupBy("token").agg(F.min("grp").alias("hub"), F.max("grp").alias("last"))
     matrix = ws.write(found_in.join(hubs.filter("hub < last").drop("last"), "token"), "matrix")
 
-    texts = docs.join(
-        checked_broadcast(placed.select(F.col("rep").alias("doc_id")).distinct()), "doc_id", "left_semi"
-    )
-    tokens = whole_sets(texts, like.words).withColumnRenamed("doc_id", "rep")
-    members = ws.write(tokens.join(placed, "rep"), "members")
-    several = placed.groupBy("grp").count().filter("count > 1")
-    inside = several.select(F.col("grp").alias("p"), F.col("grp").alias("q"))
+    # Groups are opened where their overlap allows links, first those sharing a hub.
+    firsts = ws.write(chosen.join(placed, "rep").select("grp", "must", F.col("first").alias("tokens")), "firsts")
+
+    def members_of(groups: DataFrame) -> DataFrame:
+        """grp, rep and whole sets of all in ``groups``."""
+        reps = ws.write(placed.join(groups.distinct(), "grp", "left_semi"), "opened")
+        ids = checked_broadcast(reps.select(F.col("rep").alias("doc_id")).distinct())
+        tokens = whole_sets(docs.join(ids, "doc_id", "left_semi"), like.words)
+        return ws.write(tokens.withColumnRenamed("doc_id", "rep").join(reps, "rep").select("grp", "rep", "tokens"), "sets")
+
+    def of_pairs(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("p").alias("grp")).union(pairs.select("q"))
+
     to_hub = matrix.filter("grp <> hub").select(F.col("hub").alias("p"), F.col("grp").alias("q"))
-    links = compare(inside.unionByName(to_hub).distinct(), members, like.percent, ws)
+    to_hub = qualifying(to_hub.distinct(), firsts, ws)
+    several = placed.groupBy("grp").count().filter("count > 1").select("grp")
+    members = inside_groups(members_of(several.union(of_pairs(to_hub))), like.percent, ws)
+    inside = members.filter("label <> rep").select(F.col("rep").alias("a"), F.col("label").alias("b"))
+    links = inside.unionByName(compare(to_hub, members, like.percent, ws))
     labels = components(links, ws)
-    rest = compare(open_pairs(matrix, members, labels, ws), members, like.percent, ws)
-    labels = components(links.unionByName(rest), ws)
+    rest = qualifying(open_pairs(matrix, placed, labels, ws), firsts, ws)
+    if not rest.isEmpty():
+        members = members_of(of_pairs(rest)).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        members = members.withColumn("label", F.coalesce("label", "rep"))
+        labels = components(links.unionByName(compare(rest, members, like.percent, ws)), ws)
 
     of_set = ws.write(
         sets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(

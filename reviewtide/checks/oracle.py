@@ -218,6 +218,7 @@ def oracles() -> dict[str, str]:
     return {
         "src_text": lines,
         "sink_text": lines,
+        # The replacements of the repair, in their order.
         "repair_python_json": _sql(
             (_CHAT,),
             r"""SELECT conv_id, turn,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 Fields = Sequence[tuple[str, str]]
 
+# Fixed values, down to LAKE: column names and types of the files that are read and written.
 PLACES_RAW: Fields = (
     ("gPlusPlaceId", "string"),
     ("name", "string"),

@@ -73,3 +73,15 @@ def free(docs: DataFrame, *names: str) -> list[str]:
             name = f"_{name}"
         found.append(name)
     return found
+
+
+def packed(docs: DataFrame, *needed: str) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with its columns beside ``needed`` in one, safe from others of their names,
+    and the columns that bring ``docs`` back."""
+    (rest,) = free(docs, "_rest")
+    others = [c for c in docs.columns if c not in needed]
+    if not others:
+        return docs, [F.col(f"`{c}`") for c in docs.columns]
+    whole = docs.select(*needed, F.struct(*(F.col(f"`{c}`") for c in others)).alias(rest))
+    back = [F.col(c) if c in needed else F.col(f"`{rest}`.`{c}`").alias(c) for c in docs.columns]
+    return whole, back

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.llm.common import free, let, text_or_empty, total, without_spaces, words_of
+from reviewtide.llm.common import free, let, packed, text_or_empty, total, without_spaces, words_of
 
 # The symbols that the base statistics count.
 SYMBOLS = "#*$%&|<>"
@@ -183,11 +183,13 @@ def clean(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
     ``n_chars``, where there is such a column, follows the text.
     """
-    kept = judge(docs, rules).filter("kept")
+    needed = [c for c in ("text", "n_chars") if c in docs.columns]
+    whole, back = packed(docs, *needed)
+    kept = judge(whole, rules).filter("kept")
     changed = F.col("n_failed_lines") > 0
-    new = {"text": F.when(changed, F.col("clean_text")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        new["n_chars"] = F.when(changed, F.length("clean_text").cast(dict(docs.dtypes)["n_chars"])).otherwise(
-            F.col("n_chars")
-        )
-    return kept.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    text = F.when(changed, F.col("clean_text")).otherwise(F.col("text"))
+    new = {"text": text, "n_chars": F.when(changed, F.length("clean_text")).otherwise(F.col("n_chars"))}
+    kinds = dict(docs.dtypes)
+    return kept.select(
+        *(new[c].cast(kinds[c]).alias(c) if c in needed else column for c, column in zip(docs.columns, back))
+    )

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.llm import bpe, exact, mixing, ngram_join, quality
-from reviewtide.llm.common import documents, workspace_of
+from reviewtide.llm.common import documents, packed, workspace_of
 from reviewtide.session import use_utc
 
 #: Small sources up to twice; as few tokens as use every document at least once.
@@ -35,8 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each use of a document in the mixture."""
-    mixed = mixing.realised(docs, workspace_of(spark), MIX)
-    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns))
+    whole, back = packed(docs, "doc_id", "source", "text")
+    return mixing.realised(whole, workspace_of(spark), MIX).select(*back)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

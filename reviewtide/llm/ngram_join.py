@@ -34,6 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +43,13 @@ from reviewtide.llm.components import components
 from reviewtide.operators.sizing import checked_broadcast
 from reviewtide.session import Workspace
 
-SLOT_BITS = 20  # the sketch: a million counters, 4 MB
+SLOT_BITS = 21  # the sketch: two million counters, 8 MB; compressed where it travels
 MORE_PART = 20  # of a set's shingles, one in so many is looked at beyond those that may be missing
 PRUNINGS = 2
 GROUP_SETS = 48  # sets in a group, about
 COLUMNS_AT_ONCE = 4096
 ROWS_PER_TASK = 4000  # sets that one task compares, about
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 200_000
 
 # Odd multipliers that mix hashes.
 MIXERS = tuple(np.array([m], np.uint64) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -120,11 +121,11 @@ def scan(docs: DataFrame, n: int) -> DataFrame:
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_shingles", "d1", "d2", "first", "sketch"]
-        sketch, waiting, size = np.zeros(1 << SLOT_BITS, np.int64), [], 0
+        sketch, waiting, size = np.zeros(1 << SLOT_BITS, np.uint32), [], 0
 
         def count() -> np.ndarray:
-            slots = np.concatenate(waiting) >> np.uint64(64 - SLOT_BITS)
-            return np.bincount(slots.astype(np.int64), minlength=1 << SLOT_BITS)
+            slots = (np.concatenate(waiting) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+            return np.bincount(slots, minlength=1 << SLOT_BITS).astype(np.uint32)
 
         for ids, sets in _shingled(batches, n):
             d1, d2 = _digests(sets)
@@ -133,29 +134,42 @@ def scan(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names)
             waiting += sets
             size += sum(map(len, sets))
-            if size > 1 << SLOT_BITS:
+            if size > 1 << 20:
                 sketch += count()
                 waiting, size = [], 0
         if waiting:
             sketch += count()
         none = [pa.nulls(1, pa.int64())] * 5
-        counts = np.minimum(sketch, 2**32 - 1).astype(np.uint32).tobytes()
-        yield pa.RecordBatch.from_arrays([*none, pa.array([counts], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([*none, pa.array([_pressed(sketch)], pa.binary())], names)
 
     return docs.select("doc_id", "text").mapInArrow(
         task, "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, first bigint, sketch binary"
     )
 
 
+def _pressed(sketch: np.ndarray) -> bytes:
+    """A sketch as compressed bytes; counts stop at the largest 32-bit number."""
+    counts = np.minimum(sketch, 2**32 - 1).astype(np.uint32)
+    planes = counts.view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpressed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view(np.uint32).reshape(-1)
+
+
 def summed_sketch(scanned: DataFrame) -> np.ndarray:
     """How often shingles occur, by slot. Summed up in a tree; of fixed size."""
-    sketches = scanned.filter("sketch IS NOT NULL").select("sketch").rdd
-    arrays = sketches.map(lambda row: np.frombuffer(row["sketch"], np.uint32).astype(np.uint64))
-    return np.minimum(arrays.treeReduce(np.add), 2**32 - 1).astype(np.uint32)
+    sketches = scanned.filter("sketch IS NOT NULL").select("sketch").rdd.map(lambda row: bytes(row["sketch"]))
+    return _unpressed(
+        sketches.treeReduce(lambda a, b: _pressed(_unpressed(a).astype(np.uint64) + _unpressed(b)))
+    )
 
 
 def prefixes(docs: DataFrame, like: Similarity, sketch: np.ndarray) -> DataFrame:
-    """Per document that has shingles: rep, its first shingles, and how many it must share."""
+    """Per document that has shingles: rep, its first shingles, rarest first, how many it must
+    share, and of how many it must share one (``keys``)."""
     rarity = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def rarest(s: np.ndarray) -> np.ndarray:
@@ -171,13 +185,15 @@ def prefixes(docs: DataFrame, like: Similarity, sketch: np.ndarray) -> DataFrame
             offsets = np.cumsum([0, *map(len, picked)], dtype=np.int32)
             flat = np.concatenate(picked).view(np.int64)
             must = [like.must_share(len(s)) for _, s in found]
+            keys = [like.may_miss(len(s)) + 1 for _, s in found]
+            numbers = [pa.array(x, pa.int64()) for x in ([d for d, _ in found], must, keys)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([d for d, _ in found], pa.int64()), pa.array(must, pa.int64()),
-                 pa.ListArray.from_arrays(offsets, flat)],
-                ["rep", "must", "first"],
-            )
+                [*numbers, pa.ListArray.from_arrays(offsets, flat)], ["rep", "must", "keys", "first"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(task, "rep bigint, must bigint, first array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(
+        task, "rep bigint, must bigint, keys bigint, first array<bigint>"
+    )
 
 
 def shared_rows(rows: DataFrame) -> DataFrame:
@@ -321,12 +337,14 @@ def compare(pairs: DataFrame, members: DataFrame, percent: int, ws: Workspace) -
     return ws.write(_dealt(pairs, members).applyInPandas(task, "a bigint, b bigint"), "links")
 
 
-def inside_groups(members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
-    """``members`` (grp, rep, tokens) with label, the smallest rep connected inside the group."""
+def inside_groups(members: DataFrame, rows: int, percent: int, ws: Workspace) -> DataFrame:
+    """``members`` (grp, rep, tokens) with label, the smallest rep connected inside the group.
 
-    def task(rows: pd.DataFrame) -> pd.DataFrame:
+    ``rows``: at most how many members there are."""
+
+    def task(group: pd.DataFrame) -> pd.DataFrame:
         parts = []
-        for _, own in rows.groupby("grp", sort=False):
+        for _, own in group.groupby("grp", sort=False):
             known, reps, sets = Connected(), own["rep"].tolist(), _sets(own["tokens"])
             if len(own) > 1:
                 for i, j in linked(sets, sets, percent):
@@ -336,7 +354,7 @@ def inside_groups(members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
         return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 
     n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(n, -(-members.count() // ROWS_PER_TASK))
+    tasks = max(n, -(-rows // ROWS_PER_TASK))
     dealt = members.withColumn("deal", F.pmod(F.xxhash64("grp"), F.lit(tasks))).groupBy("deal")
     return ws.write(
         dealt.applyInPandas(task, "grp bigint, rep bigint, tokens binary, label bigint"), "members"
@@ -392,7 +410,8 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     chosen = ws.write(prefixes(single, like, sketch), "prefixes")
 
     # Sets that share too few of their first shingles with any others have no link at all.
-    rows = chosen.select("rep", "must", F.explode("first").alias("token"))
+    rows = chosen.select("rep", "must", "keys", F.posexplode("first").alias("at", "token"))
+    rows = rows.select("rep", "must", "token", (F.col("at") < F.col("keys")).alias("key"))
     hits = ws.write(shared_rows(rows), "hits")
     for _ in range(PRUNINGS):
         enough = hits.groupBy("rep", "must").count().filter(F.col("count") >= F.col("must")).select("rep")
@@ -406,19 +425,21 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     )
     grp = _group(F.col("first"), F.col("parts"), F.col("d2")).alias("grp")
     placed = ws.write(placed.join(large, "first", "left").select("rep", grp), "placed")
-    found_in = ws.write(hits.select("rep", "token").join(placed, "rep").select("token", "grp").distinct(), "found_in")
+    known = checked_broadcast(placed)
+    found_in = ws.write(hits.filter("key").join(known, "rep").select("token", "grp").distinct(), "found_in")
     hubs = found_in.groupBy("token").agg(F.min("grp").alias("hub"), F.max("grp").alias("last"))
     matrix = ws.write(found_in.join(hubs.filter("hub < last").drop("last"), "token"), "matrix")
 
     # Groups are opened where their overlap allows links, first those sharing a hub.
-    firsts = ws.write(chosen.join(placed, "rep").select("grp", "must", F.col("first").alias("tokens")), "firsts")
+    firsts = ws.write(chosen.join(known, "rep").select("grp", "must", F.col("first").alias("tokens")), "firsts")
 
     def members_of(groups: DataFrame) -> DataFrame:
         """grp, rep and whole sets of all in ``groups``."""
         reps = ws.write(placed.join(groups.distinct(), "grp", "left_semi"), "opened")
-        ids = checked_broadcast(reps.select(F.col("rep").alias("doc_id")).distinct())
+        reps = checked_broadcast(reps)
+        ids = reps.select(F.col("rep").alias("doc_id"))
         tokens = whole_sets(docs.join(ids, "doc_id", "left_semi"), like.words)
-        return ws.write(tokens.withColumnRenamed("doc_id", "rep").join(reps, "rep").select("grp", "rep", "tokens"), "sets")
+        return tokens.withColumnRenamed("doc_id", "rep").join(reps, "rep").select("grp", "rep", "tokens")
 
     def of_pairs(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.col("p").alias("grp")).union(pairs.select("q"))
@@ -426,13 +447,14 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     to_hub = matrix.filter("grp <> hub").select(F.col("hub").alias("p"), F.col("grp").alias("q"))
     to_hub = qualifying(to_hub.distinct(), firsts, ws)
     several = placed.groupBy("grp").count().filter("count > 1").select("grp")
-    members = inside_groups(members_of(several.union(of_pairs(to_hub))), like.percent, ws)
+    members = members_of(several.union(of_pairs(to_hub)))
+    members = inside_groups(members, placed.count(), like.percent, ws)
     inside = members.filter("label <> rep").select(F.col("rep").alias("a"), F.col("label").alias("b"))
     links = inside.unionByName(compare(to_hub, members, like.percent, ws))
     labels = components(links, ws)
     rest = qualifying(open_pairs(matrix, placed, labels, ws), firsts, ws)
     if not rest.isEmpty():
-        members = members_of(of_pairs(rest)).join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        members = ws.write(members_of(of_pairs(rest)), "members").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         members = members.withColumn("label", F.coalesce("label", "rep"))
         labels = components(links.unionByName(compare(rest, members, like.percent, ws)), ws)
 

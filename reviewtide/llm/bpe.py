@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -30,6 +31,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import regex
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,7 @@ NO_RANK = 1 << 60
 WINDOW_TOKENS = 4
 TREE_IDS = 1 << 14
 REMEMBERED_WORDS = 400_000
+SHORT_WORD = 12  # longer words that end in a mark are put together from their parts
 ROWS_AT_ONCE = 512
 
 #: Where a text may not simply be split at its spaces.
@@ -139,6 +142,9 @@ class Encoder:
         ids = [i for match in self.pattern.findall(text) for i in self.piece(match.encode())]
         return np.array(ids, np.int32)
 
+    def letters(self, text: str) -> bytes:
+        return array("i", self.piece(text.encode())).tobytes()
+
     def decoded(self, ids: np.ndarray) -> bytes:
         if len(ids) <= TREE_IDS:
             return b"".join(map(self.tokens.__getitem__, ids.tolist()))
@@ -149,48 +155,73 @@ class Encoder:
 class Words(dict):
     """The ids, as bytes, of words after ``before``: a space, or nothing.
 
-    Of two generations the older is forgotten when the newer is full, so that memory is
-    bounded and words in use stay.
+    ``encode`` gives the ids of any text; ``letters``, if given, those of a text that is
+    one match of letters (with a space before it or not), as bytes, at less cost. Of two generations
+    the older is forgotten when the newer is full, so that memory is bounded and words in
+    use stay. ``edges`` tells whether a word with white space at an end was met.
     """
 
-    def __init__(self, encode, before: str = " "):
+    def __init__(self, encode, letters=None, before: str = " ", remembered: int | None = None):
         self.encode, self.before = encode, before
+        self.letters = letters or (lambda text: encode(text).tobytes())
+        self.remembered = remembered or REMEMBERED_WORDS
         self.older: dict[str, bytes] = {}
         self.marks = {mark: encode(mark).tobytes() for mark in _MARKS}
-        self.at_start = self if not before else Words(encode, "")
+        self.at_start = self if not before else Words(encode, letters, "", self.remembered // 4)
+        self.edges = False
 
     def __missing__(self, word: str) -> bytes:
+        mark = word[-1:]
+        if mark in (",", "."):
+            head = word[:-1]
+            if head.isalpha():  # a match ends where the letters end
+                ids = self[head] + self.marks[mark]
+                if len(word) <= SHORT_WORD:
+                    self[word] = ids
+                return ids
         ids = self.older.get(word)
         if ids is None:
-            head, tail = word[:-1], word[-1:]
-            if tail in (".", ",") and head[-1:].isalpha():  # a match ends where the letters end
-                return self[head] + self.marks[tail]
-            head, line_end, tail = word.partition("\n")
-            if line_end and head and tail and not head[-1].isspace() and not tail[0].isspace():
-                return self[head] + self.marks[line_end] + self.at_start[tail]
-            ids = self.encode(self.before + word).tobytes()
+            if word.isalpha():
+                ids = self.letters(self.before + word)
+            else:
+                ids = self._parts(word)
+                if len(word) > SHORT_WORD:
+                    return ids
         if len(word) <= LEAF_BYTES:
-            if len(self) >= REMEMBERED_WORDS:
+            if len(self) >= self.remembered:
                 self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
+    def _parts(self, word: str) -> bytes:
+        """A word that is not of letters alone, by parts that are matches of their own."""
+        if not word or word[0].isspace() or word[-1].isspace():
+            self.edges = True
+            return self.encode(self.before + word).tobytes()
+        if word[-1] in (".", ",") and word[-2:-1].isalpha():
+            return self[word[:-1]] + self.marks[word[-1]]
+        head, line_end, tail = word.partition("\n")
+        if line_end and not head[-1].isspace() and not tail[0].isspace():
+            return self[head] + self.marks[line_end] + self.at_start[tail]
+        return self.encode(self.before + word).tobytes()
+
 
 def text_ids(text: str, words: Words) -> bytes:
     """The ids of a text as bytes.
 
     A space always begins a match where no white space is on both of its sides, and a
     single line end between words is one, so the text is split there and each part
-    encoded by itself.
+    encoded by itself. Only parts with white space at an end can be of the other kind.
     """
     if not text:
         return b""
-    if _BLANKS.search(text):
-        return words.encode(text).tobytes()
     first, *rest = text.split(" ")
-    start = words.at_start[first] if first else b""
-    return start + b"".join(map(words.__getitem__, rest))
+    words.edges = words.at_start.edges = False
+    ids = (words.at_start[first] if first else b"") + b"".join(map(words.__getitem__, rest))
+    if (words.edges or words.at_start.edges) and _BLANKS.search(text):
+        return words.encode(text).tobytes()
+    return ids
 
 
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,15 +230,16 @@ def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, ROWS_AT_ONCE)
 
 
-_encoders: dict[int, Encoder] = {}
+_kept: dict[tuple, tuple[Encoder, Words]] = {}
 
 
-def _encoder(ranks, pattern: str) -> Encoder:
-    """One for each worker process and broadcast."""
-    if ranks.id not in _encoders:
-        _encoders.clear()
-        _encoders[ranks.id] = Encoder(read_ranks(ranks.value), pattern)
-    return _encoders[ranks.id]
+def _encoder(ranks, pattern: str) -> tuple[Encoder, Words]:
+    """An encoder and the words it has met, which the tasks of a worker process share."""
+    if (ranks.id, pattern) not in _kept:
+        _kept.clear()
+        encoder = Encoder(read_ranks(ranks.value), pattern)
+        _kept[ranks.id, pattern] = encoder, Words(encoder.matches, encoder.letters)
+    return _kept[ranks.id, pattern]
 
 
 class _Ranks:
@@ -215,8 +247,9 @@ class _Ranks:
 
     def __init__(self, spark, path: str):
         with open(path, "rb") as file:
-            broadcast = spark.sparkContext.broadcast(file.read())
-        self.broadcast, self.id = broadcast, hash((path, broadcast._jbroadcast.id()))
+            content = file.read()
+        self.broadcast = spark.sparkContext.broadcast(content)
+        self.id = xxhash.xxh64_hexdigest(content)
 
     def __getstate__(self):
         return {"broadcast": self.broadcast, "id": self.id}
@@ -243,7 +276,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ranks = _Ranks(docs.sparkSession, ranks_path)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words(_encoder(ranks, pattern).matches)
+        _, words = _encoder(ranks, pattern)
         for batch in slices(batches):
             ids = [text_ids(text, words) for text in batch.column("text").to_pylist()]
             flat = np.frombuffer(b"".join(ids), np.int32)
@@ -258,7 +291,7 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ranks = _Ranks(encoded.sparkSession, ranks_path)
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks, pattern)
+        encoder, _ = _encoder(ranks, pattern)
         for batch in slices(batches):
             ids = batch.column("ids")
             flat = ids.flatten().to_numpy()

@@ -17,6 +17,7 @@ a doc_id are documents of their own, next to each other.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,7 +31,8 @@ from pyspark.sql.window import Window
 from reviewtide.llm.bpe import Words, slices, text_ids
 
 CHUNK_IDS = 1 << 16
-LEVEL = 3
+LEVEL = 1
+REMEMBERED_WORDS = 600_000  # twice as many at most, of some 250 bytes each
 
 SCHEMA = (
     "part int, chunk bigint, n_ids bigint, "
@@ -88,19 +90,54 @@ class _Part:
         return row
 
 
-_tokenizers: dict[str, object] = {}
+_kept: dict[str, Words] = {}
 
 
-def _tokenizer(description: str):
-    """One for each worker process. Special tokens in texts are ordinary text."""
-    if description not in _tokenizers:
+def _words(description: str) -> Words:
+    """The words that the tasks of a worker process have met, with their ids.
+
+    Special tokens in texts are ordinary text.
+    """
+    if description not in _kept:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is its share
         from tokenizers import Tokenizer
 
-        _tokenizers.clear()
-        _tokenizers[description] = Tokenizer.from_str(description)
-        _tokenizers[description].encode_special_tokens = True
-    return _tokenizers[description]
+        tokenizer = Tokenizer.from_str(description)
+        tokenizer.encode_special_tokens = True
+
+        def encode(text: str) -> np.ndarray:
+            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+        _kept.clear()
+        _kept[description] = Words(encode, _letters(tokenizer), remembered=REMEMBERED_WORDS)
+    return _kept[description]
+
+
+def _letters(tokenizer):
+    """The ids of one match of letters by the tokenizer's model alone.
+
+    For byte-level tokenizers that neither normalise nor put a space before: there, letters
+    (and a space before them) always are one match, and the model gets their bytes as
+    visible characters. For others there is no such short way.
+    """
+    before = tokenizer.pre_tokenizer
+    if type(before).__name__ != "ByteLevel" or before.add_prefix_space or tokenizer.normalizer:
+        return None
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    table = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    tokenize = tokenizer.model.tokenize
+
+    space = table[32]
+
+    def letters(text: str) -> bytes:
+        if text.isascii():
+            shown = text.replace(" ", space)
+        else:
+            shown = text.encode().decode("latin-1").translate(table)
+        return array("I", [token.id for token in tokenize(shown)]).tobytes()
+
+    return letters
 
 
 def _arrow_schema() -> pa.Schema:
@@ -120,12 +157,7 @@ def write_ids(
         description = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, schema = _tokenizer(description.value), _arrow_schema()
-
-        def encode(text: str) -> np.ndarray:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-
-        words = Words(encode)
+        words, schema = _words(description.value), _arrow_schema()
         end = np.array([end_id], np.uint32).tobytes()
         part = _Part(TaskContext.get().partitionId(), bits)
         for batch in slices(batches):
@@ -141,8 +173,12 @@ def write_ids(
     ordered.mapInArrow(task, SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
-def read_pieces(chunks: DataFrame) -> DataFrame:
-    """A row for each document and chunk: part, doc, doc_id, chunk, at, whole, ids (bytes)."""
+def read_pieces(chunks: DataFrame, whole: bool) -> DataFrame:
+    """A row for each document and chunk: part, doc, doc_id, at (in the part), ids (bytes); of the
+    documents that lie in one chunk whole, or of the others."""
+
+    chunk_ids = CHUNK_IDS
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompress = zstandard.ZstdDecompressor().decompress
@@ -150,20 +186,16 @@ def read_pieces(chunks: DataFrame) -> DataFrame:
             for row in batch.to_pylist():
                 ids = from_planes([decompress(p) for p in row["planes"]], row["n_ids"])
                 pieces = [
-                    (row["part"], d["doc"], d["doc_id"], row["chunk"], d["at"], d["whole"],
+                    (row["part"], d["doc"], d["doc_id"], row["chunk"] * chunk_ids + d["at"],
                      ids[d["at"] : d["at"] + d["n"]].tobytes())
                     for d in row["docs"]
+                    if d["whole"] == whole
                 ]
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, k) for x, k in zip(zip(*pieces), kinds)],
-                    ["part", "doc", "doc_id", "chunk", "at", "whole", "ids"],
-                )
-
-    return chunks.mapInArrow(
-        task,
-        "part int, doc bigint, doc_id bigint, chunk bigint, at bigint, whole boolean, ids binary",
-    )
+                if pieces:
+                    columns = [pa.array(x, k) for x, k in zip(zip(*pieces), kinds)]
+                    yield pa.RecordBatch.from_arrays(columns, ["part", "doc", "doc_id", "at", "ids"])
+
+    return chunks.mapInArrow(task, "part int, doc bigint, doc_id bigint, at bigint, ids binary")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -175,13 +207,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     sums = chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    at = (F.col("chunk") * CHUNK_IDS + F.col("at")).alias("at")
-    columns = ("part", "doc", "doc_id", at, "ids")
-    pieces = read_pieces(chunks)
-    whole = pieces.filter("whole").select(*columns)
+    whole = read_pieces(chunks, True)
     cut = chunks.filter(F.exists("docs", lambda d: ~d["whole"]))
     joined = (
-        read_pieces(cut).filter("NOT whole").select(*columns)
+        read_pieces(cut, False)
         .groupBy("part", "doc", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("p"))
         .select(

@@ -42,7 +42,7 @@ def ids_of(text, words):
 
 
 def test_equals_the_library(encoder, library):
-    words = bpe.Words(encoder.matches)
+    words = bpe.Words(encoder.matches, encoder.letters)
     for text in odd_texts():
         ids = ids_of(text, words)
         assert ids.tolist() == library.encode_ordinary(text), repr(text)
@@ -72,9 +72,8 @@ def test_both_ways_to_merge(encoder):
         assert encoder._merged_few(data) == encoder._merged_many(data)
 
 
-def test_forgetting_words(encoder, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 3)
-    words = bpe.Words(encoder.matches)
+def test_forgetting_words(encoder, library):
+    words = bpe.Words(encoder.matches, encoder.letters, remembered=3)
     text = "one two three, four five.\nSix one two seven, eight one."
     assert ids_of(text, words).tolist() == library.encode_ordinary(text)
     assert len(words) <= 3 and len(words.older) <= 3

@@ -3,7 +3,7 @@
 A source's weight is its share of all tokens, raised to an exponent and normalised.
 Exponent 1 keeps the shares, 0 makes all sources equal. The exponent is bisected to meet
 a target entropy, or to keep the repetition of small sources below a limit: six
-bisection steps are one aggregate over the sources, which answers for 63 exponents.
+bisection steps are one aggregate over the sources, which answers for 64 exponents.
 
 A source's weight gives it a quota of the token budget. It is used whole as many times
 as the quota allows; of one more pass, the documents that come first in that pass's

@@ -46,10 +46,11 @@ from reviewtide.session import Workspace
 SLOT_BITS = 21  # the sketch: two million counters, 8 MB; compressed where it travels
 MORE_PART = 20  # of a set's shingles, one in so many is looked at beyond those that may be missing
 PRUNINGS = 2
-GROUP_SETS = 48  # sets in a group, about
+GROUP_SETS = 256  # sets in a group, about
+PARTNERS = 64  # groups that one group is compared with at once, about
 COLUMNS_AT_ONCE = 4096
-ROWS_PER_TASK = 4000  # sets that one task compares, about
-REMEMBERED_WORDS = 200_000
+ROWS_PER_TASK = 2000  # sets that one task compares, about
+REMEMBERED_WORDS = 150_000
 
 # Odd multipliers that mix hashes.
 MIXERS = tuple(np.array([m], np.uint64) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -280,23 +281,43 @@ def _sets(column: pd.Series) -> list[np.ndarray]:
     ]
 
 
-def _dealt(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """The members of both groups of each pair (p, q), dealt to tasks by pair."""
-    n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(n, pairs.count() * GROUP_SETS // ROWS_PER_TASK)
+def _dealt(pairs: DataFrame, members: DataFrame, ws: Workspace) -> DataFrame:
+    """The members of both groups of each pair, dealt to tasks.
+
+    The larger group of a pair goes to a task once for some ``PARTNERS`` of its partners,
+    so what travels grows with the smaller groups. Columns: deal, p, q (null in rows of
+    the larger group ``p``), and those of the members.
+    """
+    sizes = ws.write(members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    sized = pairs
+    for own in ("p", "q"):
+        sized = sized.join(sizes.select(F.col("grp").alias(own), F.col("n").alias(f"n_{own}")), own)
+    swap = F.col("n_p") < F.col("n_q")
+    large = F.when(swap, F.col("q")).otherwise(F.col("p"))
+    small = F.when(swap, F.col("p")).otherwise(F.col("q"))
+    oriented = ws.write(sized.select(large.alias("p"), small.alias("q")), "oriented")
+    parts = oriented.groupBy("p").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).alias("parts"))
+    part = F.pmod(F.xxhash64("q"), F.col("parts")).alias("part")
+    dealt = ws.write(oriented.join(parts, "p").select("p", "q", part), "dealt")
+    least = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, dealt.count() // PARTNERS)
+    # The larger groups, and the partners of each.
+    once = dealt.select("p", "part").distinct().withColumn("q", F.lit(None).cast("string"))
     sides = [
-        pairs.join(members, F.col(own) == F.col("grp")).withColumn("side", F.lit(k)).drop("grp")
-        for k, own in enumerate(("p", "q"))
+        rows.join(members, F.col(own) == F.col("grp")).drop("grp").select("p", "q", "part", *[c for c in members.columns if c != "grp"])
+        for rows, own in ((once, "p"), (dealt, "q"))
     ]
-    deal = F.pmod(F.xxhash64("p", "q"), F.lit(tasks))
+    sides[1] = sides[1].withColumn("q", F.col("q").cast("string"))  # numbers with nulls are floats in pandas
+    deal = F.pmod(F.xxhash64("p", "part"), F.lit(tasks))
     return sides[0].unionByName(sides[1]).withColumn("deal", deal).groupBy("deal")
 
 
 def _each_pair(rows: pd.DataFrame) -> Iterator[tuple[int, int, pd.DataFrame, pd.DataFrame]]:
-    for (p, q), own in rows.groupby(["p", "q"], sort=False):
-        left, right = own[own["side"] == 0], own[own["side"] == 1]
-        if len(left) and len(right):
-            yield p, q, left, right
+    for (p, _), own in rows.groupby(["p", "part"], sort=False):
+        large = own[own["q"].isna()]
+        for q, small in own[own["q"].notna()].groupby("q", sort=False):
+            if len(large):
+                yield p, int(q), large, small
 
 
 def qualifying(pairs: DataFrame, firsts: DataFrame, ws: Workspace) -> DataFrame:
@@ -311,7 +332,7 @@ def qualifying(pairs: DataFrame, firsts: DataFrame, ws: Workspace) -> DataFrame:
         return pd.DataFrame(found, columns=["p", "q"], dtype="int64")
 
     pairs = ws.write(pairs, "pairs")
-    return ws.write(_dealt(pairs, firsts).applyInPandas(task, "p bigint, q bigint"), "qualifying")
+    return ws.write(_dealt(pairs, firsts, ws).applyInPandas(task, "p bigint, q bigint"), "qualifying")
 
 
 def compare(pairs: DataFrame, members: DataFrame, percent: int, ws: Workspace) -> DataFrame:
@@ -334,7 +355,7 @@ def compare(pairs: DataFrame, members: DataFrame, percent: int, ws: Workspace) -
                     found.append((reps[0][i], reps[1][j]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return ws.write(_dealt(pairs, members).applyInPandas(task, "a bigint, b bigint"), "links")
+    return ws.write(_dealt(pairs, members, ws).applyInPandas(task, "a bigint, b bigint"), "links")
 
 
 def inside_groups(members: DataFrame, rows: int, percent: int, ws: Workspace) -> DataFrame:
@@ -353,8 +374,8 @@ def inside_groups(members: DataFrame, rows: int, percent: int, ws: Workspace) ->
         columns = ["grp", "rep", "tokens", "label"]
         return pd.concat(parts)[columns] if parts else pd.DataFrame(columns=columns)
 
-    n = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(n, -(-rows // ROWS_PER_TASK))
+    least = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-rows // ROWS_PER_TASK))
     dealt = members.withColumn("deal", F.pmod(F.xxhash64("grp"), F.lit(tasks))).groupBy("deal")
     return ws.write(
         dealt.applyInPandas(task, "grp bigint, rep bigint, tokens binary, label bigint"), "members"

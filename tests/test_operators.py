@@ -124,6 +124,12 @@ def test_broadcast_only_below_the_limit(spark, ws):
     assert unhinted is df
 
 
+def test_arrays_count_when_measured(spark):
+    rows = [([1] * 100, [("x", 1)] * 2, b"abcd"), (None, None, None)]
+    df = frame(spark, rows, "a array<int>, b array<struct<s: string, n: int>>, c binary")
+    assert measured_bytes(df) == 2 * 48 + 400 + 2 * 48 + 4
+
+
 STAGED = [
     ("p1", "Bar", "day", "u1", 4.0, "t", 3.5, "Mon", "a", "USA", "n1", 10.4, "00501", 2, "CA"),
     ("p1", "Pub", "day", "u1", 4.0, "t", 3.5, "Mon", "a", "USA", "n1", 10.4, "00501", 2, "CA"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import os
 from collections.abc import Callable
 
 from pyspark import SparkContext
@@ -23,9 +24,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def visible_to_workers(spark: SparkSession) -> SparkSession:
+    """Let Python workers find this package where the driver found it, if it is there.
+
+    On a cluster it comes with ``--py-files``, as usual.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+    return spark
+
+
 def workspace_of(spark: SparkSession) -> Workspace:
     """Tables that have to live until a lazy result is collected: gone at exit."""
-    app = spark.sparkContext.applicationId
+    app = visible_to_workers(spark).sparkContext.applicationId
     if app not in _workspaces:
         _workspaces[app] = Workspace(spark)
         atexit.register(_drop, app)

@@ -20,7 +20,7 @@ from reviewtide.llm import (
     suffix_dedup,
     tokenfile,
 )
-from reviewtide.llm.common import documents, workspace_of
+from reviewtide.llm.common import documents, visible_to_workers, workspace_of
 from reviewtide.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,7 +33,7 @@ MIX = mixing.Mix(entropy=0.95, max_repeats=4.0, budget=1.0)
 
 def register(query: Query) -> Query:
     def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(use_utc(spark), sf_dir)
+        return query(visible_to_workers(use_utc(spark)), sf_dir)
 
     QUERIES[query.__name__] = in_utc
     return query

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.llm import bpe, exact, mixing, ngram_join, quality
-from reviewtide.llm.common import documents, packed, workspace_of
+from reviewtide.llm.common import documents, packed, visible_to_workers, workspace_of
 from reviewtide.session import use_utc
 
 #: Small sources up to twice; as few tokens as use every document at least once.
@@ -41,6 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row of the mixture doc_id, source, ids, and hashes of the ids and of the text they decode to."""
+    visible_to_workers(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
     decoded = bpe.decode(encoded.drop("text"), ranks, public_tokenizers.PATTERN)
@@ -60,7 +61,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    use_utc(spark)
+    visible_to_workers(use_utc(spark))
     ws = workspace_of(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:

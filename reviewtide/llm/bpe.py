@@ -152,6 +152,18 @@ class Encoder:
         return self.decoded(ids[:half]) + self.decoded(ids[half:])
 
 
+def _lines(word: str) -> list[str]:
+    """``word``, split at the line ends that have no white space on either side."""
+    first, *rest = word.split("\n")
+    found = [[first]]
+    for before, line in pairwise([first, *rest]):
+        if not before or not line or before[-1].isspace() or line[0].isspace():
+            found[-1].append(line)
+        else:
+            found.append([line])
+    return ["\n".join(lines) for lines in found]
+
+
 class Words(dict):
     """The ids, as bytes, of words after ``before``: a space, or nothing.
 
@@ -201,9 +213,10 @@ class Words(dict):
             return self.encode(self.before + word).tobytes()
         if word[-1] in (".", ",") and word[-2:-1].isalpha():
             return self[word[:-1]] + self.marks[word[-1]]
-        head, line_end, tail = word.partition("\n")
-        if line_end and not head[-1].isspace() and not tail[0].isspace():
-            return self[head] + self.marks[line_end] + self.at_start[tail]
+        first, *rest = _lines(word)
+        if rest:
+            line_end, start = self.marks["\n"], self.at_start
+            return line_end.join([self[first], *map(start.__getitem__, rest)])
         return self.encode(self.before + word).tobytes()
 
 

@@ -79,6 +79,19 @@ def test_forgetting_words(encoder, library):
     assert len(words) <= 3 and len(words.older) <= 3
 
 
+@pytest.mark.parametrize("line_end", ["\n", "\n\n", "\r\n"])
+def test_many_short_lines(encoder, library, line_end):
+    """Lines without a blank between them: no deeper call for each, no copy of the rest."""
+    lines = [f"word{k}" if k % 3 else ("end.", "12", "x")[k % 9 // 3] for k in range(100_000)]
+    text = line_end.join([*lines, "a\n\nb\nc", "last."])
+    words = bpe.Words(encoder.matches, encoder.letters)
+    for _ in range(2):
+        assert ids_of(text, words).tolist() == library.encode_ordinary(text)
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    words = tokenfile._words(tokenizer.to_str())
+    assert ids_of(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def sha(data) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 

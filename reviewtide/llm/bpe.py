@@ -41,12 +41,13 @@ NO_RANK = 1 << 60
 WINDOW_TOKENS = 4
 TREE_IDS = 1 << 14
 REMEMBERED_WORDS = 150_000
+REMEMBERED_EDGES = 10_000
 SHORT_WORD = 12  # longer words that end in a mark are put together from their parts
 ROWS_AT_ONCE = 512
 
 #: Where a text may not simply be split at its spaces.
 _MARKS = frozenset(".,\n")
-_BLANKS = re.compile(r"\s \s")
+_BLANKS = re.compile(r"\s (?:\s|\Z)")
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -170,7 +171,8 @@ class Words(dict):
     ``encode`` gives the ids of any text; ``letters``, if given, those of a text that is
     one match of letters (with a space before it or not), as bytes, at less cost. Of two generations
     the older is forgotten when the newer is full, so that memory is bounded and words in
-    use stay. ``edges`` tells whether a word with white space at an end was met.
+    use stay. ``edges`` tells whether a word with white space at an end was looked up; those
+    are remembered apart, so that each time is noticed.
     """
 
     def __init__(self, encode, letters=None, before: str = " ", remembered: int | None = None):
@@ -181,9 +183,12 @@ class Words(dict):
         self.marks = {mark: encode(mark).tobytes() for mark in _MARKS}
         self.at_start = self if not before else Words(encode, letters, "", self.remembered // 4)
         self.edges = False
+        self.edged: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        mark = word[-1:]
+        if not word or word[0].isspace() or word[-1].isspace():
+            return self._with_edges(word)
+        mark = word[-1]
         if mark in (",", "."):
             head = word[:-1]
             if head.isalpha():  # a match ends where the letters end
@@ -206,11 +211,19 @@ class Words(dict):
             self[word] = ids
         return ids
 
+    def _with_edges(self, word: str) -> bytes:
+        self.edges = True
+        ids = self.edged.get(word)
+        if ids is None:
+            ids = self.encode(self.before + word).tobytes()
+            if len(word) <= SHORT_WORD:
+                if len(self.edged) >= min(self.remembered, REMEMBERED_EDGES):
+                    self.edged.clear()
+                self.edged[word] = ids
+        return ids
+
     def _parts(self, word: str) -> bytes:
         """A word that is not of letters alone, by parts that are matches of their own."""
-        if not word or word[0].isspace() or word[-1].isspace():
-            self.edges = True
-            return self.encode(self.before + word).tobytes()
         if word[-1] in (".", ",") and word[-2:-1].isalpha():
             return self[word[:-1]] + self.marks[word[-1]]
         first, *rest = _lines(word)
@@ -223,9 +236,10 @@ class Words(dict):
 def text_ids(text: str, words: Words) -> bytes:
     """The ids of a text as bytes.
 
-    A space always begins a match where no white space is on both of its sides, and a
-    single line end between words is one, so the text is split there and each part
-    encoded by itself. Only parts with white space at an end can be of the other kind.
+    A space always begins a match unless white space is before it and also after it, or the
+    text ends there, and a single line end between words is a match, so the text is split
+    there and each part encoded by itself. Only parts with white space at an end can be of
+    the other kind.
     """
     if not text:
         return b""

@@ -92,6 +92,43 @@ def test_many_short_lines(encoder, library, line_end):
     assert ids_of(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+NBSP = "\u00a0"
+BLANKS = [
+    f"a {NBSP} {NBSP} {NBSP} {NBSP} b",
+    f"c {NBSP} {NBSP} d",
+    f"{NBSP} {NBSP} a {NBSP} {NBSP} ",
+    f"a\n {NBSP} b\n  c\n",
+    "a   b  c ",
+    "a  ",
+    "  a",
+    "a \n \n b",
+    " ",
+    "  ",
+    "   ",
+]
+
+
+def test_runs_of_blanks_in_any_order():
+    """The ids do not depend on the texts met before."""
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    words = tokenfile._words(tokenizer.to_str())
+    for text in [*BLANKS, *BLANKS, *reversed(BLANKS)]:
+        assert ids_of(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_tokens_of_several_blanks(encoder):
+    ranks = dict(encoder.ranks)
+    for token in ("  ", "    ", " \n", "\n ", "\n\n", NBSP + " ", " " + NBSP, f" {NBSP} "):
+        ranks.setdefault(token.encode(), max(ranks.values()) + 1)
+    own = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    words = bpe.Words(own.matches, own.letters)
+    rng = random.Random(5)
+    drawn = ["".join(rng.choice([" ", " ", "\n", "a", "b.", NBSP]) for _ in range(rng.randint(0, 9))) for _ in range(2000)]
+    for text in [*BLANKS, *BLANKS, *drawn]:
+        assert ids_of(text, words).tolist() == library.encode_ordinary(text), repr(text)
+
+
 def sha(data) -> str:
     return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
 

@@ -17,9 +17,11 @@ how far its text goes on like that of another anchor, to the right and to the le
 4. The documents get the spans around their anchors and lose them.
 
 Strings are judged on the input; an anchor whose text occurs in one document twice counts
-like one of two documents. A place with more than ``MANY`` different texts (a passage in a
-large part of all documents) is not held by one task: its strings are told apart by
-128-bit hashes of all positions around the anchors, counted by a grouped aggregate.
+like one of two documents. Anchors are counted by the hash of their next ``SURE`` bytes. Of
+a hash with more than ``MANY`` (a passage in a large part of all documents) equal texts become
+one row before any go to a place; if more than ``MANY`` different ones are left, none does:
+their strings are told apart by 128-bit hashes of all positions around the anchors,
+counted by a grouped aggregate.
 
 Null texts count as empty. Rows that share a doc_id count as documents each; they share
 their spans, which are then removed from each as far as it goes.
@@ -133,22 +135,44 @@ def _contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, int, byt
                     yield doc_id, p, context(text, p)
 
 
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[bytes, int]]:
+    for batch in slices(batches):
+        yield from zip(batch.column("context").to_pylist(), batch.column("n").to_pylist())
+
+
+def counted_contexts(texts: DataFrame) -> DataFrame:
+    """Per different context: key (a hash of its first ``SURE`` bytes), context, n."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [c for _, _, c in _contexts([batch])]
+            keys = np.array([xxhash.xxh64_intdigest(c[:SURE]) for c in found], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(found, pa.binary())], ["key", "context"])
+
+    each = texts.mapInArrow(task, "key bigint, context binary")
+    return each.groupBy("key", "context").agg(F.count(F.lit(1)).alias("n"))
+
+
 RUNS = "place int, run bigint, shared binary, lengths binary, counts binary, rests binary"
 
 
 def sorted_runs(texts: DataFrame, places: int) -> DataFrame:
-    """Sorted runs of contexts, front-coded: a row for each place and run (schema ``RUNS``)."""
+    """Sorted runs of contexts, front-coded: a row for each place and run (schema ``RUNS``).
 
-    def rows(run: int, contexts: list[tuple[int, bytes]]) -> Iterator[dict]:
+    ``texts``: documents with their anchors (at), or rows of context and n.
+    """
+    known = "context" in texts.columns
+
+    def rows(run: int, contexts: list[tuple[int, bytes, int]]) -> Iterator[dict]:
         contexts.sort()
         for place, own in groupby(contexts, lambda c: c[0]):
             strings, counts = [], []
-            for _, string in own:
+            for _, string, n in own:
                 if strings and strings[-1] == string:
-                    counts[-1] += 1
+                    counts[-1] += n
                 else:
                     strings.append(string)
-                    counts.append(1)
+                    counts.append(n)
             coded = list(front_coded(strings))
             yield {
                 "place": place,
@@ -171,8 +195,9 @@ def sorted_runs(texts: DataFrame, places: int) -> DataFrame:
             for k in range(0, len(found), 64):
                 yield pa.RecordBatch.from_pylist(found[k : k + 64], schema)
 
-        for _, _, string in _contexts(batches):
-            waiting.append((xxhash.xxh64_intdigest(string[:SURE]) % places, string))
+        each = _counted(batches) if known else ((string, 1) for _, _, string in _contexts(batches))
+        for string, n in each:
+            waiting.append((xxhash.xxh64_intdigest(string[:SURE]) % places, string, n))
             if len(waiting) >= RUN_CONTEXTS:
                 yield from out()
                 waiting, run = [], run + 1
@@ -233,14 +258,11 @@ def _digest(string: bytes) -> tuple[int, int]:
     return a, b
 
 
-REACHES = "c1 bigint, c2 bigint, to_left int, to_right int, crowd binary"
+REACHES = "c1 bigint, c2 bigint, to_left int, to_right int"
 
 
-def merged_reaches(runs: DataFrame, many: int = MANY) -> DataFrame:
-    """Per context (c1, c2: its hash) how far repeated bytes reach around its anchors.
-
-    Contexts of a place with more than ``many`` come back as they are, as ``crowd``.
-    """
+def merged_reaches(runs: DataFrame) -> DataFrame:
+    """Per context (c1, c2: its hash) how far repeated bytes reach around its anchors."""
 
     def task(rows: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -249,12 +271,8 @@ def merged_reaches(runs: DataFrame, many: int = MANY) -> DataFrame:
         shared: list[int] = []
 
         def close() -> None:
-            if len(members) > many:
-                for m, count in zip(members, counts):
-                    found.extend([(*_digest(m), None, None, m)] * min(2, count))
-                return
             for i, left, right in _reaches(members, counts, shared):
-                found.append((*_digest(members[i]), left, right, None))
+                found.append((*_digest(members[i]), left, right))
 
         for n, string, count in merge([_run(row) for row in rows.to_dict("records")]):
             if members and n == len(string) == len(members[-1]):
@@ -268,41 +286,44 @@ def merged_reaches(runs: DataFrame, many: int = MANY) -> DataFrame:
             shared.append(n)
         if members:
             close()
-        frame = pd.DataFrame(found, columns=["c1", "c2", "to_left", "to_right", "crowd"])
-        return frame.astype({"to_left": "Int32", "to_right": "Int32"})
+        return pd.DataFrame(found, columns=["c1", "c2", "to_left", "to_right"])
 
     return runs.groupBy("place").applyInPandas(task, REACHES)
 
 
-def crowd_reaches(crowd: DataFrame) -> DataFrame:
-    """The same (c1, c2, to_left, to_right) for crowded places, by hashes of all strings.
+def crowd_reaches(crowd: DataFrame, ws: Workspace) -> DataFrame:
+    """The same (c1, c2, to_left, to_right) of different contexts (context, n), by hashes.
 
-    A row for each string; reaches are given for each repeated one by itself.
+    A row for each string. All strings of a context hold its anchor, so the farthest ends
+    of the repeated ones are the ends of what they cover.
     """
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["c1", "c2", "to_left", "s1", "s2"]
+        names = ["c1", "c2", "to_left", "s1", "s2", "n"]
         for batch in slices(batches):
             rows = []
-            for c1, c2, string in zip(*(batch.column(c).to_pylist() for c in ("c1", "c2", "crowd"))):
+            for string, count in _counted([batch]):
+                c1, c2 = _digest(string)
                 right = right_length(string)
                 left = left_of(string, right)
                 whole = left[::-1] + string[:right]
                 for n in range(max(0, LENGTH - right), len(left) + 1):
                     start = len(left) - n
-                    rows.append((c1, c2, n, *_digest(whole[start : start + LENGTH])))
-            columns = list(zip(*rows)) or [[]] * 5
+                    rows.append((c1, c2, n, *_digest(whole[start : start + LENGTH]), count))
+            columns = list(zip(*rows)) or [[]] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
-    strings = crowd.select("c1", "c2", "crowd").mapInArrow(
-        task, "c1 bigint, c2 bigint, to_left bigint, s1 bigint, s2 bigint"
+    strings = crowd.select("context", "n").mapInArrow(
+        task, "c1 bigint, c2 bigint, to_left bigint, s1 bigint, s2 bigint, n bigint"
     )
     # The same string before different offsets is of different anchors: offset belongs to it.
-    several = strings.groupBy("s1", "s2", "to_left").count().filter("count > 1").drop("count")
+    several = strings.groupBy("s1", "s2", "to_left").agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
+    # Written, so that both sides of the join are shuffled for it and a hot string can be split.
     return (
-        strings.join(several, ["s1", "s2", "to_left"], "left_semi")
-        .select("c1", "c2", F.col("to_left").cast("int"), (F.lit(LENGTH) - F.col("to_left")).cast("int").alias("to_right"))
-        .distinct()
+        strings.join(ws.write(several, "several"), ["s1", "s2", "to_left"], "left_semi")
+        .groupBy("c1", "c2")
+        .agg(F.max("to_left").alias("to_left"), F.min("to_left").alias("least"))
+        .select("c1", "c2", F.col("to_left").cast("int"), (F.lit(LENGTH) - F.col("least")).cast("int").alias("to_right"))
     )
 
 
@@ -377,20 +398,40 @@ def remove_repeats(docs: DataFrame, ws: Workspace, many: int = MANY) -> DataFram
     each = scanned.select("doc_id", F.arrays_zip("at", "keys").alias("z")).select(
         "doc_id", F.explode("z").alias("z")
     ).select("doc_id", "z.at", F.col("z.keys").alias("key"))
-    repeated = ws.write(each.groupBy("key").count().filter("count > 1").select("key"), "repeated_keys")
-    left = each.join(checked_broadcast(repeated), "key", "left_semi")
-    listed = ws.write(left.groupBy("doc_id").agg(F.collect_list("at").alias("at")), "listed")
-    n, = listed.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()
+    counted = ws.write(each.groupBy("key").count().filter("count > 1"), "repeated_keys")
+
+    def listed(keys: DataFrame, name: str) -> DataFrame:
+        own = each.join(checked_broadcast(keys.select("key")), "key", "left_semi")
+        return ws.write(own.groupBy("doc_id").agg(F.collect_list("at").alias("at")), name)
+
+    def with_texts(listed: DataFrame) -> DataFrame:
+        own = checked_broadcast(listed)
+        return docs.join(own, docs["doc_id"].eqNullSafe(own["doc_id"])).select(docs["doc_id"], "text", "at")
+
+    few = listed(counted, "listed")
+    texts = with_texts(few)
+    frequent = counted.filter(F.col("count") > many)
     partitions = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
-    places = max(partitions, -(-n // PLACE_CONTEXTS))
-    own = checked_broadcast(listed)
-    texts = docs.join(own, docs["doc_id"].eqNullSafe(own["doc_id"])).select(docs["doc_id"], "text", "at")
-    reaches = ws.write(merged_reaches(sorted_runs(texts, places), many), "reaches")
-    columns = ("c1", "c2", "to_left", "to_right")
-    known = reaches.filter("crowd IS NULL").select(*columns)
-    crowd = reaches.filter("crowd IS NOT NULL")
-    if not crowd.isEmpty():
-        known = known.unionByName(crowd_reaches(crowd).select(*columns))
+
+    def places(n: int) -> int:
+        return max(partitions, -(-n // PLACE_CONTEXTS))
+
+    def anchors_of(listed: DataFrame) -> int:
+        return listed.agg(F.coalesce(F.sum(F.size("at")), F.lit(0))).first()[0]
+
+    if frequent.isEmpty():
+        known = ws.write(merged_reaches(sorted_runs(texts, places(anchors_of(few)))), "reaches")
+    else:
+        few = listed(counted.filter(F.col("count") <= many), "listed_few")
+        contexts = ws.write(counted_contexts(with_texts(listed(frequent, "listed_frequent"))), "contexts")
+        crowded = ws.write(contexts.groupBy("key").count().filter(F.col("count") > many).select("key"), "crowded")
+        keys = checked_broadcast(crowded)
+        held = contexts.join(keys, "key", "left_anti").select("context", "n")
+        n = places(anchors_of(few) + held.count())
+        runs = sorted_runs(with_texts(few), n).unionByName(sorted_runs(held, n))
+        known = ws.write(merged_reaches(runs), "reaches")
+        if not crowded.isEmpty():
+            known = known.unionByName(crowd_reaches(contexts.join(keys, "key", "left_semi"), ws))
     span = F.struct((F.col("at") - F.col("to_left")).alias("a"), (F.col("at") + F.col("to_right")).alias("b"))
     around = context_hashes(texts).join(known, ["c1", "c2"])
     spans = joined_spans(around.groupBy("doc_id").agg(F.collect_list(span).alias("spans")))

@@ -184,6 +184,38 @@ def test_suffixes_of_cut_passages(frame, ws):
     assert removed(frame(docs), ws=ws) == brute.suffix_dedup(docs)
 
 
+def test_crowded_anchors_are_not_brought_together(frame, ws, monkeypatch):
+    """A passage in many surroundings: its anchors reach no merge task, others do."""
+    rng = np.random.default_rng(6)
+
+    def letters(n):
+        return "".join(map(chr, rng.integers(97, 123, n)))
+
+    passage, rare = letters(400), letters(300)
+    docs = [(k, letters(120) + passage + letters(120)) for k in range(50)]
+    docs += [(100 + k, letters(50) + rare + passage[150:390] + letters(50)) for k in range(3)]
+    merged, merge_ = [], suffix_dedup.merged_reaches
+
+    def seen(runs, *rest):
+        merged.extend(runs.collect())
+        return merge_(runs, *rest)
+
+    monkeypatch.setattr(suffix_dedup, "merged_reaches", seen)
+    assert removed(frame(docs), 10, ws) == brute.suffix_dedup(docs)
+    sent = {}
+    for run in merged:
+        string = b""
+        for n, end, _ in suffix_dedup._run(run):
+            string = string[:n] + end
+            sent.setdefault(string[: suffix_dedup.SURE], []).append(string)
+    assert sent and max(map(len, sent.values())) <= 10
+
+
+@pytest.mark.parametrize("many", [2, 5])
+def test_suffixes_partly_crowded(frame, docs, ws, many):
+    assert removed(frame(docs), many, ws) == brute.suffix_dedup(docs)
+
+
 def test_suffixes_odd_rows(frame, empty, ws):
     assert suffix_dedup.remove_repeats(empty, ws).count() == 0
     text = "".join(chr(97 + (i * i * 7 + i // 3) % 26) for i in range(250))

@@ -29,6 +29,11 @@ ENDED_BY = {
     "td": frozenset(["td", "th", "tr"]),
     "th": frozenset(["td", "th", "tr"]),
 }
+# What may stand in a head; the start of anything else ends it, as does text.
+IN_HEAD = frozenset(
+    "html base basefont bgsound link meta title noscript noframes style script template".split()
+)
+HEAD_SPACES = " \t\n\f\r"
 SCOPES = frozenset(["ul", "ol", "dl", "table", "html", "body"])
 
 
@@ -57,6 +62,10 @@ class Builder(HTMLParser):
         self.links = 0
 
     def handle_starttag(self, tag, attrs):
+        if tag == "head" and self.in_head():
+            return
+        if tag not in IN_HEAD and self.open[-1][0] == "head" or tag == "body" and self.in_head():
+            self.end_head()
         if tag in VOID:
             if tag == "input":
                 self.nodes[self.open[-1][1]].inputs += 1
@@ -84,6 +93,12 @@ class Builder(HTMLParser):
         if tag not in VOID:
             self.handle_endtag(tag)
 
+    def in_head(self):
+        return self.silent and any(tag == "head" for tag, _ in self.open)
+
+    def end_head(self):
+        self.close(next(i for i, (tag, _) in enumerate(self.open) if tag == "head"))
+
     def end_before(self, tag):
         """Ends an open paragraph, entry or cell that the start of ``tag`` ends."""
         for i in range(len(self.open) - 1, max(0, len(self.open) - 12), -1):
@@ -111,6 +126,8 @@ class Builder(HTMLParser):
         del self.open[i:]
 
     def handle_data(self, data):
+        if self.open[-1][0] == "head" and data.strip(HEAD_SPACES):
+            self.end_head()
         if not self.silent:
             self.text(data, self.links)
 

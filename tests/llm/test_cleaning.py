@@ -137,6 +137,41 @@ def test_text_of_a_page(model):
     assert model.text(html) == f"On cafés & tea\n\nFirst part, bold. Goes on.\n\n{PARAGRAPHS[3]}"
 
 
+ARTICLE = f"<article><h1>On tea</h1><p>{PARAGRAPHS[3]}</p></article>"
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        "<html><head><title>T</title><style>p{}</style></head><body>",
+        "<html><head><title>T</title><meta charset=utf-8><script>var a;</script>\n<body>",
+        "<html><head><title>T</title><link href=a>",
+        "<html><head><noscript><link href=a></noscript><base href=b>\n",
+        "<html><head><head><title>T</title></head><body>",
+        "<html><head><noscript><img src=a><body>",
+        "<head><title>T</title><body>",
+        "<head>",
+        "<html><title>T</title><body>",
+        "<html><body>",
+        "<title>T</title>",
+        "<!DOCTYPE html>\n<meta charset=utf-8>",
+        "",
+    ],
+)
+def test_pages_that_leave_tags_out(model, before):
+    """The ends of a head, heads and bodies are optional; the text is there nonetheless."""
+    text = f"On tea\n\n{PARAGRAPHS[3]}"
+    assert model.text(before + ARTICLE + "</body></html>") == text
+    assert model.text(before + ARTICLE) == text
+
+
+def test_text_ends_a_head():
+    read = hx.read(f"<html><head><title>T</title> \n{PARAGRAPHS[3]}<p>{PARAGRAPHS[4]}")
+    assert [text for _, text in read.blocks] == [PARAGRAPHS[3], PARAGRAPHS[4]]
+    read = hx.read(f"<html><head><title>T</title><img src=a>{PARAGRAPHS[3]}")
+    assert [text for _, text in read.blocks] == [PARAGRAPHS[3]]
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<p", "<!--", "<script>", "</div></p>", "&", "<html>" * 3])
 def test_odd_pages(model, html):
     assert isinstance(model.text(html), str)

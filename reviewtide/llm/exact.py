@@ -139,7 +139,7 @@ def deduplicated(docs: DataFrame, ws: Workspace) -> DataFrame:
     if repeated.isEmpty():
         return others
     names = [c for c in docs.columns if c != "doc_id"]
-    longest = F.max_by(F.struct(*(F.col(f"`{c}`") for c in names)), F.length("text"))
+    longest = F.max_by(F.struct(*(F.col(f"`{c}`") for c in names)), F.coalesce(F.length("text"), F.lit(-1)))
     settled = (
         hashed.join(repeated, same, "left_semi")
         .groupBy("doc_id", sha)

@@ -38,6 +38,13 @@ def test_exact_odd_rows(frame, empty, ws):
     assert sorted(r["text"] or "" for r in kept.select("text").collect()) == ["", "ab "]
 
 
+def test_deduplicated_rows_of_null_texts(frame, ws):
+    """Repeated doc_ids whose texts are all null keep their other columns."""
+    odd = frame([(5, None), (5, None), (6, "a")])
+    kept = exact.deduplicated(odd, ws).select(*odd.columns)
+    assert got(kept, *odd.columns) == got(odd, *odd.columns) and kept.count() == 2
+
+
 def test_deduplicated_keeps_one_of_each(frame, docs, ws):
     kept = exact.deduplicated(frame(docs), ws)
     assert got(kept, "doc_id") == {(x[0],) for x in brute.exact(docs) if x[3]}

@@ -4,12 +4,12 @@ import sys
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
+from core_helpers import SF  # noqa: E402
 from reviewtide.session import Workspace, use_utc  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -55,8 +55,3 @@ def conf(spark):
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def plan_of(df) -> str:
-    """The physical plan; the final one if ``df`` has run."""
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -5,7 +5,7 @@ import warnings
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from core_helpers import plan_of
 from reviewtide.operators import categories as cat
 from reviewtide.operators import layout, quality
 from reviewtide.operators.averages import (

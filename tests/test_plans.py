@@ -8,7 +8,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from core_helpers import plan_of
 from reviewtide.checks import fixtures as fx
 from reviewtide.checks import queries as q
 from reviewtide.operators import quality

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SF
+from core_helpers import SF
 from reviewtide.checks.oracle import oracles
 from reviewtide.checks.queries import QUERIES
 

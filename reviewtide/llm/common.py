@@ -17,6 +17,8 @@ SPACES = " \t\n\x0b\x0c\r"
 SPACE = r"[\x20\x09-\x0D]"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
 
+ARROW_BATCH_BYTES = 4 << 20
+
 _workspaces: dict[str, Workspace] = {}
 
 
@@ -25,10 +27,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visible_to_workers(spark: SparkSession) -> SparkSession:
-    """Let Python workers find this package where the driver found it, if it is there.
+    """Let Python workers find this package where the driver found it, if it is there, and
+    bound their Arrow batches in bytes, not only in rows.
 
-    On a cluster it comes with ``--py-files``, as usual.
+    On a cluster the package comes with ``--py-files``, as usual. A batch still has one whole
+    text at least.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in known.split(os.pathsep):

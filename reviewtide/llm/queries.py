@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.llm import (
@@ -16,11 +16,19 @@ from reviewtide.llm import (
     mixing,
     ngram_join,
     quality,
+    runs,
     sharding,
     suffix_dedup,
     tokenfile,
 )
-from reviewtide.llm.common import documents, visible_to_workers, workspace_of
+from reviewtide.llm.common import (
+    documents,
+    let,
+    text_or_empty,
+    visible_to_workers,
+    words_of,
+    workspace_of,
+)
 from reviewtide.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +121,40 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(documents(spark, sf_dir), workspace_of(spark))
+
+
+def looped(docs: DataFrame) -> DataFrame:
+    """doc_id and text; the words of every tenth document (by hash) repeat from some word on."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(hashed / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        begin = F.pmod(g, n)
+        period = F.lit(1) + F.floor((n - begin) / (3 + F.pmod(g, F.lit(8))))
+
+        def source(_: Column, i: Column) -> Column:
+            at = F.when(i < begin, i.cast("bigint")).otherwise(begin + F.pmod(i - begin, period))
+            return F.get(words, at.cast("int"))
+
+        return F.when(n > 0, F.array_join(F.transform(words, source), " ")).otherwise("")
+
+    text = F.when(hashed % 10 == 0, let(words_of(text_or_empty()), repeated)).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(looped(documents(spark, sf_dir)), workspace_of(spark))
+    run = runs.longest()
+    line_ends = F.transform(
+        "runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"])
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *(run[c].alias(c) for c in ("start", "length", "period")),
+        F.floor(1000 * run["length"] / run["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(line_ends, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -33,6 +33,8 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -47,8 +49,6 @@ from reviewtide.session import Workspace
 
 MIN_WORDS = 6
 MIN_PERIODS = 4  # the boundaries' distance and the hash test rest on this and on MIN_WORDS
-TILE_WORDS = 1 << 16
-LOW_OCTAVES = 11  # of periods below 2^11, which share the tiles of the lowest level
 GRAM = 3
 
 FRAGMENTS = "array<struct<period bigint, start bigint, stop bigint>>"
@@ -56,6 +56,27 @@ RUNS = "array<struct<start bigint, period bigint, length bigint>>"
 _FRAGMENT = pa.struct([("period", pa.int64()), ("start", pa.int64()), ("stop", pa.int64())])
 
 
+@dataclass(frozen=True)
+class Tiles:
+    """``words`` of a tile of the lowest level, which holds the ``low_octaves``; each further
+    octave is a level with tiles of twice the words."""
+
+    words: int = 1 << 16
+    low_octaves: int = 11
+
+    def size(self, level: int) -> tuple[int, int]:
+        """Words of a tile, and how many more of the next one it has."""
+        return self.words << level, MIN_PERIODS << self.low_octaves + level
+
+    def levels(self, n_words: int) -> int:
+        return max(1, octaves_of(n_words) - self.low_octaves + 1)
+
+    def octaves(self, level: int, n_words: int) -> range:
+        """Those that tiles of the level are solved for."""
+        low = 0 if level == 0 else self.low_octaves + level - 1
+        return range(low, min(octaves_of(n_words), self.low_octaves + level))
+
+
 def z_function(s: list[int]) -> list[int]:
     """For each place how many items from there on equal those at the beginning."""
     n = len(s)
@@ -227,7 +248,7 @@ def _runs_type() -> pa.DataType:
     return pa.list_(pa.struct(fields))
 
 
-def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterable[pa.RecordBatch], tiles: Tiles = Tiles()) -> Iterator[pa.RecordBatch]:
     """The tiles of long texts, one a batch: row, level, at, the number of words of the text, and
     the tile's words."""
     names = ["row", "level", "at", "n_words", "words"]
@@ -236,8 +257,8 @@ def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text")):
             words = text.as_py().encode().split()
             n = len(words)
-            for level in range(max(1, octaves_of(n) - LOW_OCTAVES + 1)):
-                length, overlap = tile_size(level)
+            for level in range(tiles.levels(n)):
+                length, overlap = tiles.size(level)
                 for at in range(0, max(n, 1), length):
                     stop = min(n, at + length + overlap)
                     values = (row, level, at, n, b" ".join(words[at:stop]))
@@ -248,21 +269,16 @@ def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         break
 
 
-def tile_size(level: int) -> tuple[int, int]:
-    """Words of a tile, and how many more of the next one it has."""
-    return TILE_WORDS << level, MIN_PERIODS << LOW_OCTAVES + level
-
-
-def solve_tiles(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def solve_tiles(
+    batches: Iterable[pa.RecordBatch], tiles: Tiles = Tiles()
+) -> Iterator[pa.RecordBatch]:
     """The fragments of tiles: those at a cut whatever their length, as they may go on there."""
     for batch in batches:
         for tile in range(batch.num_rows):
             row, level, at, n_words, words = (c[tile].as_py() for c in batch.columns)
             stream = Stream(word_ids([words]))
             n = int(stream.lengths[0])
-            top = min(octaves_of(n), LOW_OCTAVES + level)
-            low = 0 if level == 0 else LOW_OCTAVES + level - 1
-            rows = stream.fragments(range(low, top))
+            rows = stream.fragments(tiles.octaves(level, n))
             at_cut = (rows[:, 2] == 0) & (at > 0) | (rows[:, 3] == n) & (at + n < n_words)
             rows = rows[at_cut | long_enough(rows)]
             if len(rows):
@@ -315,14 +331,14 @@ def collapsed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def collapse_runs(docs: DataFrame, ws: Workspace) -> DataFrame:
+def collapse_runs(docs: DataFrame, ws: Workspace, sizes: Tiles = Tiles()) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, runs (in order of start and period), collapsed.
 
     ``collapsed`` has the words that are in no run after the run's first period, joined by
     one space.
     """
     plain = docs.select("doc_id", text_or_empty().alias("text"))
-    is_long = F.octet_length("text") >= 2 * TILE_WORDS
+    is_long = F.octet_length("text") >= 2 * sizes.words
     columns = f"doc_id {dict(docs.dtypes)['doc_id']}"
     short = plain.filter(~is_long)
     with_runs = short.mapInArrow(periodic, f"{columns}, text string, fragments {FRAGMENTS}")
@@ -332,12 +348,14 @@ def collapse_runs(docs: DataFrame, ws: Workspace) -> DataFrame:
     })
     tiles = (
         tables["long"].select("row", "text")
-        .mapInArrow(cut, "row bigint, level int, at bigint, n_words bigint, words binary")
+        .mapInArrow(partial(cut, tiles=sizes), "row bigint, level int, at bigint, n_words bigint, words binary")
         .repartition("row", "level", "at")
     )
     fragments = (
         tables["periodic"].select("row", F.inline("fragments"))
-        .unionByName(tiles.mapInArrow(solve_tiles, "row bigint, period bigint, start bigint, stop bigint"))
+        .unionByName(tiles.mapInArrow(
+            partial(solve_tiles, tiles=sizes), "row bigint, period bigint, start bigint, stop bigint"
+        ))
     )
     of_row = stitched(fragments).groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs")

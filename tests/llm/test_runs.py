@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from functools import partial
 
 import pytest
 
@@ -83,26 +84,14 @@ def test_whole_texts(frame, docs, ws):
 
 
 @pytest.mark.parametrize("tile, low", [(8, 1), (16, 2), (64, 3)])
-def test_tiles_and_stitching(frame, ws, monkeypatch, tile, low):
+def test_tiles_and_stitching(frame, ws, tile, low):
     """Tiny tiles: nearly every text is cut, and runs reach over many tiles."""
-    monkeypatch.setattr(runs, "TILE_WORDS", tile)
-    monkeypatch.setattr(runs, "LOW_OCTAVES", low)
+    sizes = runs.Tiles(tile, low)
     given = list(enumerate(texts(tile)))
     plain = frame(given).select("doc_id", "text")
-    cut, solve = runs.cut, runs.solve_tiles
-
-    def small(task):
-        def run(batches):
-            runs.TILE_WORDS, runs.LOW_OCTAVES = tile, low
-            yield from task(batches)
-
-        return run
-
-    monkeypatch.setattr(runs, "cut", small(cut))
-    monkeypatch.setattr(runs, "solve_tiles", small(solve))
-    assert result(runs.collapse_runs(plain, ws)) == expected(given)
+    assert result(runs.collapse_runs(plain, ws, sizes)) == expected(given)
     pieces = plain.selectExpr("doc_id row", "text").mapInArrow(
-        runs.cut, "row bigint, level int, at bigint, n_words bigint, words binary"
+        partial(runs.cut, tiles=sizes), "row bigint, level int, at bigint, n_words bigint, words binary"
     )
     assert pieces.groupBy("row", "level").count().filter("count > 3").count() > 10
 

@@ -26,7 +26,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import pairwise
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -40,13 +40,15 @@ FEW_BYTES = 24
 NO_RANK = 1 << 60
 WINDOW_TOKENS = 4
 TREE_IDS = 1 << 14
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 300_000
 REMEMBERED_EDGES = 10_000
+MOST_MARKS = 4
 SHORT_WORD = 12  # longer words that end in a mark are put together from their parts
 ROWS_AT_ONCE = 512
 
 #: Where a text may not simply be split at its spaces.
 _MARKS = frozenset(".,\n")
+_CLOSING = ".,;:!?"
 _BLANKS = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -169,17 +171,17 @@ class Words(dict):
     """The ids, as bytes, of words after ``before``: a space, or nothing.
 
     ``encode`` gives the ids of any text; ``letters``, if given, those of a text that is
-    one match of letters (with a space before it or not), as bytes, at less cost. Of two generations
-    the older is forgotten when the newer is full, so that memory is bounded and words in
-    use stay. ``edges`` tells whether a word with white space at an end was looked up; those
-    are remembered apart, so that each time is noticed.
+    one match of letters (with a space before it or not), as bytes, at less cost. When
+    ``remembered`` words are known, a sixteenth of them, those known longest, are forgotten,
+    so memory is bounded and words in use are soon back. ``edges`` tells whether a word with
+    white space at an end was looked up; those are remembered apart, so that each time is
+    noticed.
     """
 
     def __init__(self, encode, letters=None, before: str = " ", remembered: int | None = None):
         self.encode, self.before = encode, before
         self.letters = letters or (lambda text: encode(text).tobytes())
         self.remembered = remembered or REMEMBERED_WORDS
-        self.older: dict[str, bytes] = {}
         self.marks = {mark: encode(mark).tobytes() for mark in _MARKS}
         self.at_start = self if not before else Words(encode, letters, "", self.remembered // 4)
         self.edges = False
@@ -188,29 +190,34 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             return self._with_edges(word)
-        mark = word[-1]
-        if mark in (",", "."):
-            head = word[:-1]
-            if head.isalpha():  # a match ends where the letters end
-                ids = self[head] + self.marks[mark]
-                if len(word) <= SHORT_WORD:
-                    self[word] = ids
-                return ids
-        ids = self.older.get(word)
+        if word.isalpha():
+            ids = self.letters(self.before + word)
+            if len(word) <= LEAF_BYTES:
+                self._remember(word, ids)
+            return ids
+        head = word.rstrip(_CLOSING)
+        if head.isalpha():  # a match ends where the letters end, the marks are one
+            ids = self[head] + self._tail(word[len(head) :])
+        else:
+            ids = self._parts(word)
+        if len(word) <= SHORT_WORD:
+            self._remember(word, ids)
+        return ids
+
+    def _tail(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
         if ids is None:
-            if word.isalpha():
-                ids = self.letters(self.before + word)
-            else:
-                ids = self._parts(word)
-                if len(word) > SHORT_WORD:
-                    return ids
-        if len(word) <= LEAF_BYTES:
-            if len(self) >= self.remembered:
-                self.older = dict(self)
-                self.clear()
-            self[word] = ids
+            ids = self.encode(marks).tobytes()
+            if len(marks) <= MOST_MARKS:
+                self.marks[marks] = ids
         return ids
 
+    def _remember(self, word: str, ids: bytes) -> None:
+        if len(self) >= self.remembered:
+            for known_longest in list(islice(self, max(1, self.remembered >> 4))):
+                del self[known_longest]
+        self[word] = ids
+
     def _with_edges(self, word: str) -> bytes:
         self.edges = True
         ids = self.edged.get(word)
@@ -224,8 +231,6 @@ class Words(dict):
 
     def _parts(self, word: str) -> bytes:
         """A word that is not of letters alone, by parts that are matches of their own."""
-        if word[-1] in (".", ",") and word[-2:-1].isalpha():
-            return self[word[:-1]] + self.marks[word[-1]]
         first, *rest = _lines(word)
         if rest:
             line_end, start = self.marks["\n"], self.at_start

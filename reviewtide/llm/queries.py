@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.llm import (
+    alignment,
     bpe,
     exact,
     html_extract,
     lines,
     mixing,
     ngram_join,
+    packing,
     quality,
     runs,
     sharding,
@@ -158,3 +160,18 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(line_ends, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@register
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = public_tokenizers.path("word_bpe_49k.json")
+    found = packing.pack(documents(spark, sf_dir), workspace_of(spark), words, end_id=1)
+    crc = F.crc32("ids").alias("ids_crc32")
+    return found.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset")
+
+
+@register
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    byte_level, pieces = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    docs = documents(spark, sf_dir)
+    return alignment.aligned_tokens(docs, workspace_of(spark), byte_level, pieces, digest=True)

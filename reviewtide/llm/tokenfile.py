@@ -10,7 +10,8 @@ can be read without the planes, and where the ids of a document begin in the who
 follows from sums over it. Spark writes and commits the files, so a lost task leaves
 none behind, and they can lie in any store.
 
-Null texts count as empty: the end id alone. Null doc_ids come first; rows that repeat
+The strings of special tokens in texts are those tokens, as the library has it. Null
+texts count as empty: the end id alone. Null doc_ids come first; rows that repeat
 a doc_id are documents of their own, next to each other.
 """
 
@@ -22,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -29,10 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from reviewtide.llm.bpe import Words, slices, text_ids
+from reviewtide.operators.sizing import checked_broadcast
 
 CHUNK_IDS = 1 << 16
 LEVEL = 1
-REMEMBERED_WORDS = 600_000  # twice as many at most, of some 250 bytes each
+REMEMBERED_WORDS = 1_200_000  # of some 250 bytes each
 
 SCHEMA = (
     "part int, chunk bigint, n_ids bigint, "
@@ -59,58 +62,112 @@ def from_planes(planes: list[bytes], n: int) -> np.ndarray:
     return np.ascontiguousarray(columns).view("<u4").reshape(-1)
 
 
+_DOC = pa.struct(
+    [("doc", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()),
+     ("whole", pa.bool_())]
+)
+
+
 class _Part:
-    """The chunks of one part, as documents arrive in order."""
+    """The chunks of one part, as documents arrive in order. Only an open chunk is held, as
+    columns of its documents' pieces."""
 
-    def __init__(self, part: int, bits: bool):
-        self.part, self.bits = part, bits
+    def __init__(self, part: int, bits: bool, size: int):
+        self.part, self.bits, self.size = part, bits, size
         self.waiting: list[np.ndarray] = []
-        self.docs: list[dict] = []
-        self.n = self.chunk = self.doc = 0
-
-    def add(self, doc_id: int | None, ids: np.ndarray) -> Iterator[dict]:
-        whole = self.n + len(ids) <= CHUNK_IDS
-        while len(ids):
-            now = ids[: CHUNK_IDS - self.n]
-            entry = {"doc": self.doc, "doc_id": doc_id, "at": self.n, "n": len(now), "whole": whole}
-            self.docs.append(entry)
+        self.pieces: list[list[np.ndarray]] = []
+        self.n = self.chunk = self.docs = 0
+
+    def add(self, doc_ids: pa.Array, ids: list[bytes]) -> Iterator[pa.RecordBatch]:
+        """Append documents; gives the chunks that they fill."""
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        stream = np.frombuffer(b"".join(ids), np.uint32)
+        stops = self.n + np.cumsum(n)
+        begins = stops - n
+        doc = np.arange(self.docs, self.docs + len(n))
+        self.docs += len(n)
+        done = 0
+        while True:
+            space = self.size - self.n
+            here = np.flatnonzero((begins < self.size) & (stops > 0))
+            at = np.maximum(begins[here], 0)
+            end = np.minimum(stops[here], self.size)
+            whole = (begins[here] >= 0) & (stops[here] <= self.size)
+            self.pieces.append([doc[here], doc_ids.take(pa.array(here)), at, end - at, whole])
+            now = stream[done : done + space]
             self.waiting.append(now)
             self.n += len(now)
-            ids = ids[len(now) :]
-            if self.n == CHUNK_IDS:
-                yield self.row()
-        self.doc += 1
+            done += len(now)
+            if self.n < self.size:
+                return
+            yield self.row()
+            begins, stops = begins - self.size, stops - self.size
 
-    def row(self) -> dict:
+    def row(self) -> pa.RecordBatch:
         compress = zstandard.ZstdCompressor(level=LEVEL).compress
-        planes = map(compress, to_planes(np.concatenate(self.waiting), self.bits))
-        row = {"part": self.part, "chunk": self.chunk, "n_ids": self.n, "docs": self.docs,
-               "planes": list(planes)}
-        self.waiting, self.docs, self.n, self.chunk = [], [], 0, self.chunk + 1
+        planes = list(map(compress, to_planes(np.concatenate(self.waiting), self.bits)))
+        doc, doc_id, at, n, whole = zip(*self.pieces)
+        docs = pa.StructArray.from_arrays(
+            [*(pa.array(np.concatenate(x)) for x in (doc,)), pa.concat_arrays(doc_id),
+             *(pa.array(np.concatenate(x)) for x in (at, n, whole))],
+            fields=list(_DOC),
+        )
+        row = pa.RecordBatch.from_arrays(
+            [pa.array([self.part], pa.int32()), pa.array([self.chunk], pa.int64()),
+             pa.array([self.n], pa.int64()), pa.ListArray.from_arrays([0, len(docs)], docs),
+             pa.array([planes], pa.list_(pa.binary()))],
+            ["part", "chunk", "n_ids", "docs", "planes"],
+        )
+        self.waiting, self.pieces, self.n, self.chunk = [], [], 0, self.chunk + 1
         return row
 
 
-_kept: dict[str, Words] = {}
-
+class TextIds:
+    """The ids of texts, as bytes, as the tokenizers library gives them without adding special
+    tokens.
 
-def _words(description: str) -> Words:
-    """The words that the tasks of a worker process have met, with their ids.
-
-    Special tokens in texts are ordinary text.
+    Texts are taken apart into words whose ids are remembered, see :class:`Words`. Where a
+    text may hold a special token, which the library takes as one token, it is encoded as a
+    whole by the library; with ``plain`` such strings are ordinary text.
     """
-    if description not in _kept:
+
+    def __init__(self, description: str, plain: bool, remembered: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task's core is its share
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_str(description)
-        tokenizer.encode_special_tokens = True
+        self.tokenizer = Tokenizer.from_str(description)
+        self.tokenizer.encode_special_tokens = plain
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.signs = () if plain else tuple({token.content for token in added})
+        self.words = Words(self.whole, _letters(self.tokenizer), remembered=remembered)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-        def encode(text: str) -> np.ndarray:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+    def __call__(self, text: str) -> bytes:
+        for sign in self.signs:
+            if sign in text:
+                return self.whole(text).tobytes()
+        return text_ids(text, self.words)
 
+
+_kept: dict[tuple, TextIds] = {}
+
+
+def text_ids_of(description: str, plain: bool = False, remembered: int | None = None) -> TextIds:
+    """The one that the tasks of a worker process share, with the words they have met."""
+    key = (description, plain)
+    if key not in _kept:
         _kept.clear()
-        _kept[description] = Words(encode, _letters(tokenizer), remembered=REMEMBERED_WORDS)
-    return _kept[description]
+        _kept[key] = TextIds(description, plain, remembered or REMEMBERED_WORDS)
+    return _kept[key]
+
+
+def byte_letters() -> dict[int, str]:
+    """The visible character by which byte-level vocabularies write each byte."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 def _letters(tokenizer):
@@ -123,9 +180,7 @@ def _letters(tokenizer):
     before = tokenizer.pre_tokenizer
     if type(before).__name__ != "ByteLevel" or before.add_prefix_space or tokenizer.normalizer:
         return None
-    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in visible]
-    table = {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+    table = byte_letters()
     tokenize = tokenizer.model.tokenize
 
     space = table[32]
@@ -140,65 +195,74 @@ def _letters(tokenizer):
     return letters
 
 
-def _arrow_schema() -> pa.Schema:
-    doc = [("doc", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int64()), ("n", pa.int64()),
-           ("whole", pa.bool_())]
-    return pa.schema(
-        [("part", pa.int32()), ("chunk", pa.int64()), ("n_ids", pa.int64()),
-         ("docs", pa.list_(pa.struct(doc))), ("planes", pa.list_(pa.binary()))]
-    )
-
-
 def write_ids(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0, bits: bool = False
+    docs: DataFrame,
+    path: str,
+    tokenizer_path: str,
+    end_id: int = 0,
+    bits: bool = False,
+    chunk_ids: int = CHUNK_IDS,
 ) -> None:
-    """Write the ids of ``docs`` (doc_id, text) to the folder ``path``."""
+    """Write the ids of ``docs`` (doc_id, text) to the folder ``path``, in chunks of ``chunk_ids``."""
     with open(tokenizer_path, encoding="utf-8") as file:
         description = docs.sparkSession.sparkContext.broadcast(file.read())
 
+    end = np.array([end_id], np.uint32).tobytes()
+
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, schema = _words(description.value), _arrow_schema()
-        end = np.array([end_id], np.uint32).tobytes()
-        part = _Part(TaskContext.get().partitionId(), bits)
+        encode = text_ids_of(description.value)
+        part = _Part(TaskContext.get().partitionId(), bits, chunk_ids)
         for batch in slices(batches):
-            rows = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            for doc_id, text in rows:
-                ids = np.frombuffer(text_ids(text, words) + end, np.uint32)
-                for row in part.add(doc_id, ids):
-                    yield pa.RecordBatch.from_pylist([row], schema)
+            ids = [encode(text or "") + end for text in batch.column("text").to_pylist()]
+            yield from part.add(batch.column("doc_id").cast(pa.int64()), ids)
         if part.n:
-            yield pa.RecordBatch.from_pylist([part.row()], schema)
+            yield part.row()
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     ordered.mapInArrow(task, SCHEMA).write.option("compression", "uncompressed").parquet(path)
 
 
-def read_pieces(chunks: DataFrame, whole: bool) -> DataFrame:
+def _spans(planes: list[bytes], n_ids: int, at: np.ndarray, n: np.ndarray) -> pa.Array:
+    """The ids of spans of a chunk as one binary column; only what the spans hold is put
+    together again, in one go where they adjoin."""
+    if len(planes) == 4 and not (at[1:] == at[:-1] + n[:-1]).all():
+        spans = zip(at.tolist(), n.tolist())
+        parts = [from_planes([p[a : a + m] for p in planes], m).tobytes() for a, m in spans]
+        return pa.array(parts, pa.binary())
+    whole = from_planes(planes, n_ids).tobytes()
+    if (at[1:] == at[:-1] + n[:-1]).all():
+        offsets = np.append(at, at[-1] + n[-1]).astype(np.int32) * 4
+        buffers = [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(whole)]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(at), buffers)
+    return pa.array([whole[4 * a : 4 * (a + m)] for a, m in zip(at, n)], pa.binary())
+
+
+def read_pieces(chunks: DataFrame, whole: bool, chunk_ids: int) -> DataFrame:
     """A row for each document and chunk: part, doc, doc_id, at (in the part), ids (bytes); of the
     documents that lie in one chunk whole, or of the others."""
 
-    chunk_ids = CHUNK_IDS
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decompress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            for row in batch.to_pylist():
-                ids = from_planes([decompress(p) for p in row["planes"]], row["n_ids"])
-                pieces = [
-                    (row["part"], d["doc"], d["doc_id"], row["chunk"] * chunk_ids + d["at"],
-                     ids[d["at"] : d["at"] + d["n"]].tobytes())
-                    for d in row["docs"]
-                    if d["whole"] == whole
-                ]
-                if pieces:
-                    columns = [pa.array(x, k) for x, k in zip(zip(*pieces), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, ["part", "doc", "doc_id", "at", "ids"])
+            for k in range(batch.num_rows):
+                part, chunk, n_ids = (batch.column(c)[k].as_py() for c in ("part", "chunk", "n_ids"))
+                docs = batch.column("docs")[k].values
+                docs = docs.filter(pc.equal(docs.field("whole"), whole))
+                if not len(docs):
+                    continue
+                planes = [decompress(p) for p in batch.column("planes")[k].as_py()]
+                at, n = docs.field("at").to_numpy(), docs.field("n").to_numpy()
+                ids = _spans(planes, n_ids, at, n)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(docs), part, np.int32)), docs.field("doc"),
+                     docs.field("doc_id"), pa.array(at + chunk * chunk_ids), ids],
+                    ["part", "doc", "doc_id", "at", "ids"],
+                )
 
     return chunks.mapInArrow(task, "part int, doc bigint, doc_id bigint, at bigint, ids binary")
 
 
-def read_ids(spark: SparkSession, path: str) -> DataFrame:
+def read_ids(spark: SparkSession, path: str, chunk_ids: int = CHUNK_IDS) -> DataFrame:
     """Per document: doc_id, start (ids of all documents before it), ids (32-bit, little-endian).
 
     Only documents that reach over the end of a chunk are brought together by a shuffle.
@@ -207,10 +271,10 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     sums = chunks.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     begins = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    whole = read_pieces(chunks, True)
+    whole = read_pieces(chunks, True, chunk_ids)
     cut = chunks.filter(F.exists("docs", lambda d: ~d["whole"]))
     joined = (
-        read_pieces(cut, False)
+        read_pieces(cut, False, chunk_ids)
         .groupBy("part", "doc", "doc_id")
         .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("p"))
         .select(
@@ -220,6 +284,6 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     )
     return (
         whole.unionByName(joined)
-        .join(F.broadcast(begins), "part")
+        .join(checked_broadcast(begins), "part")
         .select("doc_id", (F.col("before") + F.col("at")).alias("start"), "ids")
     )

@@ -76,7 +76,7 @@ def test_forgetting_words(encoder, library):
     words = bpe.Words(encoder.matches, encoder.letters, remembered=3)
     text = "one two three, four five.\nSix one two seven, eight one."
     assert ids_of(text, words).tolist() == library.encode_ordinary(text)
-    assert len(words) <= 3 and len(words.older) <= 3
+    assert len(words) <= 3
 
 
 @pytest.mark.parametrize("line_end", ["\n", "\n\n", "\r\n"])
@@ -88,7 +88,7 @@ def test_many_short_lines(encoder, library, line_end):
     for _ in range(2):
         assert ids_of(text, words).tolist() == library.encode_ordinary(text)
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    words = tokenfile._words(tokenizer.to_str())
+    words = tokenfile.text_ids_of(tokenizer.to_str()).words
     assert ids_of(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -111,7 +111,7 @@ BLANKS = [
 def test_runs_of_blanks_in_any_order():
     """The ids do not depend on the texts met before."""
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    words = tokenfile._words(tokenizer.to_str())
+    words = tokenfile.text_ids_of(tokenizer.to_str()).words
     for text in [*BLANKS, *BLANKS, *reversed(BLANKS)]:
         assert ids_of(text, words).tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
@@ -157,18 +157,14 @@ def test_planes(bits, n):
 
 
 @pytest.mark.parametrize("bits, chunk", [(False, 1 << 16), (True, 100)])
-def test_token_files(spark, frame, docs, ws, monkeypatch, bits, chunk):
+def test_token_files(spark, frame, docs, ws, bits, chunk):
     """Also with chunks so small that documents reach over several."""
     tokenizer = Tokenizer.from_file(VOCABULARY)
-    tokenizer.encode_special_tokens = True
     docs = [*docs, *((100 + k, text) for k, text in enumerate(odd_texts(60)))]
     path = ws.path("ids")
-    if chunk != tokenfile.CHUNK_IDS:
-        monkeypatch.setattr(tokenfile, "CHUNK_IDS", chunk)
-        monkeypatch.setenv("SPARK_TEST_CHUNK", str(chunk))
-    tokenfile.write_ids(frame(docs), path, VOCABULARY, bits=bits)
+    tokenfile.write_ids(frame(docs), path, VOCABULARY, bits=bits, chunk_ids=chunk)
     found = {
-        r["doc_id"]: (r["start"], bytes(r["ids"])) for r in tokenfile.read_ids(spark, path).collect()
+        r["doc_id"]: (r["start"], bytes(r["ids"])) for r in tokenfile.read_ids(spark, path, chunk).collect()
     }
     start = 0
     for doc_id, text in sorted(docs):
@@ -180,6 +176,26 @@ def test_token_files(spark, frame, docs, ws, monkeypatch, bits, chunk):
     assert index == start
 
 
+END = "<|endoftext|>"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [f"{END} at the start", f"in {END} the middle", f"at the end {END}", f"{END}{END} {END}", f"glued{END}on",
+     f"no{END[:-1]}", f"lines\n{END}\n\n{END}.", END],
+)
+def test_special_tokens_as_the_library_has_them(text):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    encode = tokenfile.text_ids_of(tokenizer.to_str())
+    for _ in range(2):
+        ids = np.frombuffer(encode(text), np.uint32).tolist()
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    plain = Tokenizer.from_file(VOCABULARY)
+    plain.encode_special_tokens = True
+    ids = np.frombuffer(tokenfile.text_ids_of(tokenizer.to_str(), plain=True)(text), np.uint32)
+    assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files_odd_rows(spark, frame, empty, ws):
     path = ws.path("ids")
     tokenfile.write_ids(empty, path, VOCABULARY)

@@ -86,7 +86,7 @@ def test_breeding_beats_best_fit():
         check_sequences(found[["bin", "offset", "length"]].itertuples(index=False), 1000)
 
 
-@pytest.mark.parametrize("per_island, waste", [(40, 0.06), (400, 0.04), (10_000, 0.01)])
+@pytest.mark.parametrize("per_island, waste", [(40, 0.05), (400, 0.03), (10_000, 0.02)])
 def test_place(spark, ws, per_island, waste):
     rng = random.Random(per_island)
     lengths = [min(900, max(1, int(rng.lognormvariate(3.5, 1)))) for _ in range(2000)] + [1000] * 7 + [600] * 300
@@ -95,7 +95,7 @@ def test_place(spark, ws, per_island, waste):
     rows = packing.place(table, ws, plan).collect()
     assert sorted(r["key"] for r in rows) == list(range(len(lengths)))
     n = check_sequences([(r["sequence_id"], r["offset"], lengths[r["key"]]) for r in rows], 1000)
-    least = max(-(-sum(lengths) // 1000), 307)
+    least = max(-(-sum(lengths) // 1000), sum(n > 500 for n in lengths))  # of those no two share one
     assert n <= least * (1 + waste) + 1
 
 

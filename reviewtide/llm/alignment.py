@@ -90,6 +90,11 @@ def gallop(short: np.ndarray, long: np.ndarray, guess: np.ndarray) -> np.ndarray
     return low
 
 
+def signed_ids(n: int) -> np.ndarray:
+    """The numbers below ``n`` as text, followed by a comma, a bar, a semicolon: a row for each."""
+    return np.array([[f"{k}{sign}" for k in range(n)] for sign in ",|;"], object)
+
+
 class Tokens:
     """Token ids of several documents, one behind another, with the bytes they stand for."""
 
@@ -140,17 +145,20 @@ class Alignment:
         ends.sort(kind="stable")
         return ends
 
-    def texts(self) -> list[str]:
-        """Per document its groups as ``a1,a2|b1;a3|b2,b3``."""
-        n = len(self.a.ids) + len(self.b.ids)
-        group_a = np.searchsorted(self.last_a, np.arange(len(self.a.ids)))
-        group_b = np.searchsorted(self.last_b, np.arange(len(self.b.ids)))
-        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
-        sign = np.full(n, ",", object)
-        sign[self.last_a] = "|"
-        sign[len(self.a.ids) + self.last_b] = ";"
-        strings = np.concatenate([self.a.ids, self.b.ids]).astype(str).astype(object) + sign
-        strings = strings[order].tolist()
+    def texts(self, words: np.ndarray) -> list[str]:
+        """Per document its groups as ``a1,a2|b1;a3|b2,b3``; ``words`` from :func:`signed_ids`."""
+        n_a, n_b = len(self.a.ids), len(self.b.ids)
+        sign = np.zeros(n_a + n_b, np.int64)
+        sign[self.last_a] = 1
+        sign[n_a + self.last_b] = 2
+        # The tokens of group g of a stand before those of b, and these before group g + 1 of a.
+        done_a, done_b = np.zeros(n_a, np.int64), np.zeros(n_b, np.int64)
+        done_a[self.last_a[:-1] + 1] = np.diff(self.last_b, prepend=-1)[:-1]
+        done_b[np.append(0, self.last_b[:-1] + 1)[: len(self.last_b)]] = np.diff(self.last_a, prepend=-1)
+        place = np.concatenate([np.arange(n_a) + np.cumsum(done_a), np.arange(n_b) + np.cumsum(done_b)])
+        ordered = np.empty(n_a + n_b, object)
+        ordered[place] = words[sign, np.concatenate([self.a.ids, self.b.ids])]
+        strings = ordered.tolist()
         sizes = self.a.counts + self.b.counts
         stops = np.cumsum(sizes)
         return ["".join(strings[a:b])[:-1] for a, b in zip((stops - sizes).tolist(), stops.tolist())]
@@ -206,6 +214,7 @@ class Both:
 
     def __init__(self, a, b):
         self.a, self.b = a, b
+        self.words = signed_ids(max(len(a.tokens), len(b.tokens)))
         self.sizes_a, self.sizes_b = (np.array([len(t) for t in e.tokens], np.int64) for e in (a, b))
 
     def tokens(self, texts: Iterable[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -251,7 +260,7 @@ def align(
         both = _kept[n_b_ids]
         for batch in slices(batches):
             found = both.align(batch.column("text").to_pylist())
-            groups = found.texts()
+            groups = found.texts(both.words)
             if digest:
                 groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
             doc, pair, times = found.pairs(n_b_ids)

@@ -51,6 +51,16 @@ class Node:
     inputs: int = 0
 
 
+def is_hidden(attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether an element says of itself that it is not shown."""
+    for name, value in attrs:
+        if name == "hidden" and (value or "").lower() != "until-found":
+            return True
+        if name == "style" and value and "display:none" in "".join(value.lower().split()):
+            return True
+    return False
+
+
 class Builder(HTMLParser):
     """Builds the nodes. Unknown and inline elements belong to the block around them."""
 
@@ -58,6 +68,8 @@ class Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node("html", "", -1)]
         self.open: list[tuple[str, int]] = [("html", 0)]  # open elements, with their block
+        self.marks: list[int] = []  # places in ``open`` of all that is not inline
+        self.hidden: list[int] = []
         self.silent = 0
         self.links = 0
 
@@ -76,6 +88,9 @@ class Builder(HTMLParser):
             return
         self.end_before(tag)
         at = self.open[-1][1]
+        if is_hidden(attrs):
+            self.hidden.append(len(self.open))
+            self.silent += 1
         if tag in SILENT:
             self.silent += 1
         elif tag == "a":
@@ -86,6 +101,8 @@ class Builder(HTMLParser):
             self.nodes.append(Node(tag, names.lower(), at, label=values.get("data-y")))
             self.nodes[at].order.append(("node", len(self.nodes) - 1))
             at = len(self.nodes) - 1
+        if tag in BLOCKS or tag in ENDED_BY or tag in SCOPES:
+            self.marks.append(len(self.open))
         self.open.append((tag, at))
 
     def handle_startendtag(self, tag, attrs):
@@ -101,7 +118,7 @@ class Builder(HTMLParser):
 
     def end_before(self, tag):
         """Ends an open paragraph, entry or cell that the start of ``tag`` ends."""
-        for i in range(len(self.open) - 1, max(0, len(self.open) - 12), -1):
+        for i in reversed(self.marks):
             at = self.open[i][0]
             if at in ENDED_BY and tag in ENDED_BY[at]:
                 self.close(i)
@@ -124,6 +141,11 @@ class Builder(HTMLParser):
             self.silent -= tag in SILENT
             self.links -= tag == "a"
         del self.open[i:]
+        while self.marks and self.marks[-1] >= i:
+            self.marks.pop()
+        while self.hidden and self.hidden[-1] >= i:
+            self.hidden.pop()
+            self.silent -= 1
 
     def handle_data(self, data):
         if self.open[-1][0] == "head" and data.strip(HEAD_SPACES):

@@ -9,7 +9,9 @@ and the text of the elements that are more likely content than not is the page's
 The potentials are trained here, by the likelihood of labelled pages: a sample of the
 given pages (``SAMPLE_PAGES`` of them, however many there are) whose own markup names one
 article, and pages laid out from the text of that sample, with menus, sidebars, notices,
-adverts, forms and comments around it, the marks of which vary. Extraction is a projection
+adverts, forms and comments around it, the marks of which vary. If no page of the sample
+names one article, the laid-out pages take the longer texts of all blocks, whatever these
+are, and without any they take invented ones; so there is always a model. Extraction is a projection
 over the pages with the weights, a few kilobytes, sent along; nothing is shuffled.
 
 Null and empty pages have an empty text. Repeated rows are extracted each by itself, other
@@ -34,6 +36,7 @@ from reviewtide.llm.dom import Node, blocks, parse
 
 SAMPLE_PAGES = 200
 LAID_OUT = 400
+LONG_TEXT = 8
 EPOCHS = 60
 SEED = 7
 
@@ -272,6 +275,19 @@ def known_labels(page: Page) -> np.ndarray:
     return np.array([int(node.label or 1) for node in page.nodes])
 
 
+def _long_texts(pages: list[str]) -> list[str]:
+    """The texts of pages' blocks that have as many words as a sentence."""
+    texts = (text for html in pages for _, text in read(html).blocks)
+    return [text.replace("<", " ") for text in texts if text.count(" ") >= LONG_TEXT]
+
+
+def _invented(rng: random.Random) -> list[str]:
+    letters = "eeeetttaaaooiinnsshhrrddlu"
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(2, 9)))
+    sentence = lambda: " ".join(word() for _ in range(rng.randint(5, 18))).capitalize() + "."
+    return [" ".join(sentence() for _ in range(rng.randint(1, 5))) for _ in range(50)]
+
+
 def _labelled(pages: list[str], laid: int, seed: int) -> list[tuple[Page, np.ndarray]]:
     rng, labelled, paragraphs = random.Random(seed), [], []
     for html in pages:
@@ -281,7 +297,8 @@ def _labelled(pages: list[str], laid: int, seed: int) -> list[tuple[Page, np.nda
             y[0] = 1
             labelled.append((page, y))
             paragraphs += [text.replace("<", " ") for at, text in page.blocks if y[at] and " " in text]
-    for _ in range(laid if paragraphs else 0):
+    paragraphs = paragraphs or _long_texts(pages) or _invented(rng)
+    for _ in range(laid):
         page = read(laid_out(rng, paragraphs))
         labelled.append((page, known_labels(page)))
     return labelled

@@ -165,6 +165,49 @@ def test_pages_that_leave_tags_out(model, before):
     assert model.text(before + ARTICLE) == text
 
 
+def test_inline_elements_that_stay_open(model):
+    """However many there are, a paragraph ends where the next block starts."""
+    html = page(f"<article><p>{PARAGRAPHS[1]}" + "<b><i>" * 20 + f"<p>{PARAGRAPHS[2]}<ul><li>one<b>" + "<span>" * 30
+                + "<li>two</ul></article>")
+    assert [text for _, text in hx.read(html).blocks] == [PARAGRAPHS[1], PARAGRAPHS[2], "one", "two"]
+
+
+def test_hidden_elements(model):
+    shown = f"<article><h1>On tea</h1><p>{PARAGRAPHS[3]}</p>{{}}</article>"
+    for hidden in ('<p hidden>Not shown.</p>', '<div style="color:red; Display : none"><p>Not<p>shown.</div>',
+                   "<p><span hidden>Not shown.</span></p>"):
+        assert model.text(page(shown.format(hidden))) == f"On tea\n\n{PARAGRAPHS[3]}"
+
+
+def div_page(k: int, names: tuple[str, str, str]) -> tuple[str, str]:
+    """A page without <article>, written by hand, and its text."""
+    menu, main, foot = names
+    paragraphs = [PARAGRAPHS[(k + i) % 40] for i in range(1 + k % 4)]
+    html = page(
+        f'<div class="{menu}"><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></div>'
+        f'<div class="{main}"><h1>Title number {k}</h1>{"".join(f"<p>{p}</p>" for p in paragraphs)}</div>'
+        f'<div class="comments"><p>Nice one, thanks.</p></div><div class="{foot}">&copy; site {k}</div>'
+    )
+    return html, "\n\n".join([f"Title number {k}", *paragraphs])
+
+
+@pytest.mark.parametrize("names", [("menu", "content", "footer"), ("navbar", "entry-text", "legal")])
+def test_tables_without_article(spark, names):
+    """A model comes about, and the text of layouts of div alone is found."""
+    pages = [div_page(k, names) for k in range(30)]
+    df = spark.createDataFrame([(k, html) for k, (html, _) in enumerate(pages)], "page_id int, html string")
+    found = {r["page_id"]: r["text"] for r in hx.extract(df, hx.trained(df)).collect()}
+    right = sum(found[k] == text for k, (_, text) in enumerate(pages))
+    assert right >= 27 and all(found.values())
+
+
+def test_a_table_of_bare_pages(spark):
+    """Nothing to learn from: the model is that of invented pages."""
+    df = spark.createDataFrame([(1, "<p>Short.</p>"), (2, None), (3, ARTICLE * 2)], "page_id int, html string")
+    found = {r["page_id"]: r["text"] for r in hx.extract(df, hx.trained(df)).collect()}
+    assert found[3].count(PARAGRAPHS[3]) == 2 and found[2] == ""
+
+
 def test_text_ends_a_head():
     read = hx.read(f"<html><head><title>T</title> \n{PARAGRAPHS[3]}<p>{PARAGRAPHS[4]}")
     assert [text for _, text in read.blocks] == [PARAGRAPHS[3], PARAGRAPHS[4]]

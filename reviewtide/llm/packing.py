@@ -285,9 +285,14 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> D
 def pack(
     docs: DataFrame, ws: Workspace, tokenizer_path: str, end_id: int, plan: Breeding = Breeding()
 ) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids, sequence_id, offset (in its sequence)."""
-    found = pieces_of(docs, tokenizer_path, end_id, plan.size)
-    pieces = ws.write(found.withColumn("key", F.monotonically_increasing_id()), "pieces")
+    """Per piece: doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset (there).
+
+    The checksum is written with the ids, so that who needs it alone does not move these.
+    """
+    found = pieces_of(docs, tokenizer_path, end_id, plan.size).withColumns(
+        {"key": F.monotonically_increasing_id(), "ids_crc32": F.crc32("ids")}
+    )
+    pieces = ws.write(found, "pieces")
     placed = place(pieces.select("key", "length"), ws, plan)
     return pieces.join(placed, "key").drop("key")
 

@@ -166,8 +166,9 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = public_tokenizers.path("word_bpe_49k.json")
     found = packing.pack(documents(spark, sf_dir), workspace_of(spark), words, end_id=1)
-    crc = F.crc32("ids").alias("ids_crc32")
-    return found.select("doc_id", "piece", "start", "length", crc, "sequence_id", "offset")
+    return found.select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
 
 
 @register

@@ -54,14 +54,17 @@ def kept_categories(counts: DataFrame, min_reviews: int = MIN_REVIEWS) -> DataFr
     return counts.filter(F.col("num_reviews") > min_reviews).select("category")
 
 
-def keep_categories(exploded: DataFrame, kept: DataFrame) -> DataFrame:
+def keep_categories(
+    exploded: DataFrame, kept: DataFrame, how: str = "left_semi"
+) -> DataFrame:
     """Rows whose category is in ``kept``; a null category matches a null one.
 
-    ``kept`` has to be a written table: it is measured, then broadcast if small.
+    ``kept`` has to be a written table: it is measured, then broadcast if small. ``how`` may
+    be ``inner`` if no category is in it twice.
     """
     kept = checked_broadcast(kept.withColumnRenamed("category", "_kept"))
     same = F.col("category").eqNullSafe(F.col("_kept"))
-    return exploded.join(kept, same, "left_semi")
+    return exploded.join(kept, same, how).drop("_kept")
 
 
 def drop_rare_categories(

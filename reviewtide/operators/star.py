@@ -42,6 +42,8 @@ def register_table(
     columns = ", ".join(f"`{name}` {type_}" for name, type_ in like.dtypes)
     by = ", ".join(f"`{key}`" for key in keys)
     layout = "" if buckets is None else f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS"
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType == "VIEW":
+        spark.sql(f"DROP VIEW {table}")
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout} LOCATION '{path}'")
     return spark.table(table)

@@ -62,14 +62,17 @@ def build_lake(
 def build_part(
     reviews: DataFrame, places: DataFrame, averages: DataFrame, categories: DataFrame
 ) -> DataFrame:
-    """The lake rows of ``categories`` (a written table of kept ones).
+    """The lake rows of ``categories`` (a written table of kept ones, each once).
 
-    Reviews are narrowed to these categories before anything is joined, so the text of
-    all others is neither shuffled nor sorted.
+    Reviews are narrowed to the places that have rows of these categories, which takes keys
+    alone, before their text is joined; the category lists explode after both joins, so the
+    text of a review moves once for each, however many of its categories are touched.
     """
-    rows = keep_categories(explode_categories(has_categories(reviews)), categories)
-    joined = rows.join(usa_places(places), "gPlusPlaceId", "inner")
-    return with_user_average(joined, averages).select(names(LAKE))
+    rows = has_categories(reviews)
+    keys = explode_categories(rows.select("gPlusPlaceId", "categories"))
+    places_of = keep_categories(keys, categories).select("gPlusPlaceId").distinct()
+    narrowed = rows.join(places_of, "gPlusPlaceId", "left_semi")
+    return keep_categories(exploded_lake(narrowed, places, averages), categories, "inner")
 
 
 def lake_of(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 
 from reviewtide.operators.categories import MIN_REVIEWS
@@ -17,11 +16,13 @@ from reviewtide.operators.quality import (
     run_checks,
 )
 from reviewtide.operators.star import replace_table
-from reviewtide.plans.incremental import add_batch
+from reviewtide.plans.incremental import add_batch, withdraw_batch
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import prepare_places, review_features
+from reviewtide.plans.snapshot import STAR, VERSION, Star, new_version, replace
+from reviewtide.plans.star_changes import register_parts, staging_rows, star_rows, updated_star
 from reviewtide.plans.store import FIRST_BATCH, Store, checked_batch_name
-from reviewtide.plans.warehouse import register_star, staging_of_lake, write_star
+from reviewtide.plans.warehouse import StarTable, register_layout, write_star
 from reviewtide.schemas import (
     PLACES_RAW,
     POPULATION_RAW,
@@ -40,9 +41,6 @@ from reviewtide.session import (
     workspace,
 )
 from reviewtide.sources.readers import read_csv, read_dirty_json
-from reviewtide.sources.writers import write_text
-
-SLOTS = ("a", "b")
 
 
 @dataclass(frozen=True)
@@ -59,54 +57,64 @@ class Published:
 class Warehouse:
     """Which categories go into the star tables, and how and where those are kept.
 
-    ``buckets``: a number, "auto" for one that follows from the size, or None for plain
-    tables.
+    ``parts``: into how many parts each table is dealt (by default so many that one has about
+    two million fact rows); only parts with changed rows are written again. ``buckets``: a
+    number, or "auto" for one that follows from the size, lays the tables out for joins
+    without a shuffle instead; such a star is written anew each time.
     """
 
     category: str
     database: str = "default"
     scale: int = 0
     buckets: int | str | None = None
-
-
-def current_slot(spark: SparkSession, out: str) -> str | None:
-    """Which of the two star folders is the published one."""
-    try:
-        return spark.read.text(f"{out}/star/current").first()["value"]
-    except AnalysisException as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        return None
+    parts: int | None = None
 
 
 def star_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The published star tables below ``out``, for a session whose catalog lacks them."""
-    folder = f"{out}/star/{current_slot(spark, out)}"
+    star = Store(spark, out).snapshot().star
+    if star.tables:
+        return star_rows(spark, out, star)
+    folder = f"{out}/{STAR}/{VERSION}{star.version}"
     return {name: spark.read.parquet(f"{folder}/{name}") for name in star_fields()}
 
 
+def register_star(
+    spark: SparkSession, root: str, star: Star, written: dict[str, StarTable] | None, database: str
+) -> dict[str, DataFrame]:
+    """Let the tables of ``database`` name the files of a written star."""
+    if written is not None:
+        return register_layout(spark, written, database)
+    return register_parts(spark, root, star, database)
+
+
 def publish_star(
-    ws: Workspace, store: Store, warehouse: Warehouse
+    ws: Workspace, store: Store, warehouse: Warehouse, anew: bool = False
 ) -> tuple[dict[str, DataFrame], list[Row]]:
-    """Staging, star tables, their checks; only tables that pass are published.
+    """Star tables and their checks; only tables that pass are published.
 
-    The tables are written to the one of two folders that is not published. If writing or
-    checking fails, the published ones stay as they are.
+    Nothing that is published is overwritten, so if writing or checking fails, the published
+    tables stay as they are. Unless ``anew``, the published star is gone on from.
     """
-    rows = staging_of_lake(ws.spark, store.lake_path, warehouse.category)
-    staging = replace_table(rows, ws.table_name("staging"))
-    slot = SLOTS[current_slot(ws.spark, store.root) == SLOTS[0]]
-    star = write_star(
-        ws, staging, f"{store.root}/star/{slot}", warehouse.scale, warehouse.buckets
-    )
-    tables = {name: table.rows for name, table in star.items()}
-    plain = tables if warehouse.buckets is None else without_slices(tables)
-    report = run_checks(plain, STAR_KEYS, STAR_REFERENCES).unionByName(
-        guard_populated({"reviews_lake": store.lake(), "staging": staging})
-    )
+    written = None
+    if warehouse.buckets is None:
+        star = updated_star(ws, store, warehouse.category, warehouse.scale, warehouse.parts, anew)
+        tables = star_rows(ws.spark, store.root, star)
+        populated = {"staging": tables["reviews"]}
+    else:
+        rows = staging_rows(store, store.snapshot().lake, warehouse.category)
+        staging = replace_table(rows, ws.table_name("staging"))
+        star = Star(warehouse.category, warehouse.scale, new_version())
+        folder = store.path(STAR, star.version)
+        written = write_star(ws, staging, folder, warehouse.scale, warehouse.buckets)
+        tables = without_slices({name: table.rows for name, table in written.items()})
+        populated = {"staging": staging}
+    if anew:
+        populated["reviews_lake"] = store.lake()
+    report = run_checks(tables, STAR_KEYS, STAR_REFERENCES).unionByName(guard_populated(populated))
     checks = enforce(report)
-    published = register_star(ws.spark, star, warehouse.database)
-    write_text(ws.spark.createDataFrame([(slot,)], "value string").coalesce(1), f"{store.root}/star/current")
+    published = register_star(ws.spark, store.root, star, written, warehouse.database)
+    store.change(lambda s: replace(s, star=star))
     return published, checks
 
 
@@ -128,27 +136,35 @@ def run(
     is published that depends on it.
     """
     use_utc(spark)
-    store = Store(spark, out)
+    published = Store(spark, out)
     raw_bytes = input_bytes(spark, places_path, reviews_path)
     with sized_for(spark, raw_bytes, sizing), workspace(spark) as ws:
+        published.clean_up()
+        store = published.draft()
         seen = {"places": Observation("places"), "reviews": Observation("reviews")}
         population = read_csv(spark, population_path, POPULATION_RAW)
         raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair, seen["places"])
         raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen["reviews"])
-        store.set_marks({})
         concurrently(
             spark,
             lambda: store.write_places(prepare_places(raw_places, population)),
             lambda: store.write_reviews(review_features(raw_reviews), FIRST_BATCH, first=True),
         )
-        store.write_states(FIRST_BATCH, first=True, raw_bytes=raw_bytes)
-        guards = guard_join_fanout(store.reviews(), usa_places(store.places())).unionByName(
-            guard_filter_effective(store.category_counts(), min_reviews)
+        fanout, _ = concurrently(
+            spark,
+            lambda: enforce(guard_join_fanout(store.reviews(), usa_places(store.places()))),
+            lambda: store.write_states(FIRST_BATCH, first=True, raw_bytes=raw_bytes),
         )
-        report = enforce(guards)
-        store.write_lake(ws, min_reviews)
-        tables, checks = publish_star(ws, store, warehouse)
-    return Published(store, tables, report + checks, {name: o.get for name, o in seen.items()})
+        inputs, effective = concurrently(
+            spark,
+            lambda: store.lake_inputs(ws),
+            lambda: enforce(guard_filter_effective(store.category_counts(), min_reviews)),
+        )
+        store.write_lake(ws, min_reviews, inputs)
+        store.publish()
+        tables, checks = publish_star(ws, published, warehouse, anew=True)
+    parsed = {name: o.get for name, o in seen.items()}
+    return Published(published, tables, [*fanout, *effective, *checks], parsed)
 
 
 def run_increment(
@@ -163,10 +179,10 @@ def run_increment(
 ) -> Published:
     """Add the raw reviews of one ``batch`` to the store below ``out``.
 
-    Lake folders without a change stay; the star tables are built anew from the folders
-    of their categories. Repeating a batch with the same reviews changes nothing. Batches
-    that an earlier run did not finish are brought into the lake as well. Shuffles are
-    sized by the raw bytes of all batches.
+    Lake folders without a change stay, and so do the parts of the star tables. A batch that
+    is there already is corrected: its reviews are the given ones from now on. Batches that an
+    earlier run did not finish are brought into the lake as well. Shuffles are sized by the raw
+    bytes of all batches.
     """
     checked_batch_name(batch)
     use_utc(spark)
@@ -179,3 +195,20 @@ def run_increment(
         report = add_batch(ws, store, features, batch, min_reviews, new_bytes)
         tables, checks = publish_star(ws, store, warehouse)
     return Published(store, tables, report + checks, {"reviews": seen.get})
+
+
+def run_withdrawal(
+    spark: SparkSession,
+    batch: str,
+    out: str,
+    warehouse: Warehouse,
+    min_reviews: int = MIN_REVIEWS,
+    sizing: Sizing = Sizing(),
+) -> Published:
+    """Take a batch back: lake and star become those of the other batches."""
+    use_utc(spark)
+    store = Store(spark, out)
+    with sized_for(spark, store.raw_bytes(), sizing), workspace(spark) as ws:
+        withdraw_batch(ws, store, batch, min_reviews)
+        tables, checks = publish_star(ws, store, warehouse)
+    return Published(store, tables, checks, {})

@@ -1,27 +1,31 @@
-"""The files a run keeps, below one folder.
+"""The files a run keeps, below one folder: prepared data, two small states, the lake.
 
-Prepared reviews and the two small states carry a ``batch`` column and are
-partitioned by it. A state row is what its batch adds, so a batch is written without
-reading what is there, and writing it again replaces it.
+Each write has a folder of its own, and a snapshot names those that are live, see
+:mod:`reviewtide.plans.snapshot`. Prepared reviews and the states are kept by batch. A
+state row is what its batch adds, so a batch is written without reading what is there, and
+writing it again, or withdrawing it, replaces what it has added.
 
-Marks tell how far each batch has come: ``states`` once its states are written, ``lake``
-once the lake has its rows. A batch whose run died is caught up by the next one.
+The snapshot tells how far each batch has come: whether its states are those of its reviews,
+and which version of it the lake has. A batch whose run died is caught up by the next one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterable
+from threading import Lock
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.operators.averages import merge_totals, user_averages, user_totals
 from reviewtide.operators.categories import MIN_REVIEWS, category_counts, merge_counts
+from reviewtide.plans import snapshot as snapshots
 from reviewtide.plans.lake import build_lake, usa_places
+from reviewtide.plans.snapshot import VERSION, Snapshot, new_version, replace
 from reviewtide.schemas import (
     CATEGORY_COUNTS,
+    LAKE,
     PLACES,
     REVIEW_FEATURES,
     USER_TOTALS,
@@ -29,14 +33,13 @@ from reviewtide.schemas import (
     conform,
 )
 from reviewtide.session import Workspace, concurrently
-from reviewtide.sources.readers import read_lake, read_parquet
+from reviewtide.sources.files import children
+from reviewtide.sources.readers import read_folders, read_parquet, read_paths
 from reviewtide.sources.writers import write_parquet, write_partitioned
 
-BATCH = ("batch", "string")
 FIRST_BATCH = "initial"
-STATES, IN_LAKE = "states", "lake"
-MARKS = "mark string, batch string, bytes bigint"
 _NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a null
+LAKE_VALUES = (*LAKE, ("categoryValue", "string"))
 
 
 def checked_batch_name(batch: str) -> str:
@@ -46,81 +49,79 @@ def checked_batch_name(batch: str) -> str:
     return batch
 
 
-@dataclass(frozen=True)
+def category_of(folder: str) -> str | None:
+    """The category whose rows a lake folder has; null and '' share one, which gives null."""
+    value = folder.removeprefix("category=")
+    return None if value == _NO_FOLDER else unquote(value)
+
+
 class Store:
-    spark: SparkSession
-    root: str
+    """Reads what is published, and publishes each change, or in a draft all of them at once."""
 
-    @property
-    def places_path(self) -> str:
-        return f"{self.root}/prepped/places"
+    def __init__(self, spark: SparkSession, root: str, draft: Snapshot | None = None):
+        self.spark, self.root = spark, root
+        self._draft = draft
+        self._changing = Lock()
 
-    @property
-    def reviews_path(self) -> str:
-        return f"{self.root}/prepped/reviews"
+    def draft(self) -> Store:
+        """A store that starts empty and is published by ``publish``. Until then, and if that
+        does not come, the published one stays as it is."""
+        return Store(self.spark, self.root, Snapshot(star=self.snapshot().star))
 
-    @property
-    def totals_path(self) -> str:
-        return f"{self.root}/state/user_totals"
+    def snapshot(self) -> Snapshot:
+        return self._draft or snapshots.current(self.spark, self.root)
 
-    @property
-    def counts_path(self) -> str:
-        return f"{self.root}/state/category_counts"
+    def change(self, new: Callable[[Snapshot], Snapshot]) -> None:
+        with self._changing:
+            after = new(self.snapshot())
+            if self._draft is None:
+                snapshots.publish(self.spark, self.root, after)
+            else:
+                self._draft = after
 
-    @property
-    def lake_path(self) -> str:
-        return f"{self.root}/reviews_lake"
+    def publish(self) -> None:
+        """Let what a draft has become take the place of what is published."""
+        snapshots.publish(self.spark, self.root, self._draft)
+        self._draft = None
+
+    def clean_up(self) -> list[str]:
+        return snapshots.clean_up(self.spark, self.root)
+
+    def path(self, dataset: str, version: str | None = None) -> str:
+        base = f"{self.root}/{dataset}"
+        return base if version is None else f"{base}/{VERSION}{version}"
 
     @property
-    def marks_path(self) -> str:
-        return f"{self.root}/state/marks"
-
-    def marks(self) -> dict[tuple[str, str], int]:
-        """Bytes of raw input by (mark, batch). There are two marks a batch at most."""
-        try:
-            rows = self.spark.read.schema(MARKS).parquet(self.marks_path).collect()
-        except AnalysisException as missing:
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
-            return {}
-        return {(row["mark"], row["batch"]): row["bytes"] for row in rows}
-
-    def set_marks(self, marks: dict[tuple[str, str], int]) -> None:
-        rows = [(mark, batch, n) for (mark, batch), n in sorted(marks.items())]
-        write_parquet(self.spark.createDataFrame(rows, MARKS).coalesce(1), self.marks_path)
-
-    def mark(self, mark: str, batches: Iterable[str], n: int | None = None) -> None:
-        known = self.marks()
-        states = {b: v for (m, b), v in known.items() if m == STATES}
-        self.set_marks(known | {(mark, b): states.get(b, 0) if n is None else n for b in batches})
-
-    def unmark(self, batch: str) -> None:
-        self.set_marks({k: n for k, n in self.marks().items() if k[1] != batch})
+    def lake_path(self) -> str:
+        return self.path(snapshots.LAKE)
 
     def batches(self) -> list[str]:
-        """Names of all batches of reviews; read off their folders."""
-        rows = read_parquet(self.spark, self.reviews_path, (*REVIEW_FEATURES, BATCH))
-        return sorted(row["batch"] for row in rows.select("batch").distinct().collect())
+        return sorted(self.snapshot().reviews)
 
     def pending(self) -> list[str]:
-        """Batches that the lake does not have yet."""
-        marks = self.marks()
-        return [batch for batch in self.batches() if (IN_LAKE, batch) not in marks]
+        """Batches that the lake does not have as they are now."""
+        return self.snapshot().pending()
 
     def raw_bytes(self) -> int:
-        return sum(n for (mark, _), n in self.marks().items() if mark == STATES)
+        return sum(self.snapshot().raw_bytes.values())
 
     def places(self) -> DataFrame:
-        return read_parquet(self.spark, self.places_path, PLACES)
+        return read_parquet(self.spark, self.path(snapshots.PLACES, self.snapshot().places), PLACES)
 
-    def reviews(self, batch: str | None = None) -> DataFrame:
-        return self._batches(self.reviews_path, REVIEW_FEATURES, batch)
+    def versions(self, dataset: str, fields: Fields, versions: Iterable[str]) -> DataFrame:
+        return read_paths(self.spark, (self.path(dataset, v) for v in versions), fields)
 
-    def totals(self, batch: str | None = None) -> DataFrame:
-        return self._batches(self.totals_path, USER_TOTALS, batch)
+    def reviews(self, versions: Iterable[str] | None = None) -> DataFrame:
+        live = self.snapshot().reviews.values() if versions is None else versions
+        return self.versions(snapshots.REVIEWS, REVIEW_FEATURES, live)
 
-    def counts(self, batch: str | None = None) -> DataFrame:
-        return self._batches(self.counts_path, CATEGORY_COUNTS, batch)
+    def totals(self, versions: Iterable[str] | None = None) -> DataFrame:
+        live = self.snapshot().states.values() if versions is None else versions
+        return self.versions(snapshots.TOTALS, USER_TOTALS, live)
+
+    def counts(self, versions: Iterable[str] | None = None) -> DataFrame:
+        live = self.snapshot().states.values() if versions is None else versions
+        return self.versions(snapshots.COUNTS, CATEGORY_COUNTS, live)
 
     def averages(self) -> DataFrame:
         return user_averages(merge_totals(self.totals()))
@@ -130,74 +131,110 @@ class Store:
 
     def build_lake(self, ws: Workspace, min_reviews: int = MIN_REVIEWS) -> DataFrame:
         """The lake of all batches, not written yet."""
-        written = ws.write_all({"averages": self.averages(), "counts": self.category_counts()})
+        inputs = self.lake_inputs(ws)
         return build_lake(
-            self.reviews(), self.places(), written["averages"], written["counts"], min_reviews
+            self.reviews(), self.places(), inputs["averages"], inputs["counts"], min_reviews
         )
 
-    def write_lake(self, ws: Workspace, min_reviews: int = MIN_REVIEWS) -> None:
+    def lake_inputs(self, ws: Workspace) -> dict[str, DataFrame]:
+        """Averages and counts of all batches, written."""
+        return ws.write_all({"averages": self.averages(), "counts": self.category_counts()})
+
+    def write_lake(
+        self,
+        ws: Workspace,
+        min_reviews: int = MIN_REVIEWS,
+        inputs: dict[str, DataFrame] | None = None,
+    ) -> None:
         """Compute the lake of all batches once and write it."""
-        counts = ws.write(self.category_counts(), "counts")
-        averages = ws.write(self.averages(), "averages")
-        lake = build_lake(self.reviews(), self.places(), averages, counts, min_reviews)
-        kept = counts.filter(F.col("num_reviews") > min_reviews)
-        write_partitioned(lake, self.lake_path, kept)
-        self.mark(IN_LAKE, self.batches())
-
-    def lake(self) -> DataFrame:
-        return read_lake(self.spark, self.lake_path)
-
-    def _batches(self, path: str, fields: Fields, batch: str | None) -> DataFrame:
-        df = read_parquet(self.spark, path, (*fields, BATCH))
-        if batch is not None:
-            df = df.filter(F.col("batch") == batch)
-        return df.drop("batch")
+        inputs = inputs or self.lake_inputs(ws)
+        counts = inputs["counts"]
+        lake = build_lake(self.reviews(), self.places(), inputs["averages"], counts, min_reviews)
+        folders = self.write_folders(lake, counts.filter(F.col("num_reviews") > min_reviews))
+        self.change(lambda s: replace(s, lake=folders, in_lake=dict(s.states)))
+
+    def write_folders(
+        self, lake: DataFrame, counts: DataFrame, write: Callable = write_partitioned
+    ) -> dict[str, str]:
+        """Write lake rows under a new version; the folders made, which are not live yet."""
+        version = new_version()
+        path = self.path(snapshots.LAKE, version)
+        write(lake, path, counts)
+        return {name: version for name in children(self.spark, path) if "=" in name}
+
+    def lake(self, folders: dict[str, str] | None = None, fields: Fields = LAKE) -> DataFrame:
+        """The published rows, or those of other ``folders`` (with their versions)."""
+        live = self.snapshot().lake if folders is None else folders
+        below = (f"{VERSION}{version}/{folder}" for folder, version in live.items())
+        return read_folders(self.spark, self.lake_path, below, fields)
+
+    def lake_values(self, folders: dict[str, str] | None = None) -> DataFrame:
+        """The lake with each row's own category, null or '', as ``categoryValue``."""
+        return self.lake(folders, LAKE_VALUES)
 
     def write_places(self, places: DataFrame) -> None:
-        write_parquet(conform(places, PLACES), self.places_path)
+        version = new_version()
+        write_parquet(conform(places, PLACES), self.path(snapshots.PLACES, version))
+        self.change(lambda s: replace(s, places=version))
 
     def write_reviews(self, features: DataFrame, batch: str, first: bool) -> None:
-        """``first`` starts the store anew; otherwise the other batches stay."""
-        self._write_batch(features, REVIEW_FEATURES, self.reviews_path, batch, first)
+        """``first`` starts the reviews anew; otherwise the other batches stay."""
+        version = new_version()
+        write_parquet(conform(features, REVIEW_FEATURES), self.path(snapshots.REVIEWS, version))
+
+        def with_batch(s: Snapshot) -> Snapshot:
+            if first:
+                return replace(s, reviews={batch: version}, states={}, raw_bytes={})
+            return replace(s, reviews={**s.reviews, batch: version})
+
+        self.change(with_batch)
 
     def write_states(self, batch: str, first: bool, raw_bytes: int = 0) -> None:
         """What the written reviews of ``batch`` add to the states."""
-        reviews = self.reviews(batch)
+        version = self.snapshot().reviews[batch]
+        reviews = self.reviews([version])
         counts = category_counts(reviews, usa_places(self.places()))
+        totals = user_totals(reviews)
         concurrently(
             self.spark,
-            lambda: self._write_batch(
-                user_totals(reviews), USER_TOTALS, self.totals_path, batch, first
+            lambda: write_parquet(
+                conform(totals, USER_TOTALS), self.path(snapshots.TOTALS, version)
             ),
-            lambda: self._write_batch(counts, CATEGORY_COUNTS, self.counts_path, batch, first),
+            lambda: write_parquet(
+                conform(counts, CATEGORY_COUNTS), self.path(snapshots.COUNTS, version)
+            ),
+        )
+        self.change(
+            lambda s: replace(
+                s,
+                states={**s.states, batch: version},
+                raw_bytes={**s.raw_bytes, batch: raw_bytes or s.raw_bytes.get(batch, 0)},
+            )
         )
-        self.mark(STATES, [batch], raw_bytes)
 
     def write_missing_states(self) -> None:
         """States of batches whose run died between their reviews and their states."""
-        marks = self.marks()
-        for batch in self.batches():
-            if (STATES, batch) not in marks:
+        now = self.snapshot()
+        for batch, version in now.reviews.items():
+            if now.states.get(batch) != version:
                 self.write_states(batch, first=False)
 
     def write_batch(
         self, features: DataFrame, batch: str, first: bool, raw_bytes: int = 0
     ) -> None:
-        if first:
-            self.set_marks({})
-        else:
-            self.unmark(batch)
         self.write_reviews(features, batch, first)
         self.write_states(batch, first, raw_bytes)
 
-    def _write_batch(
-        self, df: DataFrame, fields: Fields, path: str, batch: str, first: bool
-    ) -> None:
-        (
-            conform(df, fields)
-            .withColumn("batch", F.lit(batch))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static" if first else "dynamic")
-            .partitionBy("batch")
-            .parquet(path)
+    def withdraw(self, batch: str) -> None:
+        """Take a batch out of the reviews and the states; the lake has to catch up."""
+
+        def without(batches: dict) -> dict:
+            return {b: v for b, v in batches.items() if b != batch}
+
+        if batch not in self.snapshot().reviews:
+            raise ValueError(f"no batch {batch!r}")
+        self.change(
+            lambda s: replace(
+                s, reviews=without(s.reviews), states=without(s.states), raw_bytes=without(s.raw_bytes)
+            )
         )

@@ -12,7 +12,6 @@ from reviewtide.operators.layout import plan_layout, replace_bucketed
 from reviewtide.operators.star import build_star, register_table, replace_table
 from reviewtide.schemas import STAGING, conform
 from reviewtide.session import Workspace, concurrently
-from reviewtide.sources.readers import read_lake_values
 from reviewtide.sources.writers import project_staging
 
 
@@ -28,14 +27,6 @@ def load_staging(projected: DataFrame, category: str, table: str) -> DataFrame:
     return replace_table(filter_category_like(conform(projected, STAGING), category), table)
 
 
-def staging_of_lake(spark: SparkSession, lake_path: str, category: str) -> DataFrame:
-    """Staging rows from the published lake: only the folders that can hold them are read,
-    and no text. Null and '' are told apart by the value that each row keeps."""
-    folders = filter_category_like(read_lake_values(spark, lake_path), category)
-    rows = folders.withColumn("category", F.col("categoryValue")).drop("categoryValue")
-    return filter_category_like(project_staging(rows), category)
-
-
 @dataclass(frozen=True)
 class StarTable:
     """A written star table that no catalog names yet."""
@@ -71,7 +62,7 @@ def write_star(
     return dict(zip(plan, tables))
 
 
-def register_star(
+def register_layout(
     spark: SparkSession, tables: dict[str, StarTable], database: str
 ) -> dict[str, DataFrame]:
     """Make the written tables those of ``database``, which is created where missing."""

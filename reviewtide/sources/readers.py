@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,9 +89,20 @@ def read_lake(spark: SparkSession, path: str, fields: Fields = LAKE) -> DataFram
     return spark.read.schema(ddl(fields)).parquet(path).select(names(fields))
 
 
-def read_lake_values(spark: SparkSession, path: str, fields: Fields = LAKE) -> DataFrame:
-    """The lake with each row's own category, null or '', as ``categoryValue``.
+def read_folders(
+    spark: SparkSession, base: str, folders: Iterable[str], fields: Fields
+) -> DataFrame:
+    """Some of the folders below ``base``; what their names say (``a=b``) are columns.
 
-    A filter on ``category`` still picks folders.
+    No other folder is listed. A filter on such a column still picks folders.
     """
-    return spark.read.schema(f"{ddl(fields)}, categoryValue string").parquet(path)
+    paths = [f"{base}/{folder}" for folder in folders]
+    if not paths:
+        return spark.createDataFrame([], ddl(fields))
+    return spark.read.schema(ddl(fields)).option("basePath", base).parquet(*paths).select(names(fields))
+
+
+def read_paths(spark: SparkSession, paths: Iterable[str], fields: Fields) -> DataFrame:
+    """Several folders of the same columns as one; an empty frame if there is none."""
+    paths = list(paths)
+    return spark.read.schema(ddl(fields)).parquet(*paths) if paths else spark.createDataFrame([], ddl(fields))

@@ -187,6 +187,27 @@ _REFERENTIAL = " UNION ALL ".join(
 )
 
 
+def _star_lines() -> str:
+    """Rows of all star tables as text."""
+    tables = {
+        "users": ("users", ('"gPlusUserId"', 'CAST("avgRating" AS BIGINT)')),
+        "places": ("star_places", ('"gPlusPlaceId"', "price", "state", "postcode")),
+        "population": ("population", ("postcode", "CAST(population AS BIGINT)")),
+        "reviews": (
+            "fact",
+            ('"gPlusPlaceId"', '"gPlusUserId"', "category", "CAST(rating AS BIGINT)", "weekday", "day_night"),
+        ),
+    }
+
+    def line(columns: tuple[str, ...]) -> str:
+        return " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", {line(columns)} AS line FROM {source}"""
+        for name, (source, columns) in tables.items()
+    )
+
+
 def _views() -> str:
     parts = [
         f"""SELECT '{view}' AS view_name, category, count(*) AS num_reviews,
@@ -366,6 +387,7 @@ def oracles() -> dict[str, str]:
         "dq_referential": _sql(_ALL_STAR, _REFERENTIAL),
         "dq_report": _sql(_ALL_STAR, f"{_NON_EMPTY} UNION ALL {_UNIQUE} UNION ALL {_REFERENTIAL}"),
         "ext_incremental_append": folders,
+        "ext_star_changes": _sql(_ALL_STAR, _star_lines()),
         "ext_category_views": _sql(_ALL_LAKE, _views()),
         "ext_rating_by_daypart": _sql(
             _ALL_STAR,

@@ -26,7 +26,7 @@ from reviewtide.plans.prepare import (
     prepare_reviews,
     review_features,
 )
-from reviewtide.plans.run import Warehouse, run
+from reviewtide.plans.run import Warehouse, publish_star, run, star_tables
 from reviewtide.plans.store import Store
 from reviewtide.schemas import (
     POPULATION_RAW,
@@ -475,26 +475,72 @@ def main_run(spark, sf_dir):
     )
 
 
-@register("ext_incremental_append")
-def incremental_append(spark, sf_dir):
-    """Reviews in three batches by date; their lake has to be that of a full run."""
-    ws = workspace_of(spark)
+def batches(spark, sf_dir):
+    """The raw reviews in three batches by date."""
     raw = fx.raw_reviews(spark, sf_dir)
     time = t.review_time(F.col("unixReviewTime"))
-    early, middle, late = (
+    return (
         raw.filter(time < "2024-01-16"),
         raw.filter((time >= "2024-01-16") & (time < "2024-01-24")),
         raw.filter(time >= "2024-01-24"),
     )
+
+
+def spoiled(raw):
+    """A batch as it should not have been: half of its rows, other ratings, one category more."""
+    category = F.array(F.lit("spoiled"))
+    return raw.filter(F.col("rating") > 2).withColumns(
+        {"rating": F.col("rating") + 1, "categories": F.concat("categories", category)}
+    )
+
+
+@register("ext_incremental_append")
+def incremental_append(spark, sf_dir):
+    """Reviews in three batches, the last of them corrected; their lake has to be that of a
+    full run."""
+    ws = workspace_of(spark)
+    early, middle, late = batches(spark, sf_dir)
     store = Store(spark, ws.path("store"))
     store.write_places(places(spark, sf_dir))
     store.write_batch(review_features(early), "initial", first=True)
     store.write_lake(ws)
     # An attempt that died before the lake had its rows; the next batch catches it up.
     store.write_batch(review_features(middle), "second", first=False)
+    append_batch(ws, store, spoiled(late), "third")
     return append_batch(ws, store, late, "third")
 
 
+@register("ext_star_changes")
+def star_by_changes(spark, sf_dir):
+    """Rows of all star tables, by table, after two changes of the lake: a batch with a wrong
+    one beside it, which is withdrawn together with the next batch."""
+    ws = workspace_of(spark)
+    early, middle, late = batches(spark, sf_dir)
+    store, warehouse = Store(spark, ws.path("store")), Warehouse(STAGING_CATEGORY, ws.name, parts=4)
+    store.write_places(places(spark, sf_dir))
+    store.write_batch(review_features(early), "initial", first=True)
+    store.write_lake(ws)
+    publish_star(ws, store, warehouse, anew=True)
+    store.write_batch(review_features(spoiled(late)), "wrong", first=False)
+    append_batch(ws, store, middle, "second")
+    publish_star(ws, store, warehouse)
+    store.withdraw("wrong")
+    append_batch(ws, store, late, "third")
+    publish_star(ws, store, warehouse)
+    star = star_tables(spark, store.root)
+
+    def row(table, *columns):
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+        return star[table].select(F.lit(table).alias("table"), F.concat_ws("|", *texts).alias("line"))
+
+    return quality.union_all([
+        row("users", "gPlusUserId", "avgRating"),
+        row("places", "gPlusPlaceId", "price", "state", "postcode"),
+        row("population", "postcode", "population"),
+        row("reviews", "gPlusPlaceId", "gPlusUserId", "category", "rating", "weekday", "day_night"),
+    ])
+
+
 @register("ext_category_views")
 def category_views(spark, sf_dir):
     lk.category_views(workspace_of(spark).write(lake(spark, sf_dir), "lake"), VIEWS)

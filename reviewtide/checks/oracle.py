@@ -253,6 +253,12 @@ def oracles() -> dict[str, str]:
               CAST(NULL AS VARCHAR) AS x, 'café' AS e FROM conversations WHERE turn % 5 <> 4""",
         "json_malformed_count": """SELECT count(*) AS records,
               count(*) FILTER (WHERE turn % 5 = 4) AS dropped FROM conversations""",
+        "src_json_rejects": _sql(
+            (_CHAT,),
+            """SELECT substr(value, 1, length(value) // 2) AS reject_line, 'not JSON' AS reject_reason
+               FROM chat WHERE turn % 5 = 4
+               UNION ALL SELECT CAST(count(*) AS VARCHAR), 'records' FROM chat WHERE turn % 5 <> 4""",
+        ),
         "src_json_staged": _sql(_ALL_REVIEWS, prepped),
         "sink_json": _sql(_ALL_REVIEWS, prepped),
         "src_csv_header": _sql(

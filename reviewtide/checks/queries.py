@@ -160,6 +160,20 @@ def dirty_json(spark, sf_dir):
     return readers.read_dirty_json(spark, path, CHAT_FIELDS)
 
 
+@register("src_json_rejects")
+def json_rejects(spark, sf_dir):
+    """The lines that are no records, as they were read, and why; the records beside them are
+    counted in the same rows' form."""
+    ws = workspace_of(spark)
+    path = ws.path("dirty")
+    writers.write_text(fx.dirty_chat_lines(spark, sf_dir), path)
+    whole = ws.write(readers.read_dirty_json_whole(spark, path, CHAT_FIELDS), "whole")
+    counted = readers.records_of(whole).agg(F.count("*").cast("string"))
+    return readers.rejects_of(whole).unionByName(
+        counted.toDF("reject_line").withColumn("reject_reason", F.lit("records"))
+    )
+
+
 @register("json_malformed_count")
 def malformed_count(spark, sf_dir):
     lines = readers.repair_python_json(fx.dirty_chat_lines(spark, sf_dir))

@@ -26,8 +26,9 @@ from reviewtide.plans.lake import build_part, usa_places
 from reviewtide.plans.prepare import review_features
 from reviewtide.plans.snapshot import Snapshot, replace
 from reviewtide.plans.store import Store, category_of, checked_batch_name
-from reviewtide.schemas import REVIEW_FEATURES, conform
+from reviewtide.schemas import REJECT, REVIEW_FEATURES, conform
 from reviewtide.session import Workspace
+from reviewtide.sources.readers import records_of
 from reviewtide.sources.writers import write_partitioned
 
 
@@ -128,11 +129,14 @@ def add_batch(
 ) -> list[Row]:
     """Check a batch, write it, bring the lake up to date; returns the check rows.
 
-    A batch that is there already is corrected: its rows are these from now on.
+    A batch that is there already is corrected: its rows are these from now on. Rejected lines
+    among ``features`` are kept beside its records.
     """
     checked_batch_name(batch)
-    features = ws.write(conform(features, REVIEW_FEATURES), "batch")
-    report = enforce(guard_join_fanout(features, usa_places(store.places())))
+    rejects = [f for f in REJECT if f[0] in features.columns]
+    features = ws.write(conform(features, (*REVIEW_FEATURES, *rejects)), "batch")
+    records = records_of(features) if rejects else features
+    report = enforce(guard_join_fanout(records, usa_places(store.places())))
     store.clean_up()
     store.write_missing_states()
     store.write_batch(features, batch, first=False, raw_bytes=raw_bytes)

@@ -40,7 +40,7 @@ from reviewtide.session import (
     use_utc,
     workspace,
 )
-from reviewtide.sources.readers import read_csv, read_dirty_json
+from reviewtide.sources.readers import read_csv, read_dirty_json_whole
 
 
 @dataclass(frozen=True)
@@ -143,8 +143,8 @@ def run(
         store = published.draft()
         seen = {"places": Observation("places"), "reviews": Observation("reviews")}
         population = read_csv(spark, population_path, POPULATION_RAW)
-        raw_places = read_dirty_json(spark, places_path, PLACES_RAW, repair, seen["places"])
-        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen["reviews"])
+        raw_places = read_dirty_json_whole(spark, places_path, PLACES_RAW, repair, seen["places"])
+        raw_reviews = read_dirty_json_whole(spark, reviews_path, REVIEWS_RAW, repair, seen["reviews"])
         concurrently(
             spark,
             lambda: store.write_places(prepare_places(raw_places, population)),
@@ -190,7 +190,7 @@ def run_increment(
     new_bytes = input_bytes(spark, reviews_path)
     with sized_for(spark, store.raw_bytes() + new_bytes, sizing), workspace(spark) as ws:
         seen = Observation("reviews")
-        raw_reviews = read_dirty_json(spark, reviews_path, REVIEWS_RAW, repair, seen)
+        raw_reviews = read_dirty_json_whole(spark, reviews_path, REVIEWS_RAW, repair, seen)
         features = review_features(raw_reviews)
         report = add_batch(ws, store, features, batch, min_reviews, new_bytes)
         tables, checks = publish_star(ws, store, warehouse)

@@ -27,18 +27,21 @@ from reviewtide.schemas import (
     CATEGORY_COUNTS,
     LAKE,
     PLACES,
+    REJECT,
     REVIEW_FEATURES,
     USER_TOTALS,
     Fields,
     conform,
+    names,
 )
 from reviewtide.session import Workspace, concurrently
 from reviewtide.sources.files import children
-from reviewtide.sources.readers import read_folders, read_parquet, read_paths
+from reviewtide.sources.readers import read_folders
 from reviewtide.sources.writers import write_parquet, write_partitioned
 
 FIRST_BATCH = "initial"
 _NO_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of a null
+KIND, RECORDS, REJECTS = ("kind", "string"), "records", "rejects"
 LAKE_VALUES = (*LAKE, ("categoryValue", "string"))
 
 
@@ -106,14 +109,34 @@ class Store:
         return sum(self.snapshot().raw_bytes.values())
 
     def places(self) -> DataFrame:
-        return read_parquet(self.spark, self.path(snapshots.PLACES, self.snapshot().places), PLACES)
+        return self.records(snapshots.PLACES, PLACES, [self.snapshot().places])
 
     def versions(self, dataset: str, fields: Fields, versions: Iterable[str]) -> DataFrame:
-        return read_paths(self.spark, (self.path(dataset, v) for v in versions), fields)
+        return read_folders(self.spark, self.path(dataset), (f"{VERSION}{v}" for v in versions), fields)
+
+    def records(self, dataset: str, fields: Fields, versions: Iterable[str]) -> DataFrame:
+        """Prepared records; the folders of rejects are not opened."""
+        whole = self.versions(dataset, (*fields, KIND), versions)
+        return whole.filter(F.col("kind") == RECORDS).drop("kind")
+
+    def rejects(self, dataset: str = snapshots.REVIEWS) -> DataFrame:
+        """Lines of the live batches (or of the places) that are not records, with the reason."""
+        now = self.snapshot()
+        live = [now.places] if dataset == snapshots.PLACES else now.reviews.values()
+        whole = self.versions(dataset, (*REJECT, KIND), live)
+        return whole.filter(F.col("kind") == REJECTS).drop("kind")
+
+    def _write_records(self, df: DataFrame, fields: Fields, path: str) -> None:
+        """Records, and rejects if ``df`` has them, in folders of their own, in one job."""
+        if not set(names(REJECT)) <= set(df.columns):
+            df = df.withColumns({name: F.lit(None).cast(type_) for name, type_ in REJECT})
+        kind = F.when(F.col(names(REJECT)[1]).isNull(), RECORDS).otherwise(REJECTS)
+        whole = conform(df, (*fields, *REJECT)).withColumn("kind", kind)
+        whole.write.mode("overwrite").partitionBy("kind").parquet(path)
 
     def reviews(self, versions: Iterable[str] | None = None) -> DataFrame:
         live = self.snapshot().reviews.values() if versions is None else versions
-        return self.versions(snapshots.REVIEWS, REVIEW_FEATURES, live)
+        return self.records(snapshots.REVIEWS, REVIEW_FEATURES, live)
 
     def totals(self, versions: Iterable[str] | None = None) -> DataFrame:
         live = self.snapshot().states.values() if versions is None else versions
@@ -174,13 +197,13 @@ class Store:
 
     def write_places(self, places: DataFrame) -> None:
         version = new_version()
-        write_parquet(conform(places, PLACES), self.path(snapshots.PLACES, version))
+        self._write_records(places, PLACES, self.path(snapshots.PLACES, version))
         self.change(lambda s: replace(s, places=version))
 
     def write_reviews(self, features: DataFrame, batch: str, first: bool) -> None:
         """``first`` starts the reviews anew; otherwise the other batches stay."""
         version = new_version()
-        write_parquet(conform(features, REVIEW_FEATURES), self.path(snapshots.REVIEWS, version))
+        self._write_records(features, REVIEW_FEATURES, self.path(snapshots.REVIEWS, version))
 
         def with_batch(s: Snapshot) -> Snapshot:
             if first:

@@ -127,6 +127,9 @@ def star_fields(scale: int = 0) -> dict[str, Fields]:
 
 
 # Tables and their unique key columns, and the references of the fact table.
+#: A line that is not a record, and why.
+REJECT: Fields = (("reject_line", "string"), ("reject_reason", "string"))
+
 STAR_KEYS = (("places", "gPlusPlaceId"), ("population", "postcode"), ("users", "gPlusUserId"))
 STAR_REFERENCES = (("places", "gPlusPlaceId"), ("users", "gPlusUserId"))
 

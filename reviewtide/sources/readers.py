@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.functions.repair import repair_python_literal
-from reviewtide.schemas import LAKE, Fields, ddl, names
+from reviewtide.schemas import LAKE, REJECT, Fields, ddl, names
 
 CORRUPT = "_corrupt_record"
+NOT_JSON = "not JSON"
 
 
 def read_text(spark: SparkSession, path: str) -> DataFrame:
@@ -66,6 +67,57 @@ def read_dirty_json(
     return drop_malformed(parsed)
 
 
+def reject_reason(line: Column, fields: Fields) -> Column:
+    """Why a repaired line does not parse: it is no JSON, or which fields have another type."""
+    wrong = []
+    for name, type_ in fields:
+        alone = F.from_json(
+            line, f"`{name}` {type_}, `{CORRUPT}` string", {"columnNameOfCorruptRecord": CORRUPT}
+        )
+        wrong.append(F.when(alone[CORRUPT].isNotNull(), F.lit(name)))
+    listed = F.array_join(F.array_compact(F.array(*wrong)), ", ")
+    is_json = F.from_json(line, "map<string,string>").isNotNull()
+    return F.when(is_json, F.concat(F.lit("wrong type: "), listed)).otherwise(F.lit(NOT_JSON))
+
+
+def read_dirty_json_whole(
+    spark: SparkSession,
+    path: str,
+    fields: Fields,
+    mode: str = "blind",
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Records and rejects side by side, from one scan: the fields, and of a line that does
+    not parse the ``reject_line`` as it was read and the ``reject_reason``; both are null for
+    records. Blank lines are neither.
+
+    ``observation`` counts as in :func:`read_dirty_json`.
+    """
+    lines = read_text(spark, path).withColumn("_raw", F.col("value"))
+    schema = f"{ddl(fields)}, `{CORRUPT}` string"
+    record = F.from_json(
+        repair_python_literal(F.col("value"), mode), schema, {"columnNameOfCorruptRecord": CORRUPT}
+    )
+    parsed = lines.select("_raw", F.inline(F.array_compact(F.array(record))))
+    if observation is not None:
+        parsed = parsed.observe(observation, *_malformed_counts())
+    bad = F.col(CORRUPT).isNotNull()
+    line, reason = names(REJECT)
+    return parsed.withColumns(
+        {line: F.when(bad, F.col("_raw")), reason: F.when(bad, reject_reason(F.col(CORRUPT), fields))}
+    ).drop("_raw", CORRUPT)
+
+
+def records_of(whole: DataFrame) -> DataFrame:
+    reason = names(REJECT)[1]
+    return whole.filter(F.col(reason).isNull()).drop(*names(REJECT))
+
+
+def rejects_of(whole: DataFrame) -> DataFrame:
+    reason = names(REJECT)[1]
+    return whole.filter(F.col(reason).isNotNull()).select(names(REJECT))
+
+
 def read_json(spark: SparkSession, path: str, fields: Fields, malformed: str = "PERMISSIVE") -> DataFrame:
     """JSON files under an explicit schema; ``malformed`` is a Spark parse mode."""
     return spark.read.schema(ddl(fields)).option("mode", malformed).json(path)
@@ -102,7 +154,9 @@ def read_folders(
     return spark.read.schema(ddl(fields)).option("basePath", base).parquet(*paths).select(names(fields))
 
 
-def read_paths(spark: SparkSession, paths: Iterable[str], fields: Fields) -> DataFrame:
-    """Several folders of the same columns as one; an empty frame if there is none."""
-    paths = list(paths)
-    return spark.read.schema(ddl(fields)).parquet(*paths) if paths else spark.createDataFrame([], ddl(fields))
+def read_lake_values(spark: SparkSession, path: str, fields: Fields = LAKE) -> DataFrame:
+    """The lake with each row's own category, null or '', as ``categoryValue``.
+
+    A filter on ``category`` still picks folders.
+    """
+    return spark.read.schema(f"{ddl(fields)}, categoryValue string").parquet(path)

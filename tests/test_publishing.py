@@ -4,6 +4,7 @@ import os
 from urllib.parse import unquote
 
 import pytest
+from core_helpers import plan_of
 from pyspark.sql import functions as F
 
 from reviewtide.checks import fixtures as fx
@@ -15,7 +16,8 @@ from reviewtide.plans.prepare import review_features
 from reviewtide.plans.run import Warehouse, publish_star, star_tables
 from reviewtide.plans.snapshot import Snapshot, Star, current, replace
 from reviewtide.plans.store import Store
-from reviewtide.sources import files, writers
+from reviewtide.schemas import REVIEWS_RAW
+from reviewtide.sources import files, readers, writers
 
 LIKE = "i"  # text in the categories of the star
 
@@ -271,3 +273,44 @@ def test_rewriting_without_a_change(ws, make, raw):
     before = store.snapshot()
     rewrite_touched(ws, store)
     assert store.snapshot() == before
+
+
+LINES = [
+    ("{u'a': 1, u'b': [u'x']}", None),
+    ("{u'a': None, u'b': None}", None),
+    ("", None),
+    ("{u'a': 1, u'b'", "not JSON"),
+    ("free text", "not JSON"),
+    ("{u'a': u'one', u'b': [u'x']}", "wrong type: a"),
+    ("{u'a': u'one', u'b': 3}", "wrong type: a, b"),
+]
+
+
+def test_rejected_lines(spark, ws):
+    """Rejects and records are all lines but the blank one; one scan of the text gives both."""
+    path = ws.path("lines")
+    writers.write_text(spark.createDataFrame([(line,) for line, _ in LINES], "value string"), path)
+    whole = readers.read_dirty_json_whole(spark, path, (("a", "bigint"), ("b", "array<string>")))
+    assert plan_of(whole).count("Scan text") == 1
+    found = ws.write(whole, "whole")
+    rejects = {tuple(r) for r in readers.rejects_of(found).collect()}
+    assert rejects == {(line, reason) for line, reason in LINES if reason}
+    assert sorted(map(str, readers.records_of(found).collect())) == ["Row(a=1, b=['x'])", "Row(a=None, b=None)"]
+
+
+def test_rejects_are_kept_by_batch(spark, ws, sf, make, raw):
+    """Beside the records of their batch, and gone with it."""
+    first, second, _ = thirds(raw)
+    store = make(initial=first)
+    path = ws.path("day")
+    broken = spark.createDataFrame([("{u'cut",), ("{u'rating': u'good'}",)], "value string")
+    writers.write_text(fx.review_lines(spark, sf).limit(30).union(broken), path)
+    whole = review_features(readers.read_dirty_json_whole(spark, path, REVIEWS_RAW))
+    add_batch(ws, store, whole, "day")
+    assert {tuple(r) for r in store.rejects().collect()} == {
+        ("{u'cut", "not JSON"), ("{u'rating': u'good'}", "wrong type: rating"),
+    }
+    assert store.reviews().count() == first.count() + 30
+    withdraw_batch(ws, store, "day")
+    assert store.rejects().count() == 0 and store.rejects(snapshot.PLACES).count() == 0
+    assert rows(store.lake()) == rows(make(initial=first).lake())

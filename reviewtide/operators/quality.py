@@ -88,8 +88,12 @@ def guard_filter_effective(counts: DataFrame, min_reviews: int = MIN_REVIEWS) ->
 
 
 def check_non_empty(df: DataFrame, table: str, check: str = "non_empty") -> DataFrame:
-    rows = df.agg(F.count("*").alias("rows"))
-    return _check(rows, check, table, None, "1", "rows", "rows > 0")
+    return check_counted(df.agg(F.count("*").alias("rows")), table, check)
+
+
+def check_counted(counted: DataFrame, table: str, check: str = "non_empty") -> DataFrame:
+    """``counted``: one row, with the number of ``rows`` of a table."""
+    return _check(counted, check, table, None, "1", "rows", "rows > 0")
 
 
 def guard_populated(outputs: dict[str, DataFrame]) -> DataFrame:

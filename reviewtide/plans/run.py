@@ -20,7 +20,13 @@ from reviewtide.plans.incremental import add_batch, withdraw_batch
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import prepare_places, review_features
 from reviewtide.plans.snapshot import STAR, VERSION, Star, new_version, replace
-from reviewtide.plans.star_changes import register_parts, staging_rows, star_rows, updated_star
+from reviewtide.plans.star_changes import (
+    check_changes,
+    register_parts,
+    staging_rows,
+    star_rows,
+    updated_star,
+)
 from reviewtide.plans.store import FIRST_BATCH, Store, checked_batch_name
 from reviewtide.plans.warehouse import StarTable, register_layout, write_star
 from reviewtide.schemas import (
@@ -101,6 +107,7 @@ def publish_star(
         star = updated_star(ws, store, warehouse.category, warehouse.scale, warehouse.parts, anew)
         tables = star_rows(ws.spark, store.root, star)
         populated = {"staging": tables["reviews"]}
+        before = store.snapshot().star
     else:
         rows = staging_rows(store, store.snapshot().lake, warehouse.category)
         staging = replace_table(rows, ws.table_name("staging"))
@@ -109,9 +116,11 @@ def publish_star(
         written = write_star(ws, staging, folder, warehouse.scale, warehouse.buckets)
         tables = without_slices({name: table.rows for name, table in written.items()})
         populated = {"staging": staging}
-    if anew:
+    if written is None and before and before.version == star.version:
+        report = check_changes(store, before, star)
+    else:
         populated["reviews_lake"] = store.lake()
-    report = run_checks(tables, STAR_KEYS, STAR_REFERENCES).unionByName(guard_populated(populated))
+        report = run_checks(tables, STAR_KEYS, STAR_REFERENCES).unionByName(guard_populated(populated))
     checks = enforce(report)
     published = register_star(ws.spark, store.root, star, written, warehouse.database)
     store.change(lambda s: replace(s, star=star))

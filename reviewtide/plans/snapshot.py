@@ -34,8 +34,8 @@ class Star:
     """The published star tables.
 
     ``tables``: per table its parts, each with the versions whose files make it up; empty for
-    a star that was written as a whole to the folder of ``version``. ``lake`` has the lake
-    folders it was made from, by their version.
+    a star that was written as a whole to the folder of ``version``. ``rows``: how many rows
+    each part has. ``lake`` has the lake folders it was made from, by their version.
     """
 
     category: str
@@ -43,6 +43,7 @@ class Star:
     version: str
     parts: int = 1
     tables: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    rows: dict[str, dict[str, int]] = field(default_factory=dict)
     lake: dict[str, str] = field(default_factory=dict)
 
 

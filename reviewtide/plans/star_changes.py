@@ -19,9 +19,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewtide.operators.categories import filter_category_like
+from reviewtide.operators.quality import (
+    check_counted,
+    check_reference,
+    check_unique_key,
+    union_all,
+)
 from reviewtide.plans.snapshot import STAR, VERSION, Star, new_version, replace
 from reviewtide.plans.store import Store, category_of
-from reviewtide.schemas import Fields, ddl, names, star_fields
+from reviewtide.schemas import STAR_KEYS, STAR_REFERENCES, Fields, ddl, names, star_fields
 from reviewtide.session import Workspace, concurrently
 from reviewtide.sources.files import children
 from reviewtide.sources.readers import read_folders
@@ -220,7 +226,72 @@ def updated_star(
         lambda: merge_fact(ws, store, star, changes),
     )
     tables = dict(zip([*dimensions, FACT], merged))
-    return replace(star, tables=tables, lake=_like(snapshot.lake, category))
+    after = replace(star, tables=tables, lake=_like(snapshot.lake, category))
+    return replace(after, rows=_row_counts(store, star, after))
+
+
+def changed_parts(before: Star, now: Star) -> dict[str, set[str]]:
+    """Per table the parts whose files are not the same in both."""
+    return {
+        table: {p for p in parts | before.tables.get(table, {}) if parts.get(p) != before.tables.get(table, {}).get(p)}
+        for table, parts in now.tables.items()
+    }
+
+
+def _row_counts(store: Store, before: Star, now: Star) -> dict[str, dict[str, int]]:
+    """Rows of each part; only files of changed parts are counted (by what they say of themselves)."""
+    changed = changed_parts(before, now)
+    frames = [
+        read_part_files(store.spark, store.root, table, now, (PART,), only=parts)
+        .groupBy("part")
+        .agg(F.count("*").alias("n"))
+        .select(F.lit(table).alias("table"), "part", "n")
+        for table, parts in changed.items()
+    ]
+    counted = union_all(frames).collect()  # a row for each changed part
+    rows = {}
+    for table, parts in changed.items():
+        same = {p: n for p, n in before.rows.get(table, {}).items() if p not in parts}
+        rows[table] = same | {f"part={r['part']}": r["n"] for r in counted if r["table"] == table}
+    return rows
+
+
+def check_changes(store: Store, before: Star, now: Star) -> DataFrame:
+    """The checks of the whole star, at the cost of what has changed.
+
+    All rows of a key are in one part of its dimension, so a key can only have become double
+    in a changed part; and only keys of fact rows that are new, or of dimension rows that are
+    gone, can have lost their dimension row. The latter are counted against the support that
+    the dimension keeps: a row without support is not written, and one whose support falls
+    below zero stops the merge. How many rows there are is known from each part.
+    """
+    spark, root = store.spark, store.root
+    changed = changed_parts(before, now)
+    fields = star_fields(now.scale)
+    report = []
+    for table in fields:
+        n = sum(now.rows.get(table, {}).values())
+        counted = spark.createDataFrame([(n,)], "rows bigint")
+        report.append(check_counted(counted, table))
+    for table, key in STAR_KEYS:
+        rows = read_part_files(spark, root, table, now, fields[table], only=changed[table])
+        report.append(check_unique_key(rows, table, key))
+    gained = _gained_files(spark, root, before, now, fields[FACT])
+    for table, key in STAR_REFERENCES:
+        keys = gained.select(key).distinct()
+        needed = keys.filter(F.col(key).isNotNull()).withColumn("part", part_of(table, now.parts))
+        dimension = read_part_files(spark, root, table, now, fields[table], only=_parts_named(needed))
+        report.append(check_reference(gained, dimension, table, key))
+    return union_all(report)
+
+
+def _gained_files(spark: SparkSession, root: str, before: Star, now: Star, fields: Fields) -> DataFrame:
+    """Rows of the fact's files that are new."""
+    known = {(p, v) for p, versions in before.tables.get(FACT, {}).items() for v in versions}
+    new = {
+        p: [v for v in versions if (p, v) not in known] for p, versions in now.tables[FACT].items()
+    }
+    return read_part_files(spark, root, FACT, replace(now, tables={FACT: new}), fields)
 
 
 def register_parts(

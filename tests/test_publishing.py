@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from reviewtide.checks import fixtures as fx
 from reviewtide.checks import queries as q
+from reviewtide.operators import quality
 from reviewtide.operators.star import build_star
 from reviewtide.plans import incremental, snapshot, star_changes, store as stores
 from reviewtide.plans.incremental import add_batch, append_batch, rewrite_touched, withdraw_batch
@@ -16,7 +17,7 @@ from reviewtide.plans.prepare import review_features
 from reviewtide.plans.run import Warehouse, publish_star, star_tables
 from reviewtide.plans.snapshot import Snapshot, Star, current, replace
 from reviewtide.plans.store import Store
-from reviewtide.schemas import REVIEWS_RAW
+from reviewtide.schemas import REVIEWS_RAW, STAR_KEYS, STAR_REFERENCES
 from reviewtide.sources import files, readers, writers
 
 LIKE = "i"  # text in the categories of the star
@@ -314,3 +315,45 @@ def test_rejects_are_kept_by_batch(spark, ws, sf, make, raw):
     withdraw_batch(ws, store, "day")
     assert store.rejects().count() == 0 and store.rejects(snapshot.PLACES).count() == 0
     assert rows(store.lake()) == rows(make(initial=first).lake())
+
+
+def test_checks_at_the_cost_of_the_day(spark, ws, make, raw, monkeypatch):
+    """The same findings as checks of the whole star; no file of the fact that was there is read."""
+    first, second, _ = thirds(raw)
+    store, warehouse = make(initial=first), Warehouse(LIKE, ws.name, parts=4)
+    publish_star(ws, store, warehouse, anew=True)
+    before = store.snapshot().star
+    add_batch(ws, store, review_features(second), "second")
+    now = star_changes.updated_star(ws, store, LIKE, 0)
+    assert now.rows == {
+        t: {f"part={r['part']}": r["count"] for r in star_changes.read_part_files(
+            spark, store.root, t, now, (star_changes.PART,)).groupBy("part").count().collect()}
+        for t in now.tables
+    }
+    report = star_changes.check_changes(store, before, now)
+    old = {f"{v}/{p}" for p, versions in before.tables["reviews"].items() for v in versions}
+    read = [f for f in report.inputFiles() if "/reviews/" in f]
+    assert read and not [f for f in read if any(o in f for o in old)]
+    found = {(r.check, r.table): r.passed for r in report.collect()}
+    whole = quality.run_checks(star_changes.star_rows(spark, store.root, now), STAR_KEYS, STAR_REFERENCES)
+    assert found == {(r.check, r.table): r.passed for r in whole.collect()} and all(found.values())
+
+
+def test_a_duplicate_across_batches_is_found(spark, ws, make, raw, sf):
+    """Another name of a known place, which comes with a later batch, stops the star."""
+    first, second, third = thirds(raw)
+    store, warehouse = make(initial=first), Warehouse(LIKE, ws.name, parts=4)
+    publish_star(ws, store, warehouse, anew=True)
+    published = {n: rows(t) for n, t in star_tables(spark, store.root).items()}
+    # Only the folders that this batch touches are written with the other name.
+    store.write_places(q.places(spark, sf).withColumn("name", F.concat("name", F.lit(" renamed"))))
+    known = store.lake().filter(F.col("category").contains(LIKE)).groupBy("gPlusPlaceId").agg(
+        F.countDistinct("category").alias("n"), F.min("category").alias("category")).filter("n > 1").first()
+    one = second.limit(1).withColumns({
+        "gPlusUserId": F.lit("new one"), "gPlusPlaceId": F.lit(known.gPlusPlaceId),
+        "categories": F.array(F.lit(known.category)),
+    })
+    add_batch(ws, store, review_features(one), "one")
+    with pytest.raises(quality.CheckFailed, match="unique_key"):
+        publish_star(ws, store, warehouse)
+    assert {n: rows(t) for n, t in star_tables(spark, store.root).items()} == published

@@ -324,6 +324,7 @@ def oracles() -> dict[str, str]:
         ),
         "lake": lake,
         "entry": entry,
+        "ext_rollup_rating": entry,
         "main_run": _sql(
             _ALL_STAR,
             """SELECT 'lake' AS "table", count(*) AS num_rows, sum(rating) AS total FROM lake

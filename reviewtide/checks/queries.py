@@ -18,6 +18,7 @@ from reviewtide.operators.averages import user_averages, user_totals, with_user_
 from reviewtide.operators.population import join_population, population_by_zip
 from reviewtide.operators.star import build_star, replace_table
 from reviewtide.plans import lake as lk
+from reviewtide.plans import rollups
 from reviewtide.plans import warehouse as wh
 from reviewtide.plans.incremental import append_batch
 from reviewtide.plans.prepare import (
@@ -555,6 +556,22 @@ def star_by_changes(spark, sf_dir):
     ])
 
 
+@register("ext_rollup_rating")
+def rollup_rating(spark, sf_dir):
+    """The question of ``entry``, answered from sums that three batches have kept up to date."""
+    ws = workspace_of(spark)
+    early, middle, late = batches(spark, sf_dir)
+    store = Store(spark, ws.path("store"))
+    store.write_places(places(spark, sf_dir))
+    store.write_batch(review_features(early), "initial", first=True)
+    store.write_lake(ws)
+    for name, raw in (("second", middle), ("third", late)):
+        rollups.refresh(ws, store)
+        append_batch(ws, store, raw, name)
+    rollups.refresh(ws, store)
+    return rollups.rating_by_category(rollups.rollup(store))
+
+
 @register("ext_category_views")
 def category_views(spark, sf_dir):
     lk.category_views(workspace_of(spark).write(lake(spark, sf_dir), "lake"), VIEWS)

@@ -19,6 +19,7 @@ from reviewtide.operators.star import replace_table
 from reviewtide.plans.incremental import add_batch, withdraw_batch
 from reviewtide.plans.lake import usa_places
 from reviewtide.plans.prepare import prepare_places, review_features
+from reviewtide.plans.rollups import refresh
 from reviewtide.plans.snapshot import STAR, VERSION, Star, new_version, replace
 from reviewtide.plans.star_changes import (
     check_changes,
@@ -172,6 +173,7 @@ def run(
         store.write_lake(ws, min_reviews, inputs)
         store.publish()
         tables, checks = publish_star(ws, published, warehouse, anew=True)
+        refresh(ws, published)
     parsed = {name: o.get for name, o in seen.items()}
     return Published(published, tables, [*fanout, *effective, *checks], parsed)
 
@@ -203,6 +205,7 @@ def run_increment(
         features = review_features(raw_reviews)
         report = add_batch(ws, store, features, batch, min_reviews, new_bytes)
         tables, checks = publish_star(ws, store, warehouse)
+        refresh(ws, store)
     return Published(store, tables, report + checks, {"reviews": seen.get})
 
 
@@ -220,4 +223,5 @@ def run_withdrawal(
     with sized_for(spark, store.raw_bytes(), sizing), workspace(spark) as ws:
         withdraw_batch(ws, store, batch, min_reviews)
         tables, checks = publish_star(ws, store, warehouse)
+        refresh(ws, store)
     return Published(store, tables, checks, {})

@@ -24,7 +24,7 @@ from reviewtide.sources.files import children, read_small, remove, write_small
 
 PLACES, REVIEWS = "prepped/places", "prepped/reviews"
 TOTALS, COUNTS = "state/user_totals", "state/category_counts"
-LAKE, STAR = "reviews_lake", "star"
+LAKE, STAR, ROLLUP = "reviews_lake", "star", "rollup"
 SNAPSHOTS = "snapshots"
 VERSION = "version="
 
@@ -47,6 +47,14 @@ class Star:
     lake: dict[str, str] = field(default_factory=dict)
 
 
+@dataclass(frozen=True)
+class Rollup:
+    """The versions that have kept sums, and the lake folders that these are of."""
+
+    versions: list[str] = field(default_factory=list)
+    lake: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """``reviews`` and ``states``: per batch the version that is live. ``in_lake``: the version
@@ -60,6 +68,7 @@ class Snapshot:
     raw_bytes: dict[str, int] = field(default_factory=dict)
     lake: dict[str, str] = field(default_factory=dict)
     star: Star | None = None
+    rollup: Rollup = field(default_factory=Rollup)
 
     def pending(self) -> list[str]:
         """Batches that the lake does not have as they are now, or still has although they
@@ -77,6 +86,8 @@ class Snapshot:
             yield from (f"{state}/{VERSION}{version}" for state in (TOTALS, COUNTS))
         for folder, version in self.lake.items():
             yield f"{LAKE}/{VERSION}{version}/{folder}"
+        for version in self.rollup.versions:
+            yield f"{ROLLUP}/{VERSION}{version}"
         if self.star:
             for folder, version in self.star.lake.items():
                 yield f"{LAKE}/{VERSION}{version}/{folder}"
@@ -92,8 +103,8 @@ class Snapshot:
     @classmethod
     def of_text(cls, text: str) -> Snapshot:
         values = json.loads(text)
-        star = values.pop("star")
-        return cls(**values, star=Star(**star) if star else None)
+        star, rollup = values.pop("star"), values.pop("rollup")
+        return cls(**values, star=Star(**star) if star else None, rollup=Rollup(**rollup))
 
 
 def _numbers(spark: SparkSession, root: str) -> list[int]:
@@ -129,7 +140,7 @@ def clean_up(spark: SparkSession, root: str) -> list[str]:
     inner = {folder[: folder.rindex("/")] for folder in live}
     tables = [f"{STAR}/{name}" for name in children(spark, f"{root}/{STAR}") if not name.startswith(VERSION)]
     removed = []
-    for parent in (PLACES, REVIEWS, TOTALS, COUNTS, LAKE, STAR, *tables):
+    for parent in (PLACES, REVIEWS, TOTALS, COUNTS, LAKE, ROLLUP, STAR, *tables):
         for name in children(spark, f"{root}/{parent}"):
             folder = f"{parent}/{name}"
             if not name.startswith(VERSION) or folder in live:

@@ -11,7 +11,9 @@ from reviewtide.checks import fixtures as fx
 from reviewtide.checks import queries as q
 from reviewtide.operators import quality
 from reviewtide.operators.star import build_star
-from reviewtide.plans import incremental, snapshot, star_changes, store as stores
+from reviewtide.plans import incremental, rollups, snapshot, star_changes
+from reviewtide.plans import lake as lk
+from reviewtide.plans import store as stores
 from reviewtide.plans.incremental import add_batch, append_batch, rewrite_touched, withdraw_batch
 from reviewtide.plans.prepare import review_features
 from reviewtide.plans.run import Warehouse, publish_star, star_tables
@@ -357,3 +359,38 @@ def test_a_duplicate_across_batches_is_found(spark, ws, make, raw, sf):
     with pytest.raises(quality.CheckFailed, match="unique_key"):
         publish_star(ws, store, warehouse)
     assert {n: rows(t) for n, t in star_tables(spark, store.root).items()} == published
+
+
+def test_rollup(spark, ws, make, raw, monkeypatch):
+    """Equal to the plain question at any time; only new folders are added up, and none twice."""
+    first, second, third = thirds(raw)
+    store = make(initial=first)
+
+    def assert_right():
+        sums = rollups.rollup(store)
+        assert rows(rollups.rating_by_category(sums)) == rows(lk.rating_by_category(store.lake_values().drop(
+            "category").withColumnRenamed("categoryValue", "category")))
+        by_day = rollups.rating_by_daypart(sums, LIKE)
+        plain = star_changes.staging_rows(store, store.snapshot().lake, LIKE).groupBy("weekday", "day_night")
+        assert rows(by_day) == rows(plain.agg(
+            F.avg("rating").alias("avg_rating"), F.count("*").alias("num_reviews")))
+
+    assert_right()  # before any sums are kept
+    assert rollups.refresh(ws, store) == sorted(store.snapshot().lake)
+    assert rollups.refresh(ws, store) == []
+    assert not any("reviews_lake" in f for f in rollups.rollup(store).inputFiles())
+    assert_right()
+    before = store.snapshot().lake
+    monkeypatch.setattr(rollups, "MOST_VERSIONS", 2)
+    for name, batch in (("second", second), ("third", third)):
+        append_batch(ws, store, batch, name)
+        assert_right()  # the sums of new folders are not there yet
+        new = sorted(f for f, v in store.snapshot().lake.items() if before.get(f) != v)
+        assert rollups.refresh(ws, store) == new
+        assert_right()
+        before = store.snapshot().lake
+    assert len(store.snapshot().rollup.versions) == 1
+    withdraw_batch(ws, store, "second")
+    rollups.refresh(ws, store)
+    store.clean_up()
+    assert_right()

@@ -325,6 +325,11 @@ def oracles() -> dict[str, str]:
         "lake": lake,
         "entry": entry,
         "ext_rollup_rating": entry,
+        "ext_distinct_users": _sql(
+            (_RV, "\nx AS (SELECT \"gPlusUserId\" AS value, unnest(categories) AS category FROM rv)"),
+            """SELECT category, count(DISTINCT value) AS num_values FROM x
+               WHERE value IS NOT NULL GROUP BY category""",
+        ),
         "main_run": _sql(
             _ALL_STAR,
             """SELECT 'lake' AS "table", count(*) AS num_rows, sum(rating) AS total FROM lake

@@ -13,7 +13,7 @@ from reviewtide.checks import fixtures as fx
 from reviewtide.functions import places as p
 from reviewtide.functions import times as t
 from reviewtide.operators import categories as cat
-from reviewtide.operators import layout, quality
+from reviewtide.operators import distinct, layout, quality
 from reviewtide.operators.averages import user_averages, user_totals, with_user_average
 from reviewtide.operators.population import join_population, population_by_zip
 from reviewtide.operators.star import build_star, replace_table
@@ -572,6 +572,21 @@ def rollup_rating(spark, sf_dir):
     return rollups.rating_by_category(rollups.rollup(store))
 
 
+@register("ext_distinct_users")
+def distinct_users(spark, sf_dir):
+    """Different reviewers of each category, over three batches of which each has been read once."""
+    ws = workspace_of(spark)
+    known = spark.createDataFrame([], distinct.DICTIONARY)
+    kept = []
+    for raw in batches(spark, sf_dir):
+        exploded = cat.explode_categories(cat.has_categories(raw).select("gPlusUserId", "categories"))
+        rows = ws.write(exploded.withColumnRenamed("gPlusUserId", "value"), "rows")
+        added = ws.write(distinct.new_ids(rows, known), "ids")
+        known = known.unionByName(added)
+        kept.append(ws.write(distinct.bitmaps(rows, known, "category"), "bitmaps"))
+    return distinct.distinct_counts(quality.union_all(kept), "category")
+
+
 @register("ext_category_views")
 def category_views(spark, sf_dir):
     lk.category_views(workspace_of(spark).write(lake(spark, sf_dir), "lake"), VIEWS)

@@ -109,7 +109,10 @@ class Store:
         return sum(self.snapshot().raw_bytes.values())
 
     def places(self) -> DataFrame:
-        return self.records(snapshots.PLACES, PLACES, [self.snapshot().places])
+        version = self.snapshot().places
+        if version is None:
+            raise ValueError(f"no run has published places below {self.root!r}")
+        return self.records(snapshots.PLACES, PLACES, [version])
 
     def versions(self, dataset: str, fields: Fields, versions: Iterable[str]) -> DataFrame:
         return read_folders(self.spark, self.path(dataset), (f"{VERSION}{v}" for v in versions), fields)
@@ -122,7 +125,7 @@ class Store:
     def rejects(self, dataset: str = snapshots.REVIEWS) -> DataFrame:
         """Lines of the live batches (or of the places) that are not records, with the reason."""
         now = self.snapshot()
-        live = [now.places] if dataset == snapshots.PLACES else now.reviews.values()
+        live = [now.places] * bool(now.places) if dataset == snapshots.PLACES else now.reviews.values()
         whole = self.versions(dataset, (*REJECT, KIND), live)
         return whole.filter(F.col("kind") == REJECTS).drop("kind")
 

@@ -43,9 +43,9 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per row of the mixture doc_id, source, ids, and hashes of the ids and of the text they decode to."""
     visible_to_workers(spark)
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode(encoded.drop("text"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(decoded.withColumn("token_ids", F.col("ids")))
+    texts = docs.select("doc_id", "source", "text")
+    both = bpe.encode_and_decode(texts, ranks, public_tokenizers.PATTERN)
+    return bpe.digests(both.withColumn("token_ids", F.col("ids")))
 
 
 STAGES = [

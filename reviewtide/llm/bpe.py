@@ -334,6 +334,27 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return _mapped(encoded, "decoded", "binary", task)
 
 
+def encode_and_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """``docs`` with ``ids`` of the column ``text`` and what they decode to, ``decoded``, in one
+    pass: one encoder a worker, and the ids do not leave it in between."""
+    ranks = _Ranks(docs.sparkSession, ranks_path)
+    names = [c for c in docs.columns if c not in ("ids", "decoded")]
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, words = _encoder(ranks, pattern)
+        for batch in slices(batches):
+            ids = [text_ids(text, words) for text in batch.column("text").to_pylist()]
+            texts = [encoder.decoded(np.frombuffer(x, np.int32)) for x in ids]
+            offsets = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), np.int32))
+            columns = [*batch.columns, lists, pa.array(texts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "ids", "decoded"])
+
+    plain = docs.select(*(F.col(f"`{c}`") for c in names))
+    schema = ", ".join(f"`{c}` {k}" for c, k in plain.dtypes)
+    return plain.mapInArrow(task, f"{schema}, ids array<int>, decoded binary")
+
+
 def digests(decoded: DataFrame) -> DataFrame:
     """Counts and hashes of ``ids`` and ``decoded`` in place of both and of the text."""
     gone = ("ids", "decoded", "text", "n_tokens", "ids_sha256", "decoded_sha256")

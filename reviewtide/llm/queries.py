@@ -68,8 +68,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN).drop("text")
-    return bpe.digests(bpe.decode(encoded, ranks, public_tokenizers.PATTERN))
+    return bpe.digests(bpe.encode_and_decode(docs, ranks, public_tokenizers.PATTERN))
 
 
 @register

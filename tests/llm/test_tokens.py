@@ -144,6 +144,10 @@ def test_bpe_of_a_table(frame, empty, docs, library):
         ids = library.encode_ordinary(text or "")
         expected.append((doc_id, len(ids), sha(",".join(map(str, ids))), sha(text or "")))
     assert sorted(found, key=repr) == sorted(expected, key=repr)
+    both = bpe.encode_and_decode(frame(docs), RANKS, public_tokenizers.PATTERN)
+    found = [tuple(r) for r in bpe.digests(both).select(*columns).collect()]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+    assert bpe.encode_and_decode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
     assert bpe.encode(empty, RANKS, public_tokenizers.PATTERN).count() == 0
 
 

@@ -34,7 +34,7 @@ from reviewtide.schemas import (
     conform,
     names,
 )
-from reviewtide.session import Workspace, concurrently
+from reviewtide.session import Workspace, bounded_listing, concurrently
 from reviewtide.sources.files import children
 from reviewtide.sources.readers import read_folders
 from reviewtide.sources.writers import write_parquet, write_partitioned
@@ -62,7 +62,7 @@ class Store:
     """Reads what is published, and publishes each change, or in a draft all of them at once."""
 
     def __init__(self, spark: SparkSession, root: str, draft: Snapshot | None = None):
-        self.spark, self.root = spark, root
+        self.spark, self.root = bounded_listing(spark), root
         self._draft = draft
         self._changing = Lock()
 

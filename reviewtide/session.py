@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+LISTING_TASKS_PER_SLOT = 4
 
 
 @dataclass(frozen=True)
@@ -40,6 +42,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_listing(spark: SparkSession) -> SparkSession:
+    """Let a task list many folders. By default each folder is a task, up to 10,000 of them, and
+    their dispatch takes longer than the listing. A setting that is there already stays."""
+    if spark.conf.get(LISTING_TASKS, None) is None:
+        slots = spark.sparkContext.defaultParallelism
+        spark.conf.set(LISTING_TASKS, LISTING_TASKS_PER_SLOT * slots)
+    return spark
+
+
 _local_roots: dict[str, str] = {}
 
 

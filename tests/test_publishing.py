@@ -62,6 +62,22 @@ def assert_star_is_full(store, tables):
         assert rows(tables[name]) == rows(df), name
 
 
+def test_a_listing_task_takes_many_folders(spark, ws):
+    """Before, each lake folder was a task of its own whenever the lake was read."""
+    store = Store(spark, ws.path("store"))
+    many = spark.range(600).select((F.col("id") % 300).cast("string").alias("category"), "id")
+    many.repartition(1).write.partitionBy("category").parquet(store.path(snapshot.LAKE, "v1"))
+    folders = {name: "v1" for name in files.children(spark, store.path(snapshot.LAKE, "v1")) if "=" in name}
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup("listing", "listing of folders")
+    lake = store.lake(folders, (("category", "string"), ("id", "bigint")))
+    context._jsc.clearJobGroup()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    tasks = [tracker.getStageInfo(stage).numTasks for stage in stages]
+    assert len(folders) == 300 and lake.count() == 600
+    assert tasks and max(tasks) <= 4 * context.defaultParallelism
+
+
 def test_small_files(spark, ws):
     path = ws.path("small")
     assert files.children(spark, path) == []

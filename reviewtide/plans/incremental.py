@@ -26,9 +26,7 @@ from reviewtide.plans.lake import build_part, usa_places
 from reviewtide.plans.prepare import review_features
 from reviewtide.plans.snapshot import Snapshot, replace
 from reviewtide.plans.store import Store, category_of, checked_batch_name
-from reviewtide.schemas import REJECT, REVIEW_FEATURES, conform
 from reviewtide.session import Workspace
-from reviewtide.sources.readers import records_of
 from reviewtide.sources.writers import write_partitioned
 
 
@@ -127,19 +125,24 @@ def add_batch(
     min_reviews: int = MIN_REVIEWS,
     raw_bytes: int = 0,
 ) -> list[Row]:
-    """Check a batch, write it, bring the lake up to date; returns the check rows.
+    """Write a batch once, check what is written, make it live and bring the lake up to date;
+    returns the check rows. A refused batch is removed again.
 
     A batch that is there already is corrected: its rows are these from now on. Rejected lines
     among ``features`` are kept beside its records.
     """
     checked_batch_name(batch)
-    rejects = [f for f in REJECT if f[0] in features.columns]
-    features = ws.write(conform(features, (*REVIEW_FEATURES, *rejects)), "batch")
-    records = records_of(features) if rejects else features
-    report = enforce(guard_join_fanout(records, usa_places(store.places())))
     store.clean_up()
-    store.write_missing_states()
-    store.write_batch(features, batch, first=False, raw_bytes=raw_bytes)
+    version = store.stage_reviews(features)
+    try:
+        records = store.reviews([version])
+        report = enforce(guard_join_fanout(records, usa_places(store.places())))
+        store.write_missing_states()
+    except BaseException:
+        store.drop_staged(version)
+        raise
+    store.publish_reviews(batch, version, first=False)
+    store.write_states(batch, first=False, raw_bytes=raw_bytes)
     rewrite_touched(ws, store, min_reviews)
     return report
 

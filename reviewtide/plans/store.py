@@ -35,7 +35,7 @@ from reviewtide.schemas import (
     names,
 )
 from reviewtide.session import Workspace, bounded_listing, concurrently
-from reviewtide.sources.files import children
+from reviewtide.sources.files import children, remove
 from reviewtide.sources.readers import read_folders
 from reviewtide.sources.writers import write_parquet, write_partitioned
 
@@ -203,10 +203,17 @@ class Store:
         self._write_records(places, PLACES, self.path(snapshots.PLACES, version))
         self.change(lambda s: replace(s, places=version))
 
-    def write_reviews(self, features: DataFrame, batch: str, first: bool) -> None:
-        """``first`` starts the reviews anew; otherwise the other batches stay."""
+    def stage_reviews(self, features: DataFrame) -> str:
+        """Write the reviews of a batch under a version that is not live yet; returns it."""
         version = new_version()
         self._write_records(features, REVIEW_FEATURES, self.path(snapshots.REVIEWS, version))
+        return version
+
+    def drop_staged(self, version: str) -> None:
+        remove(self.spark, self.path(snapshots.REVIEWS, version))
+
+    def publish_reviews(self, batch: str, version: str, first: bool) -> None:
+        """``first`` starts the reviews anew; otherwise the other batches stay."""
 
         def with_batch(s: Snapshot) -> Snapshot:
             if first:
@@ -215,6 +222,9 @@ class Store:
 
         self.change(with_batch)
 
+    def write_reviews(self, features: DataFrame, batch: str, first: bool) -> None:
+        self.publish_reviews(batch, self.stage_reviews(features), first)
+
     def write_states(self, batch: str, first: bool, raw_bytes: int = 0) -> None:
         """What the written reviews of ``batch`` add to the states."""
         version = self.snapshot().reviews[batch]

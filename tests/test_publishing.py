@@ -78,6 +78,24 @@ def test_a_listing_task_takes_many_folders(spark, ws):
     assert tasks and max(tasks) <= 4 * context.defaultParallelism
 
 
+def test_a_batch_is_written_once(spark, ws, make, raw, monkeypatch):
+    """Before, it went into a table of its own first, to be checked there."""
+    first, second, third = thirds(raw)
+    store = make(initial=first)
+    tables, write = [], type(ws).write
+    monkeypatch.setattr(type(ws), "write", lambda self, df, name: tables.append(name) or write(self, df, name))
+    add_batch(ws, store, review_features(second), "second")
+    assert tables and "batch" not in tables
+    assert store.reviews([store.snapshot().reviews["second"]]).count() == second.count()
+    # A refused one leaves no folder.
+    base = store.path(snapshot.REVIEWS)
+    store.write_places(ws.write(store.places().union(store.places()), "p"))
+    before = files.children(spark, base)
+    with pytest.raises(ValueError, match="join_fanout"):
+        add_batch(ws, store, review_features(third), "third")
+    assert files.children(spark, base) == before and store.batches() == ["initial", "second"]
+
+
 def test_small_files(spark, ws):
     path = ws.path("small")
     assert files.children(spark, path) == []

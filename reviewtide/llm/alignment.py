@@ -209,29 +209,48 @@ class Pieces:
         return np.array(self.model.encode(text), np.int64)
 
 
+class Spelling:
+    """The bytes of a vocabulary's tokens, one behind another."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def gives(self, ids: list[np.ndarray], data: list[bytes]) -> bool:
+        """Whether the tokens of each document are its bytes, for all documents at once."""
+        each = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+        sizes = self.sizes[each]
+        stops = np.cumsum(sizes)
+        ends = np.append(0, stops)[np.cumsum([len(x) for x in ids], dtype=np.int64)]
+        if not np.array_equal(ends, np.cumsum([len(x) for x in data], dtype=np.int64)):
+            return False
+        place = np.repeat(self.begins[each] - stops + sizes, sizes) + np.arange(sizes.sum())
+        return self.bytes[place].tobytes() == b"".join(data)
+
+
 class Both:
     """Two encoders whose tokens are bytes, and the tokens of a text by both."""
 
     def __init__(self, a, b):
         self.a, self.b = a, b
         self.words = signed_ids(max(len(a.tokens), len(b.tokens)))
-        self.sizes_a, self.sizes_b = (np.array([len(t) for t in e.tokens], np.int64) for e in (a, b))
+        self.spelling_a, self.spelling_b = Spelling(a.tokens), Spelling(b.tokens)
+        self.sizes_a, self.sizes_b = self.spelling_a.sizes, self.spelling_b.sizes
 
     def tokens(self, texts: Iterable[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of each text by both; none where one does not give the bytes back."""
         none = np.zeros(0, np.int64)
-        ids_a, ids_b = [], []
-        for text in texts:
-            x = y = none
-            if text:
-                x, y = self.a(text), self.b(text)
-                data = (" " + text).encode()
-                for encoder, ids in ((self.a, x), (self.b, y)):
-                    if b"".join(map(encoder.tokens.__getitem__, ids.tolist())) != data:
-                        x = y = none
+        texts = list(texts)
+        ids_a = [self.a(text) if text else none for text in texts]
+        ids_b = [self.b(text) if text else none for text in texts]
+        data = [(" " + text).encode() if text else b"" for text in texts]
+        if not (self.spelling_a.gives(ids_a, data) and self.spelling_b.gives(ids_b, data)):
+            for k, whole in enumerate(data):
+                for encoder, ids in ((self.a, ids_a[k]), (self.b, ids_b[k])):
+                    if b"".join(map(encoder.tokens.__getitem__, ids.tolist())) != whole:
+                        ids_a[k] = ids_b[k] = none
                         break
-            ids_a.append(x)
-            ids_b.append(y)
         return ids_a, ids_b
 
     def align(self, texts: Iterable[str]) -> Alignment:

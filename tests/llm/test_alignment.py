@@ -119,6 +119,23 @@ def test_table(frame, docs, ws, both, monkeypatch, hot_share):
     assert sum(r[1] == 0 for r in rows) > 20
 
 
+def test_bytes_of_a_batch_are_checked_at_once():
+    """Before, each token's bytes were looked up by themselves."""
+
+    class Refusing(list):
+        def __getitem__(self, k):
+            raise AssertionError("looked up one by one")
+
+    with open(A, encoding="utf-8") as file, open(B, "rb") as model:
+        both = alignment.Both(alignment.ByteLevel(file.read()), alignment.Pieces(model.read()))
+    strange = "\u2581"  # read as a space by the pieces
+    mixed = ["some words", "", strange, "more of them"]
+    assert [len(x) > 0 for x in both.tokens(mixed)[0]] == [True, False, False, True]
+    both.a.tokens, both.b.tokens = Refusing(both.a.tokens), Refusing(both.b.tokens)
+    for ids in both.tokens(["some words", "", "more of them"]):
+        assert [len(x) > 0 for x in ids] == [True, False, True]
+
+
 def test_no_rows(empty, ws):
     assert alignment.aligned_tokens(empty, ws, A, B).count() == 0
 

@@ -16,9 +16,10 @@ bears on cost alone, not on the result.
 
 Only components are asked for, so groups are first compared with the first group of
 their shingles, which connects the groups of a hot family at a cost linear in their
-number. What then remains are pairs of groups not yet known to be connected; all of
-these are compared too. So no link between components is lost, while the pairs inside a
-component are never listed.
+number. The groups of a component are then brought together, and what remains are pairs of
+groups not yet known to be connected; all of these are compared too. So no link between
+components is lost, while the pairs inside a component are never listed. A pair is listed
+about once, not for each shingle that its groups share.
 
 Shingles are 64-bit hashes, sets are told apart by 128 bits; equal sets count once. Null
 and empty texts have no shingles and no links. Rows that share a doc_id count as one
@@ -47,6 +48,7 @@ SLOT_BITS = 21  # the sketch: two million counters, 8 MB; compressed where it tr
 MORE_PART = 20  # of a set's shingles, one in so many is looked at beyond those that may be missing
 PRUNINGS = 2
 GROUP_SETS = 256  # sets in a group, about
+EARLY = 16  # tokens of a group that are known when it is paired with others
 PARTNERS = 64  # groups that one group is compared with at once, about
 COLUMNS_AT_ONCE = 4096
 ROWS_PER_TASK = 2000  # sets that one task compares, about
@@ -387,24 +389,81 @@ def _group(first: Column, parts: Column, d2: Column) -> Column:
     return F.xxhash64(first, F.pmod(d2, F.coalesce(parts, F.lit(1))))
 
 
-def open_pairs(matrix: DataFrame, placed: DataFrame, labels: DataFrame, ws: Workspace) -> DataFrame:
-    """Pairs of groups that share a shingle and are not known to be connected."""
+def by_component(placed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Per group (``grp``) the one that it becomes part of (``to``), and what that goes by.
+
+    A group of one component (own 0) goes by its label, any other by itself. The groups of a
+    component are brought together, up to about ``GROUP_SETS`` sets each, so that most
+    components are one group (``alone``) and are compared with others as one.
+    """
     known = placed.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep")
     )
-    # A group of one component goes by its label, any other by itself.
-    of_group = known.groupBy("grp").agg(
-        F.when(F.min("label") == F.max("label"), F.struct(F.lit(0).alias("own"), F.min("label").alias("name")))
-        .otherwise(F.struct(F.lit(1).alias("own"), F.first("grp").alias("name"))).alias("is")
-    )
-    named = matrix.join(of_group, "grp").select("token", "grp", "hub", "is.own", "is.name")
+    one = F.min("label") == F.max("label")
+    groups = known.groupBy("grp").agg(
+        F.count(F.lit(1)).alias("sets"),
+        F.when(one, 0).otherwise(1).alias("own"),
+        F.when(one, F.min("label")).otherwise(F.first("grp")).alias("name"),
+    )
+    sizes = groups.groupBy("own", "name").agg(
+        F.count(F.lit(1)).alias("groups"), F.ceil(F.sum("sets") / GROUP_SETS).alias("parts")
+    )
+    several = F.col("groups") > 1
+    part = F.xxhash64("name", F.pmod(F.xxhash64("grp"), F.col("parts")))
+    alone = ~several | (F.col("parts") == 1)
+    return groups.join(sizes, ["own", "name"]).select(
+        "grp", F.when(several, part).otherwise(F.col("grp")).alias("to"), "own", "name", alone.alias("alone")
+    )
+
+
+def moved(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the groups that theirs have become part of, see :func:`by_component`."""
+    whole = rows.join(groups.select("grp", "to"), "grp").withColumn("grp", F.col("to"))
+    return whole.select(rows.columns)
+
+
+def one_of_like_tokens(named: DataFrame) -> DataFrame:
+    """The rows (token, grp, ...) of one token of those that occur in the same groups, which are
+    told apart by 128 bits. All of them give the same pairs, and once is enough."""
+    both = [F.bit_xor(F.xxhash64("grp", F.lit(k))).alias(f"g{k}") for k in range(2)]
+    lists = named.groupBy("token").agg(F.count(F.lit(1)).alias("n"), *both)
+    first = lists.groupBy("n", "g0", "g1").agg(F.min("token").alias("token"))
+    return named.join(first.select("token"), "token", "left_semi")
+
+
+def unlike_names(named: DataFrame, ws: Workspace) -> DataFrame:
+    """Pairs of names (x, y) that share a token, with such tokens.
+
+    In an order of all tokens, frequent ones first, two names are paired by the first token
+    they share. Each knows its first ``EARLY`` tokens; where both have one of these before a
+    token, that token need not pair them again. Of a name of several groups, each token may
+    pair other groups, so it pairs by all.
+    """
+    names = named.select("token", "own", "name", "alone").distinct()
+    order = names.groupBy("token").agg((-F.count(F.lit(1))).alias("order"))
+    at = F.struct("order", "token").alias("at")
+    ranked = ws.write(names.join(order, "token").select("token", "own", "name", "alone", at), "ranked")
+    early = ranked.filter("alone").groupBy("own", "name").agg(  # of the tokens of one group
+        F.slice(F.sort_array(F.collect_list("at")), 1, EARLY).alias("early")
+    )
+    before = F.transform(F.filter("early", lambda u: u < F.col("at")), lambda u: u["token"])
+    before = F.coalesce(before, F.array().cast("array<bigint>"))
+    whole = ranked.join(early, ["own", "name"], "left")
+    low, high = (
+        whole.select("token", F.struct("own", "name").alias(x), before.alias(f"before_{x}")) for x in ("x", "y")
+    )
+    pairs = low.join(high, "token").filter("x < y AND NOT arrays_overlap(before_x, before_y)")
+    return ws.write(pairs.select("token", "x", "y"), "unlike")
+
+
+def open_pairs(matrix: DataFrame, groups: DataFrame, ws: Workspace) -> DataFrame:
+    """Pairs of groups that share a shingle and are not known to be connected; ``groups`` are a
+    written table of :func:`by_component`."""
+    named = matrix.join(groups, "grp").select("token", F.col("to").alias("grp"), "own", "name", "alone").distinct()
     names = named.select("token", "own", "name").distinct()
     mixed = names.groupBy("token").count().filter("count > 1").select("token")
-    named = ws.write(named.join(mixed, "token", "left_semi"), "named")
-    names = named.select("token", "own", "name").distinct()
-    low = names.select("token", F.struct("own", "name").alias("x"))
-    high = names.select("token", F.struct("own", "name").alias("y"))
-    unlike = ws.write(low.join(high, "token").filter("x < y"), "unlike")
+    named = ws.write(one_of_like_tokens(named.join(mixed, "token", "left_semi")), "named")
+    unlike = unlike_names(named, ws)
     sides = [
         named.select("token", F.struct("own", "name").alias(own), F.col("grp").alias(grp))
         for own, grp in (("x", "p"), ("y", "q"))
@@ -454,7 +513,7 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     # Groups are opened where their overlap allows links, first those sharing a hub.
     firsts = ws.write(chosen.join(known, "rep").select("grp", "must", F.col("first").alias("tokens")), "firsts")
 
-    def members_of(groups: DataFrame) -> DataFrame:
+    def members_of(groups: DataFrame, placed: DataFrame) -> DataFrame:
         """grp, rep and whole sets of all in ``groups``."""
         reps = ws.write(placed.join(groups.distinct(), "grp", "left_semi"), "opened")
         reps = checked_broadcast(reps)
@@ -468,14 +527,15 @@ def similar_groups(docs: DataFrame, ws: Workspace, like: Similarity = Similarity
     to_hub = matrix.filter("grp <> hub").select(F.col("hub").alias("p"), F.col("grp").alias("q"))
     to_hub = qualifying(to_hub.distinct(), firsts, ws)
     several = placed.groupBy("grp").count().filter("count > 1").select("grp")
-    members = members_of(several.union(of_pairs(to_hub)))
+    members = members_of(several.union(of_pairs(to_hub)), placed)
     members = inside_groups(members, placed.count(), like.percent, ws)
     inside = members.filter("label <> rep").select(F.col("rep").alias("a"), F.col("label").alias("b"))
     links = inside.unionByName(compare(to_hub, members, like.percent, ws))
     labels = components(links, ws)
-    rest = qualifying(open_pairs(matrix, placed, labels, ws), firsts, ws)
+    groups = ws.write(by_component(placed, labels), "groups")
+    rest = qualifying(open_pairs(matrix, groups, ws), moved(firsts, groups), ws)
     if not rest.isEmpty():
-        members = ws.write(members_of(of_pairs(rest)), "members").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        members = ws.write(members_of(of_pairs(rest), moved(placed, groups)), "members").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
         members = members.withColumn("label", F.coalesce("label", "rep"))
         labels = components(links.unionByName(compare(rest, members, like.percent, ws)), ws)
 

@@ -114,6 +114,40 @@ def test_ngram_join_of_a_hot_family(frame, ws):
     assert got(found, "doc_id", "n_shingles", "component_id") == brute.jaccard_components(docs)
 
 
+def unlinked_family(n: int, changes: int, seed: int) -> list:
+    """Texts of one base that share most of their shingles, too few to be linked."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for k in range(n):
+        words = list(base)
+        for at in rng.choice(20, changes, replace=False):
+            words[int(at) * 10 + 4] = f"own{k}n{at}"
+        docs.append((k, " ".join(words)))
+    return docs
+
+
+def test_ngram_join_pairs_names_once(frame, ws, monkeypatch):
+    """Before, two names were paired for each of the shingles they share."""
+    docs = unlinked_family(60, 5, 3)
+    written, write = {}, type(ws).write
+    monkeypatch.setattr(type(ws), "write", lambda self, df, name: written.__setitem__(name, write(self, df, name)) or written[name])
+    like = ngram_join.Similarity(5, 80)
+    found = ngram_join.similar_groups(frame(docs), ws, like)
+    assert got(found, "doc_id", "n_shingles", "component_id") == brute.jaccard_components(docs, 5, 80)
+    unlike = written["unlike"]
+    assert unlike.count() <= 1.5 * unlike.select("x", "y").distinct().count()
+
+
+def test_ngram_join_of_components_of_several_groups(frame, ws, monkeypatch):
+    """Components of far more sets than a group has, beside sets that are linked late or not."""
+    monkeypatch.setattr(ngram_join, "GROUP_SETS", 3)
+    docs = unlinked_family(40, 5, 4) + [(100 + k, t) for k, t in unlinked_family(40, 2, 5)]
+    docs += [(200 + k, f"{t} {docs[k][1][:300]}") for k, t in unlinked_family(20, 4, 6)]
+    found = ngram_join.similar_groups(frame(docs), ws, ngram_join.Similarity(5, 70))
+    assert got(found, "doc_id", "n_shingles", "component_id") == brute.jaccard_components(docs, 5, 70)
+
+
 def test_ngram_join_odd_rows(frame, empty, ws):
     assert ngram_join.similar_groups(empty, ws).count() == 0
     text = "one two three four five six seven"

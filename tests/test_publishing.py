@@ -89,7 +89,8 @@ def test_a_batch_is_written_once(spark, ws, make, raw, monkeypatch):
     assert store.reviews([store.snapshot().reviews["second"]]).count() == second.count()
     # A refused one leaves no folder.
     base = store.path(snapshot.REVIEWS)
-    store.write_places(ws.write(store.places().union(store.places()), "p"))
+    places = store.places()
+    store.write_places(ws.write(places.union(places).union(places), "p"))
     before = files.children(spark, base)
     with pytest.raises(ValueError, match="join_fanout"):
         add_batch(ws, store, review_features(third), "third")

@@ -35,6 +35,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reviewtide.llm.wordbatch import distinct_words, lined_up
+
 LEAF_BYTES = 64
 FEW_BYTES = 24
 NO_RANK = 1 << 60
@@ -48,7 +50,8 @@ ROWS_AT_ONCE = 512
 
 #: Where a text may not simply be split at its spaces.
 _MARKS = frozenset(".,\n")
-_CLOSING = ".,;:!?"
+#: ASCII marks that are one match after letters; an apostrophe may begin a match of letters.
+_CLOSING = "!\"#$%&()*+,-./:;<=>?@[\\]^`{|}~"
 _BLANKS = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -188,13 +191,13 @@ class Words(dict):
         self.edged: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            return self._with_edges(word)
         if word.isalpha():
             ids = self.letters(self.before + word)
             if len(word) <= LEAF_BYTES:
                 self._remember(word, ids)
             return ids
+        if not word or word[0].isspace() or word[-1].isspace():
+            return self._with_edges(word)
         head = word.rstrip(_CLOSING)
         if head.isalpha():  # a match ends where the letters end, the marks are one
             ids = self[head] + self._tail(word[len(head) :])
@@ -231,7 +234,7 @@ class Words(dict):
 
     def _parts(self, word: str) -> bytes:
         """A word that is not of letters alone, by parts that are matches of their own."""
-        first, *rest = _lines(word)
+        first, *rest = _lines(word) if "\n" in word else (word,)
         if rest:
             line_end, start = self.marks["\n"], self.at_start
             return line_end.join([self[first], *map(start.__getitem__, rest)])
@@ -256,6 +259,28 @@ def text_ids(text: str, words: Words) -> bytes:
     return ids
 
 
+def batch_ids(
+    texts: pa.Array, words: Words, end: bytes, whole: dict[int, bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch of texts as :func:`text_ids` gives them, each text's with ``end``, in one
+    row, and where each text's begin. ``whole`` has those of texts that are encoded already, and
+    gets those that have to be encoded as a whole."""
+    offsets, numbers, distinct = distinct_words(texts)
+    words.edges = False
+    ids = list(map(words.__getitem__, distinct))
+    if words.edges:
+        edged = np.array([not w or w[0].isspace() or w[-1].isspace() for w in distinct])
+        for k in np.flatnonzero(np.logical_or.reduceat(edged[numbers], offsets[:-1])).tolist():
+            if k not in whole and _BLANKS.search(text := texts[k].as_py()):
+                whole[k] = words.encode(text).tobytes()
+    starts, first = np.unique(numbers[offsets[:-1]], return_inverse=True)
+    numbers = numbers.copy()
+    numbers[offsets[:-1]] = len(ids) + first
+    found = (distinct[k] for k in starts.tolist())
+    ids += [words.at_start[word] if word else b"" for word in found]
+    return lined_up(ids, numbers, offsets, end, whole)
+
+
 def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, ROWS_AT_ONCE):

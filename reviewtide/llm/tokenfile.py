@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewtide.llm.bpe import Words, slices, text_ids
+from reviewtide.llm.bpe import Words, batch_ids, text_ids
+from reviewtide.llm.wordbatch import gathered, holding
 from reviewtide.operators.sizing import checked_broadcast
 
 CHUNK_IDS = 1 << 16
@@ -78,10 +79,10 @@ class _Part:
         self.pieces: list[list[np.ndarray]] = []
         self.n = self.chunk = self.docs = 0
 
-    def add(self, doc_ids: pa.Array, ids: list[bytes]) -> Iterator[pa.RecordBatch]:
-        """Append documents; gives the chunks that they fill."""
-        n = np.array([len(x) // 4 for x in ids], np.int64)
-        stream = np.frombuffer(b"".join(ids), np.uint32)
+    def add(self, doc_ids: pa.Array, stream: np.ndarray, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Append documents, whose ids lie in ``stream`` between ``bounds``; gives the chunks that
+        they fill."""
+        n = np.diff(bounds)
         stops = self.n + np.cumsum(n)
         begins = stops - n
         doc = np.arange(self.docs, self.docs + len(n))
@@ -150,6 +151,13 @@ class TextIds:
                 return self.whole(text).tobytes()
         return text_ids(text, self.words)
 
+    def batch(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a batch of texts, each followed by ``end``, in one row, and their bounds."""
+        texts = pc.fill_null(texts, "")
+        signed = np.flatnonzero(holding(texts, self.signs)).tolist()
+        whole = {k: self.whole(texts[k].as_py()).tobytes() for k in signed}
+        return batch_ids(texts, self.words, end, whole)
+
 
 _kept: dict[tuple, TextIds] = {}
 
@@ -212,9 +220,9 @@ def write_ids(
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = text_ids_of(description.value)
         part = _Part(TaskContext.get().partitionId(), bits, chunk_ids)
-        for batch in slices(batches):
-            ids = [encode(text or "") + end for text in batch.column("text").to_pylist()]
-            yield from part.add(batch.column("doc_id").cast(pa.int64()), ids)
+        for batch in gathered(batches):
+            stream, bounds = encode.batch(batch.column("text"), end)
+            yield from part.add(batch.column("doc_id").cast(pa.int64()), stream, bounds)
         if part.n:
             yield part.row()
 

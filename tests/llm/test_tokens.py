@@ -7,6 +7,7 @@ from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -210,3 +211,40 @@ def test_token_files_odd_rows(spark, frame, empty, ws):
     assert sorted(len(r["ids"]) // 4 for r in found) == [1, 1, 2, 3]
     assert min(found, key=lambda r: r["start"])["doc_id"] is None
     assert os.path.isdir(path.removeprefix("file:"))
+
+
+def test_a_batch_of_texts():
+    """Equals the library for each text, whatever else is in the batch."""
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(12)
+    marks = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+    marked = [f"{w}{a}{b}" for w in ("word", "\u00c9t\u00e9", "\u0130", "a1") for a in marks for b in ("", a, "!", "'", "\nThe")]
+    rng.shuffle(marked)
+    runs = [" ".join(marked[k : k + 7]) for k in range(0, len(marked), 7)]
+    texts = [*odd_texts(400), *BLANKS, None, "", *runs, "x" * 5000, "\n", " a", "a\n\nb"]
+    texts += ["<|endoftext|>", "a <|endoftext|><|endoftext|> b"]
+    end = np.array([7], np.uint32).tobytes()
+    encode = tokenfile.TextIds(tokenizer.to_str(), False, 500)
+    for at in (0, 1):  # one batch, then each text alone
+        for some in [texts] if not at else [[t] for t in texts]:
+            ids, bounds = encode.batch(pa.array(some, pa.string()), end)
+            assert len(bounds) == len(some) + 1 and bounds[-1] == len(ids)
+            for text, (a, b) in zip(some, pairwise(bounds.tolist())):
+                want = tokenizer.encode(text or "", add_special_tokens=False).ids
+                assert ids[a:b].tolist() == [*want, 7], repr(text)
+
+
+def test_a_word_is_looked_up_once_a_batch(monkeypatch):
+    """And words with marks after them or a line end within are not left to the library."""
+    encode = tokenfile.TextIds(Tokenizer.from_file(VOCABULARY).to_str(), False, 500)
+    seen, encoded = [], []
+    missing = bpe.Words.__missing__
+    monkeypatch.setattr(bpe.Words, "__missing__", lambda self, word: seen.append(word) or missing(self, word))
+    monkeypatch.setattr(bpe.Words, "_remember", lambda self, word, ids: None)
+    whole = encode.words.encode
+    for words in (encode.words, encode.words.at_start):
+        words.encode = lambda text: encoded.append(text) or whole(text)
+    texts = ["start " + "more words&&& end.\nNext here " * 50] * 40
+    encode.batch(pa.array(texts), b"")
+    assert seen.count("more") == seen.count("here") == seen.count("words&&&") == 1
+    assert encoded.count("&&&") == 1 and not any("Next" in text or "words" in text for text in encoded)

@@ -42,12 +42,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewtide.llm.bpe import slices
 from reviewtide.llm.common import text_or_empty
+from reviewtide.llm.wordbatch import gathered
 from reviewtide.llm.wordends import spaced_ids_of
 from reviewtide.session import Workspace
 
 OPEN_SHARE = 8  # at most one bin in so many goes on to the next level
+PIECES_AT_ONCE = 4096  # handed on; each has the ids of a sequence at most
 MOST_ISLANDS, MOST_BINS = 1 << 32, 1 << 24  # for numbers of sequences only
 
 
@@ -257,23 +258,27 @@ def pieces_of(docs: DataFrame, tokenizer_path: str, end_id: int, size: int) -> D
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = spaced_ids_of(description.value)
-        for batch in slices(batches):
-            ids = [encode(text) + end for text in batch.column("text").to_pylist()]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
+        for batch in gathered(batches):
+            ids, bounds = encode.batch(batch.column("text"), end)
+            n = np.diff(bounds)
             cuts = -(-n // size)
-            doc = np.repeat(np.arange(len(ids)), cuts)
+            doc = np.repeat(np.arange(len(n)), cuts)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
             start = piece * size
             length = np.minimum(size, n[doc] - start)
-            parts = [
-                x if len(x) == 4 * m else x[4 * s : 4 * (s + m)]
-                for x, s, m in zip(map(ids.__getitem__, doc.tolist()), start.tolist(), length.tolist())
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)),
-                 pa.array(start), pa.array(length), pa.array(parts, pa.binary())],
-                ["doc_id", "piece", "start", "length", "ids"],
-            )
+            edges = np.append(bounds[doc] + start, bounds[-1])
+            for k in range(0, len(doc), PIECES_AT_ONCE):
+                some = slice(k, k + PIECES_AT_ONCE)
+                at = edges[k : k + PIECES_AT_ONCE + 1]
+                here = pa.py_buffer(ids[at[0] : at[-1]])
+                offsets = pa.py_buffer((4 * (at - at[0])).astype(np.int32))
+                parts = pa.BinaryArray.from_buffers(pa.binary(), len(at) - 1, [None, offsets, here])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(doc[some])),
+                     pa.array(piece[some].astype(np.int32)), pa.array(start[some]),
+                     pa.array(length[some]), parts],
+                    ["doc_id", "piece", "start", "length", "ids"],
+                )
 
     plain = docs.select("doc_id", text_or_empty().alias("text"))
     kind = dict(docs.dtypes)["doc_id"]

@@ -3,8 +3,8 @@
 Such tokenizers (BPE with word ends, for instance) drop white space, so a text's ids are
 those of its words, one after another, and words can be remembered. Whether a tokenizer is of
 this kind is tried out on probes; if not, texts are encoded as a whole. The library encodes
-every word that is not remembered; lower-case letters can go to its model directly if that
-gives the same on the probes.
+every word that is not remembered; Latin letters can go to its model directly, and marks after
+letters can be looked up apart, if that gives the same on the probes.
 """
 
 from __future__ import annotations
@@ -14,10 +14,17 @@ from array import array
 from itertools import islice, product
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
+from reviewtide.llm.tokenfile import byte_letters
+from reviewtide.llm.wordbatch import distinct_words, holding, in_a_row, lined_up
+
+LETTERS = byte_letters()
 REMEMBERED_WORDS = 900_000
 SHORT_WORD = 12
-_CLOSING = ",.;:!?)"
+_LATIN_END = "\u0250"  # letters below it have long been settled
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PROBES = ("a", "Word", "don't", "end.", "x,y", "(12)", "3rd", "über", "é", "é", "_", "!!", "AND")
 
 
@@ -47,6 +54,9 @@ class SpacedIds(dict):
         )
         letters = ("a", "word", "andthethe", "zzqx", "abcdefghijklmnop")
         self.direct = all(self._by_model(x) == ids(x) for x in (*letters, *map(str.title, letters)))
+        accents = ("\u00e9", "\u00c9t\u00e9", "\u00fcber", "\u00d1and\u00fa", "\u0153uvre", "\u00e8\u00e9\u00ea\u00e7", "stra\u00dfe", "\u0130a")
+        self.accented = self.direct and all(self._by_bytes(x) in (None, ids(x)) for x in accents)
+        self.closing = "".join(m for m in _MARKS if self._parts(m, "!") and self._parts(m, m))
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
@@ -55,14 +65,43 @@ class SpacedIds(dict):
         tokens = self.tokenizer.model.tokenize(word.lower())
         return array("I", [token.id for token in tokens]).tobytes()
 
+    def _normal(self, word: str) -> str | None:
+        """Latin letters as the model gets them, if they are letters alone even then."""
+        if not word.isalpha() or max(word) >= _LATIN_END:
+            return None
+        normal = self.tokenizer.normalizer.normalize_str(word) if self.tokenizer.normalizer else word
+        return normal if normal.isalpha() and max(normal) < _LATIN_END else None
+
+    def _by_bytes(self, word: str) -> bytes | None:
+        """The same for Latin letters with accents."""
+        normal = self._normal(word)
+        if normal is None:
+            return None
+        tokens = self.tokenizer.model.tokenize(normal.encode().decode("latin-1").translate(LETTERS))
+        return array("I", [token.id for token in tokens]).tobytes()
+
+    def _parts(self, mark: str, other: str) -> bool:
+        """Whether marks after letters are by themselves."""
+        ids, marks = self.whole, mark + other
+        return all(
+            ids(x + y) == ids(x) + ids(y) for x in ("a", "Word", "zzqx") for y in (mark, marks, marks[::-1])
+        )
+
+    def _letters(self, word: str) -> bytes:
+        if self.direct and word.isascii():
+            return self._by_model(word)
+        ids = self._by_bytes(word) if self.accented else None
+        return self.whole(word) if ids is None else ids
+
     def __missing__(self, word: str) -> bytes:
         if word.isalpha():
-            ids = self._by_model(word) if self.direct and word.isascii() else self.whole(word)
+            ids = self._letters(word)
             if len(word) <= 2 * SHORT_WORD:
                 self._remember(word, ids)
             return ids
-        head = word.rstrip(_CLOSING)
-        if head.isascii() and head.isalpha():  # a run of marks after letters is by itself
+        head = word.rstrip(self.closing)
+        letters = head.isalpha() if head.isascii() else self._normal(head) is not None
+        if letters:  # a run of marks after letters is by itself
             ids = self[head] + self._tail(word[len(head) :])
         else:
             ids = self.whole(word)
@@ -93,6 +132,19 @@ class SpacedIds(dict):
                 return self.whole(text)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
+    def batch(self, texts: pa.Array, end: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a batch of texts, each followed by ``end``, in one row, and their bounds."""
+        texts = pc.fill_null(texts, "")
+        if not self.spaced:
+            return in_a_row([self.whole(text) + end for text in texts.to_pylist()])
+        whole = {}
+        for k in np.flatnonzero(holding(texts, self.starts)).tolist():
+            low = (text := texts[k].as_py()).lower()
+            if any(sign in low for sign in self.signs):
+                whole[k] = self.whole(text)
+        offsets, numbers, distinct = distinct_words(pc.replace_substring(texts, "\n", " "))
+        return lined_up(list(map(self.__getitem__, distinct)), numbers, offsets, end, whole)
+
 
 _kept: dict[str, SpacedIds] = {}
 

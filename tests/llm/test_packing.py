@@ -7,6 +7,7 @@ import brute
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -124,6 +125,29 @@ def test_a_tokenizer_that_keeps_blanks():
     assert np.frombuffer(encode("a  b c"), np.uint32).tolist() == other.encode("a  b c").ids
 
 
+def test_a_batch_of_texts(tokenizer):
+    """Equals the library for each text; marks and accents do not need it."""
+    marked = [f"{w}{a}{b}" for w in ("Word", "\u00c9t\u00e9", "\u0130", "\u03a3\u03c3", "a1") for a in "!#$%&'()*+-/<=>@[]^_`{|}~" for b in ("", a, "!", "'")]
+    lines = [" ".join(marked[k : k + 5]) + "\n" for k in range(0, len(marked), 5)]
+    texts = [*ODD, *lines, "", None, "a <|endoftext|> b", "a <|ENDOFTEXT|> b"]
+    other = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = np.array([1], np.uint32).tobytes()
+    for kind in (tokenizer, other):
+        encode = wordends.SpacedIds(kind.to_str(), remembered=50)
+        got, bounds = encode.batch(pa.array(texts, pa.string()), end)
+        for text, a, b in zip(texts, bounds[:-1], bounds[1:]):
+            want = kind.encode(text or "", add_special_tokens=False).ids
+            assert got[a:b].tolist() == [*want, 1], repr(text)
+
+
+def test_known_parts_are_not_left_to_the_library(tokenizer, monkeypatch):
+    encode = wordends.SpacedIds(tokenizer.to_str())
+    whole, asked = wordends.SpacedIds.whole, []
+    monkeypatch.setattr(wordends.SpacedIds, "whole", lambda self, text: asked.append(text) or whole(self, text))
+    encode.batch(pa.array(["word*** \u00e9t\u00e9 \u00c9t\u00e9s&&& more words"] * 3), b"")
+    assert sorted(asked) == ["&&&", "***"]
+
+
 def rows_of(df):
     fields = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     return [tuple(r) for r in df.select(*fields).collect()]
